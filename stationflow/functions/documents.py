@@ -31,20 +31,14 @@ def get(doc: Column, path: str) -> Column:
 
 
 def kind(value: Column) -> Column:
-    """Type name of a field: BIGINT, STRING, BOOLEAN, ..., VOID for a JSON null, ABSENT without the field."""
-    return F.coalesce(F.schema_of_variant(value), F.lit(ABSENT))
-
-
-def is_object(kind_: Column) -> Column:
-    return kind_.startswith("OBJECT<")
-
-
-def is_list(kind_: Column) -> Column:
-    return kind_.startswith("ARRAY<")
+    """Type of a field: BIGINT, DECIMAL, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, VOID for a JSON null,
+    ABSENT without the field. What a type is made of (precision, members) is cut off."""
+    name = F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+    return F.coalesce(name, F.lit(ABSENT))
 
 
 def is_number(kind_: Column) -> Column:
-    return (kind_ == "BIGINT") | (kind_ == "DOUBLE") | (kind_ == "FLOAT") | kind_.startswith("DECIMAL(")
+    return kind_.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
 
 def as_text(value: Column) -> Column:
@@ -59,6 +53,11 @@ def as_double(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
+def whole(value: Column, kind_: Column) -> Column:
+    """A JSON integer as long; null for 8.0, "8" and true, and beyond 64 bits."""
+    return F.when(kind_ == "BIGINT", as_long(value))
+
+
 def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 

@@ -12,18 +12,11 @@ from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC
 STATUS_COUNTS = ("num_bikes_available", "num_docks_available")
 STATUS_FLAGS = ("is_installed", "is_renting", "is_returning")
 STATUS_REQUIRED = ("station_id", *STATUS_COUNTS, "last_reported", *STATUS_FLAGS)
-FIELDS = (
-    *STATUS_REQUIRED,
-    "vehicle_types_available",
-    "fetched_at",
-    "feed_last_updated",
-    "replay",
-    "lat",
-    "lon",
-    "name",
-    "capacity",
-    "is_virtual_station",
-)
+WHOLE = (*STATUS_COUNTS, "last_reported", "feed_last_updated", "capacity")
+FLAGS = (*STATUS_FLAGS, "replay", "is_virtual_station")
+COORDINATES = ("lat", "lon")
+VEHICLES = "vehicle_types_available"
+FIELDS = ("station_id", *WHOLE, *FLAGS, *COORDINATES, "name", "fetched_at", VEHICLES)
 
 LARGEST_INT = 2_147_483_647
 LAST_SECOND = 253_402_300_799  # end of the year 9999
@@ -39,6 +32,33 @@ def _kind(name: str) -> Column:
     return F.col(f"k_{name}")
 
 
+def _typed(name: str) -> Column:
+    """The field in its target type; null when it has another."""
+    return F.col(f"t_{name}")
+
+
+def _typed_columns() -> list[Column]:
+    name = D.as_text(_value("name"))
+    name = F.when(_kind("name") == "BOOLEAN", F.initcap(name)).when(
+        _kind("name").isin("OBJECT", "ARRAY"), F.to_json(_value("name"))
+    ).otherwise(name)
+    station = F.when(_kind("station_id") == "STRING", D.stripped(D.as_text(_value("station_id"))))
+    fetched = F.when(D.is_number(_kind("fetched_at")), D.as_double(_value("fetched_at")))
+    vehicles = F.when(D.is_falsy(_value(VEHICLES), _kind(VEHICLES)), F.parse_json(F.lit("[]"))).when(
+        _kind(VEHICLES) == "ARRAY", _value(VEHICLES)
+    )
+    typed = {
+        "station_id": station,
+        "name": D.stripped(name),
+        "fetched_at": fetched,
+        VEHICLES: vehicles,
+        **{n: D.whole(_value(n), _kind(n)) for n in WHOLE},
+        **{n: D.as_flag(_value(n), _kind(n)) for n in FLAGS},
+        **{n: D.lenient_double(_value(n), _kind(n)) for n in COORDINATES},
+    }
+    return [column.alias(f"t_{name}") for name, column in typed.items()]
+
+
 def _seen(name: str) -> Column:
     return F.coalesce(F.to_json(_value(name)), F.lit("nothing"))
 
@@ -49,41 +69,37 @@ def _said(name: str, wanted: str) -> Column:
 
 def _whole(name: str, minimum: int) -> list[Rule]:
     return [
-        (_kind(name) != "BIGINT", _said(name, "integer wanted")),
-        (D.as_long(_value(name)) < minimum, _said(name, f"must be >= {minimum}")),
+        (_typed(name).isNull(), _said(name, "integer wanted")),
+        (_typed(name) < minimum, _said(name, f"must be >= {minimum}")),
     ]
 
 
 def _flag(name: str) -> Rule:
-    return D.as_flag(_value(name), _kind(name)).isNull(), _said(name, "boolean wanted")
+    return _typed(name).isNull(), _said(name, "boolean wanted")
 
 
 def _optional_flag(name: str) -> Rule:
-    broken = (_kind(name) != D.ABSENT) & D.as_flag(_value(name), _kind(name)).isNull()
-    return broken, _said(name, "boolean wanted")
+    return (_kind(name) != D.ABSENT) & _typed(name).isNull(), _said(name, "boolean wanted")
 
 
 def _station_id() -> Rule:
-    blank = D.stripped(D.as_text(_value("station_id"))) == ""
-    return (_kind("station_id") != "STRING") | blank, _said("station_id", "non-blank text wanted")
+    return F.coalesce(_typed("station_id"), F.lit("")) == "", _said("station_id", "non-blank text wanted")
 
 
 def _fits_int(name: str) -> Rule:
-    return D.as_long(_value(name)) > LARGEST_INT, _said(name, "out of range for a 32-bit integer")
+    return _typed(name) > LARGEST_INT, _said(name, "out of range for a 32-bit integer")
 
 
 def _fits_time(name: str) -> Rule:
-    return F.abs(D.as_double(_value(name))) > LAST_SECOND, _said(name, "out of range for a timestamp")
+    return F.abs(_typed(name)) > LAST_SECOND, _said(name, "out of range for a timestamp")
 
 
 def status_rules() -> list[Rule]:
     missing = F.concat_ws(", ", *[F.when(_kind(n) == D.ABSENT, F.lit(n)) for n in STATUS_REQUIRED])
-    vehicles = "vehicle_types_available"
-    not_list = ~D.is_falsy(_value(vehicles), _kind(vehicles)) & ~D.is_list(_kind(vehicles))
     return [
         (missing != "", F.concat(F.lit("missing fields: "), missing)),
-        (not_list, _said(vehicles, "list wanted")),
-        (~D.is_number(_kind("fetched_at")), _said("fetched_at", "number wanted")),
+        (_typed(VEHICLES).isNull(), _said(VEHICLES, "list wanted")),
+        (_typed("fetched_at").isNull(), _said("fetched_at", "number wanted")),
         _station_id(),
         *[rule for name in STATUS_COUNTS for rule in _whole(name, 0)],
         *[_flag(name) for name in STATUS_FLAGS],
@@ -96,23 +112,15 @@ def status_rules() -> list[Rule]:
     ]
 
 
-def _name_text() -> Column:
-    text = D.as_text(_value("name"))
-    return D.stripped(F.when(_kind("name") == "BOOLEAN", F.initcap(text)).otherwise(text))
-
-
 def information_rules() -> list[Rule]:
-    lat, lon = (D.lenient_double(_value(n), _kind(n)) for n in ("lat", "lon"))
+    lat, lon = _typed("lat"), _typed("lon")
     outside = ~lat.between(-90, 90) | ~lon.between(-180, 180) | F.isnan(lat) | F.isnan(lon)
-    text = F.when(D.is_object(_kind("name")) | D.is_list(_kind("name")), F.to_json(_value("name"))).otherwise(
-        _name_text()
-    )
     return [
         (lat.isNull(), _said("lat", "number wanted")),
         (lon.isNull(), _said("lon", "number wanted")),
         (_kind("name").isin(D.ABSENT, D.NULL), _said("name", "text wanted")),
         (outside, F.concat(F.lit("coordinates out of bounds: "), _seen("lat"), F.lit(", "), _seen("lon"))),
-        (text == "", F.lit("name: empty")),
+        (_typed("name") == "", F.lit("name: empty")),
         _station_id(),
         *_whole("capacity", 0),
         _optional_flag("is_virtual_station"),
@@ -127,85 +135,90 @@ def _first_broken(rules: list[Rule]) -> Column:
 
 
 def _instant(name: str) -> Column:
-    return F.timestamp_seconds(D.as_double(_value(name))) if name == "fetched_at" else F.timestamp_seconds(
-        D.as_long(_value(name))
-    )
-
-
-def _or_false(name: str) -> Column:
-    return F.coalesce(D.as_flag(_value(name), _kind(name)), F.lit(False))
+    return F.timestamp_seconds(_typed(name)).alias(name)
 
 
 def _status_record() -> Column:
-    vehicles = "vehicle_types_available"
-    listed = F.when(D.is_list(_kind(vehicles)), _value(vehicles)).otherwise(F.parse_json(F.lit("[]")))
     return F.struct(
-        D.stripped(D.as_text(_value("station_id"))).alias("station_id"),
-        _instant("last_reported").alias("last_reported"),
-        *[D.as_long(_value(n)).cast("int").alias(n) for n in STATUS_COUNTS],
-        *[D.as_flag(_value(n), _kind(n)).alias(n) for n in STATUS_FLAGS],
-        listed.alias(vehicles),
-        _instant("feed_last_updated").alias("feed_last_updated"),
-        _instant("fetched_at").alias("fetched_at"),
-        _or_false("replay").alias("is_replay"),
+        _typed("station_id").alias("station_id"),
+        _instant("last_reported"),
+        *[_typed(n).cast("int").alias(n) for n in STATUS_COUNTS],
+        *[_typed(n).alias(n) for n in STATUS_FLAGS],
+        _typed(VEHICLES).alias(VEHICLES),
+        _instant("feed_last_updated"),
+        _instant("fetched_at"),
+        F.coalesce(_typed("replay"), F.lit(False)).alias("is_replay"),
     )
 
 
 def _information_record() -> Column:
-    text = F.when(D.is_object(_kind("name")) | D.is_list(_kind("name")), F.to_json(_value("name"))).otherwise(
-        _name_text()
-    )
     return F.struct(
-        D.stripped(D.as_text(_value("station_id"))).alias("station_id"),
-        text.alias("name"),
-        D.lenient_double(_value("lat"), _kind("lat")).alias("lat"),
-        D.lenient_double(_value("lon"), _kind("lon")).alias("lon"),
-        D.as_long(_value("capacity")).cast("int").alias("capacity"),
-        _or_false("is_virtual_station").alias("is_virtual_station"),
-        _instant("feed_last_updated").alias("feed_last_updated"),
+        _typed("station_id").alias("station_id"),
+        _typed("name").alias("name"),
+        *[_typed(n).alias(n) for n in COORDINATES],
+        _typed("capacity").cast("int").alias("capacity"),
+        F.coalesce(_typed("is_virtual_station"), F.lit(False)).alias("is_virtual_station"),
+        _instant("feed_last_updated"),
     )
 
 
+class Checker:
+    """The checks as four projections, built once and applied to every batch."""
+
+    def __init__(self, status_topic: str = STATUS_TOPIC, information_topic: str = INFORMATION_TOPIC):
+        is_status = F.col("topic") == status_topic
+        is_information = F.col("topic") == information_topic
+        known = is_status | is_information
+        fine = F.col("error").isNull()
+        carried = [F.col(c) for c in ("topic", "partition", "offset", "key", "value", "source_error", "doc")]
+
+        text = F.col("value").cast("string")
+        self.doc = F.when(F.is_valid_utf8(text), D.parse(text))
+        self.fields = [*carried, *[D.get(F.col("doc"), n).alias(f"v_{n}") for n in FIELDS]]
+        self.typed = [
+            *carried,
+            *[_value(n) for n in FIELDS],
+            *[D.kind(_value(n)).alias(f"k_{n}") for n in FIELDS],
+        ]
+        self.converted = ["*", *_typed_columns()]
+        self.error = F.coalesce(
+            F.col("source_error"),
+            F.when(F.col("doc").isNull(), F.lit("not JSON")),
+            F.when(known & (D.kind(F.col("doc")) != "OBJECT"), F.lit("JSON object wanted")),
+            F.when(is_status, _first_broken(status_rules())).when(
+                is_information, _first_broken(information_rules())
+            ),
+        ).alias("error")
+        self.result = [
+            F.col("topic"),
+            F.col("partition").alias("kafka_partition"),
+            F.col("offset").alias("kafka_offset"),
+            F.col("key"),
+            F.col("error"),
+            F.when(~fine, F.coalesce(F.make_valid_utf8(text), F.lit(""))).alias("payload"),
+            F.when(fine & is_status, _status_record()).alias("status"),
+            F.when(fine & is_information, _information_record()).alias("information"),
+        ]
+
+    def __call__(self, messages: DataFrame) -> DataFrame:
+        """Messages with `error`, and `status` or `information` where there is none.
+
+        Messages of other topics must be JSON too but are otherwise let through without a record.
+        `payload` keeps the text of a rejected message, bad UTF-8 replaced.
+        """
+        if "source_error" not in messages.columns:
+            messages = messages.withColumn("source_error", F.lit(None).cast("string"))
+        if "doc" not in messages.columns:
+            messages = messages.withColumn("doc", self.doc)
+        judged = messages.select(*self.fields).select(*self.typed).select(*self.converted).select("*", self.error)
+        return judged.select(*self.result)
+
+
 def checked(
     messages: DataFrame, status_topic: str = STATUS_TOPIC, information_topic: str = INFORMATION_TOPIC
 ) -> DataFrame:
-    """Messages with `error`, and `status` or `information` where there is none.
-
-    Messages of other topics must be JSON too but are otherwise let through without a record.
-    `payload` keeps the text of a rejected message, bad UTF-8 replaced.
-    """
-    decoded = messages
-    if "source_error" not in decoded.columns:
-        decoded = decoded.withColumn("source_error", F.lit(None).cast("string"))
-    if "doc" not in decoded.columns:
-        text = F.col("value").cast("string")
-        decoded = decoded.withColumn("doc", F.when(F.is_valid_utf8(text), D.parse(text)))
-
-    fields = decoded.withColumns({f"v_{name}": D.get(F.col("doc"), name) for name in FIELDS})
-    typed = fields.withColumns({f"k_{name}": D.kind(_value(name)) for name in FIELDS})
-
-    is_status = F.col("topic") == status_topic
-    is_information = F.col("topic") == information_topic
-    unreadable = F.when(F.col("doc").isNull(), F.lit("not JSON"))
-    shape = F.when((is_status | is_information) & ~D.is_object(D.kind(F.col("doc"))), F.lit("JSON object wanted"))
-    error = F.coalesce(
-        F.col("source_error"),
-        unreadable,
-        shape,
-        F.when(is_status, _first_broken(status_rules())).when(is_information, _first_broken(information_rules())),
-    )
-    judged = typed.withColumn("error", error)
-    fine = F.col("error").isNull()
-    return judged.select(
-        "topic",
-        F.col("partition").alias("kafka_partition"),
-        F.col("offset").alias("kafka_offset"),
-        "key",
-        "error",
-        F.when(~fine, F.coalesce(F.make_valid_utf8(F.col("value").cast("string")), F.lit(""))).alias("payload"),
-        F.when(fine & is_status, _status_record()).alias("status"),
-        F.when(fine & is_information, _information_record()).alias("information"),
-    )
+    """One-off form of `Checker`."""
+    return Checker(status_topic, information_topic)(messages)
 
 
 def valid_statuses(judged: DataFrame) -> DataFrame:
