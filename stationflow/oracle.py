@@ -6,7 +6,7 @@ percentiles, so that the two engines agree to the last digit.
 
 from __future__ import annotations
 
-from stationflow.sources.star import BATCH_MESSAGES, PLACES, STATIONS
+from stationflow.sources.star import BATCH_MESSAGES, DAMAGE, PLACES, REPEATED_POLL, STATIONS
 
 ZONE = "Europe/Paris"
 
@@ -389,5 +389,121 @@ def _suite_sql() -> str:
     )
 
 
+def _verdicts() -> str:
+    """Each message with the error its damage must give, known from how it was built."""
+    errors = {
+        "negative bikes": "'num_bikes_available: must be >= 0, got -1'",
+        "bikes as text": "'num_bikes_available: integer wanted, got \"8\"'",
+        "docks as boolean": "'num_docks_available: integer wanted, got true'",
+        "renting as text": "'is_renting: boolean wanted, got \"yes\"'",
+        "blank station": "'station_id: non-blank text wanted, got \" \"'",
+        "report time zero": "'last_reported: must be >= 1, got 0'",
+        "fetch time null": "'fetched_at: number wanted, got null'",
+        "vehicle types as text": "'vehicle_types_available: list wanted, got \"14\"'",
+        "docks absent": "'missing fields: num_docks_available'",
+        "broken JSON": "'not JSON'",
+        "tombstone": "'not JSON'",
+        "bad UTF-8": "'not JSON'",
+        "bikes beyond 32 bits": "'num_bikes_available: out of range for a 32-bit integer, got 3000000000'",
+        "bikes as 8.0": "'num_bikes_available: integer wanted, got 8'",
+        "replay null": "'replay: boolean wanted, got null'",
+        "latitude 95": "'coordinates out of bounds: 95, 3.9'",
+        "name null": "'name: text wanted, got null'",
+    }
+    cases = " ".join(f"when {DAMAGE.index(k)} then {v}" for k, v in errors.items())
+    number = {k: i for i, k in enumerate(DAMAGE)}
+    informations = f"({number['description']}, {number['latitude 95']}, {number['name null']})"
+    return f"""{MESSAGES}, mixed as (
+  select *, status_id % {len(DAMAGE)} as kind, case status_id % {len(DAMAGE)} {cases} end as error,
+    case when status_id % {len(DAMAGE)} = {number["other topic"]} then 'elsewhere'
+         when status_id % {len(DAMAGE)} in {informations} then 'station_information' else 'station_status' end as topic,
+    status_id % {len(DAMAGE)} = {number["flags as 0 and 1"]} as as_digits from msg)"""
+
+
+def _archive_sql() -> str:
+    """Distinct snapshots are the minutes with a reading; every seventh minute is polled twice."""
+    return f"""{FACT}, shots as (
+  select last_reported as t, epoch_us(max(fetched_at)) - epoch_us(last_reported) as age,
+    (epoch_us(last_reported) // 60000000) % {REPEATED_POLL} = 0 as twice
+  from fact group by last_reported)"""
+
+
+def streamed_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    flat = batch_sql()
+    q["description_changes_stream"] = flat["description_changes"]
+    q["model_build"] = flat["agg_network_hour"]
+    q["fact_redelivered"] = f"with {FACT} select status_id, station_id, cast(coalesce(capacity, {PLACES}) as int) as capacity from fact"
+    q["validate_messages"] = f"""
+with {_verdicts()} select topic, status_id as kafka_offset, error,
+  case when topic = 'station_status' and error is null then station_id end as status_station,
+  case when topic = 'station_status' and error is null then not as_digits end as is_renting,
+  case when topic = 'station_information' and error is null then 'Station ' || station_id end as name from mixed"""
+    q["ingest_stream"] = f"""
+with {RAW} select row_number() over (order by raw.status_id) as status_id, station_id, {iso("last_reported")} as last_reported,
+  bikes as num_bikes_available, docks as num_docks_available, is_installed, is_replay,
+  raw.status_id as kafka_offset from raw"""
+    q["ingest_stream_ledger"] = f"""
+with {_verdicts()}, good as (select * from mixed where topic = 'station_status' and error is null)
+select (select count(*) from mixed) as received, (select count(*) from mixed where error is not null) as invalid,
+  (select count(*) from good) as status_valid,
+  (select count(*) from (select distinct station_id, last_reported from good)) as status_inserted,
+  (select count(*) from good) - (select count(*) from (select distinct station_id, last_reported from good)) as status_duplicates,
+  (select count(*) from mixed where topic = 'station_information' and error is null) as information_upserted"""
+    q["ingest_stream_rejected"] = f"""
+with {_verdicts()} select row_number() over (order by status_id) as rejected_id, topic, status_id as kafka_offset, error
+from mixed where error is not null"""
+    q["ingest_stream_information"] = f"""
+with {_verdicts()}, good as (select * from mixed where topic = 'station_information' and error is null)
+select station_id, 'Station ' || station_id as name, cast(43.6 as double) as lat, cast(3.9 as double) as lon,
+  arg_max(bikes, status_id) as capacity, max(status_id) as kafka_offset from good group by station_id"""
+    q["panel_rejected"] = f"with {_verdicts()} select count(*) as rejetes from mixed where error is not null"
+    q["live_series_5min"] = f"""
+with {MESSAGES}, b as (select {BUCKET} as t, count(*) as messages from msg group by 1)
+select {iso("t")} as time, messages from b"""
+    q["archive_replay"] = f"""
+with {RAW} select station_id, {iso("last_reported")} as last_reported, bikes as num_bikes_available,
+  docks as num_docks_available, is_installed, true as is_replay from raw"""
+    q["archive_hourly"] = f"""
+with {FACT} select strftime(local_hour, '%Y-%m-%d %H:%M') as heure_locale, count(distinct station_id) as nb_stations,
+  count(*) as nb_releves, {half_up(RATIO_SUM, f"count(*) * cast({TEN} as hugeint)", 4)} as taux_remplissage_moyen,
+  {half_up("count(*) filter (where empty_)", "count(*)", 4)} as part_releves_vide,
+  {half_up("count(*) filter (where full_)", "count(*)", 4)} as part_releves_pleine from fact group by local_hour"""
+    q["archive_network_series"] = f"""
+with {FACT} select strftime(local_ts, '%Y-%m-%d %H:%M:%S') as horodatage_local,
+  cast(sum(bikes) as bigint) as velos_disponibles, cast(sum(docks) as bigint) as bornes_libres,
+  count(*) filter (where empty_) as stations_vides, count(*) filter (where full_) as stations_pleines
+from fact group by local_ts"""
+    q["archive_stations"] = f"""
+with {FACT} select station_id, coalesce(max(d.nom), '') as nom, cast(max(d.capacite) as bigint) as capacite,
+  count(*) as nb_releves, {half_up("count(*) filter (where empty_)", "count(*)", 4)} as part_temps_vide,
+  {half_up("count(*) filter (where full_)", "count(*)", 4)} as part_temps_pleine,
+  {half_up(RATIO_SUM, f"count(*) * cast({TEN} as hugeint)", 4)} as taux_remplissage_moyen
+from fact left join dim d using (station_id) group by station_id"""
+    q["archive_overview"] = f"""
+with {_archive_sql()}, g as (select {micros("t", "lag(t) over (order by t)")} as gap from shots),
+gl as (select list_sort(list(gap)) as v, count(*) filter (where gap > 90000000) as big from g where gap is not null),
+al as (select list_sort(list(age)) as v, count(*) as n, count(*) filter (where twice) as again, min(t) as lo, max(t) as hi from shots),
+f as (select count(*) as n, count(distinct station_id) as stations,
+  {half_up("count(*) filter (where empty_)", "count(*)", 4)} as e,
+  {half_up("count(*) filter (where full_)", "count(*)", 4)} as p,
+  {half_up(RATIO_SUM, f"count(*) * cast({TEN} as hugeint)", 4)} as r,
+  count(*) filter (where bikes > capacity) as over_ from fact)
+select 'archived feed snapshots, without the pipeline' as source,
+  (select count(*) from dim) as stations_decrites, f.stations as stations_observees,
+  al.n + al.again as interrogations, al.n as instantanes_distincts, al.again as interrogations_redondantes,
+  f.n as releves_station, {iso("lo")} as debut_utc, {iso("hi")} as fin_utc,
+  {half_up(micros("hi", "lo"), "cast(3600000000 as hugeint)", 2)} as duree_h,
+  {seconds(rank_value("gl.v", 0.5), 1)} as ecart_median_entre_instantanes_s,
+  {seconds("gl.v[len(gl.v)] * cast(10000 as hugeint)", 1)} as ecart_max_entre_instantanes_s,
+  gl.big as intervalles_superieurs_90s,
+  {seconds(rank_value("al.v", 0.5), 2)} as age_du_flux_a_la_lecture_median_s,
+  {seconds("al.v[len(al.v)] * cast(10000 as hugeint)", 2)} as age_du_flux_a_la_lecture_max_s,
+  f.e as part_releves_vide, f.p as part_releves_pleine, f.r as taux_remplissage_moyen,
+  (select cast(sum(capacite) as bigint) from dim) as capacite_totale, f.over_ as releves_velos_superieurs_capacite
+from f, gl, al"""
+    return q
+
+
 def sql() -> dict[str, str]:
-    return batch_sql()
+    return {**batch_sql(), **streamed_sql()}

@@ -106,7 +106,8 @@ def hourly_sums(readings: DataFrame) -> DataFrame:
     )
 
 
-def _regrouped(sums: DataFrame, keys: list[str]) -> DataFrame:
+def regrouped(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """Hourly sums added up to other keys."""
     added = ["n", "n_ratio", "sum_ratio", "sum_bikes", "n_empty", "n_full"]
     return sums.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in added],
@@ -139,7 +140,7 @@ def station_hours(sums: DataFrame) -> DataFrame:
 
 def network_hours(sums: DataFrame) -> DataFrame:
     """Mart: all stations x local hour. Means are over readings, not over stations."""
-    return _regrouped(sums, ["heure_locale"]).select(
+    return regrouped(sums, ["heure_locale"]).select(
         "heure_locale",
         F.col("n_stations").alias("nb_stations"),
         F.col("n").alias("nb_releves"),
@@ -153,7 +154,7 @@ def network_hours(sums: DataFrame) -> DataFrame:
 def station_ranking(sums: DataFrame, dimension: DataFrame) -> DataFrame:
     """Mart: described stations with readings. Joined after the aggregate, one row per station."""
     described = dimension.select("station_id", "nom", "capacite")
-    return _regrouped(sums, ["station_id"]).join(described, "station_id").select(
+    return regrouped(sums, ["station_id"]).join(described, "station_id").select(
         "station_id",
         "nom",
         "capacite",

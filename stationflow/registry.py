@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from stationflow.build import Build
 from stationflow.operators import changes
-from stationflow.operators.keyed import first_with_last_position, latest_per_key
+from stationflow.operators.keyed import first_per_key, first_with_last_position, latest_per_key, replace_by_key
 from stationflow.oracle import AS_OF, FRESH_AS_OF, RANGE
-from stationflow.plans import models, monitoring, quality, reports
+from stationflow.plans import models, monitoring, quality, reports, validate
+from stationflow.plans.archive import Archive
+from stationflow.session import work_dir
 from stationflow.sinks import plain
 from stationflow.sources import star
+from stationflow.sources.archive import archive_messages
+from stationflow.sources.messages import message_files, publish_files
+from stationflow.streaming.changes import change_store, start_changes
+from stationflow.streaming.ingest import raw_tables, start_ingest
+from stationflow.streaming.live import series, start_series
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +31,8 @@ READING_KEY = ["station_id", "last_reported"]
 LAT, LON = (43.4, 43.8), (3.6, 4.2)
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star.tables(spark, sf_dir)
+def _tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return star.Tables(spark, sf_dir)
 
 
 def _report(name: str) -> Query:
@@ -96,7 +105,7 @@ def top_empty_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(reports.top_empty(_tables(spark, sf_dir)["stations_vides_pleines"]))
 
 
-def _quality(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def _quality(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain(build(_tables(spark, sf_dir)))
 
 
@@ -108,8 +117,127 @@ def dq_unique_combo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(quality.repeated(star.status_messages(spark, sf_dir), READING_KEY))
 
 
+def fact_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings loaded without a capacity are delivered again with one, and replace themselves by key."""
+    loaded = _tables(spark, sf_dir)["fct_station_status"]
+    again = loaded.filter(F.col("capacity").isNull()).withColumn("capacity", F.lit(star.PLACES))
+    return plain(replace_by_key(loaded, again, ["status_id"]).select("status_id", "station_id", "capacity"))
+
+
+def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = validate.checked(star.mixed_messages(spark, sf_dir))
+    return judged.select(
+        "topic",
+        "kafka_offset",
+        "error",
+        F.col("status.station_id").alias("status_station"),
+        F.col("status.is_renting").alias("is_renting"),
+        F.col("information.name").alias("name"),
+    )
+
+
+def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive lines as replayed messages, checked and deduplicated."""
+    judged = validate.checked(archive_messages(star.archive_lines(spark, sf_dir)))
+    rows = first_per_key(validate.valid_statuses(judged), READING_KEY, [F.col("kafka_offset")])
+    return plain(rows.select(*READING_KEY, "num_bikes_available", "num_docks_available", "is_installed", "is_replay"))
+
+
+def _archive(report: str) -> Query:
+    return lambda spark, sf_dir: plain(Archive(star.archive_lines(spark, sf_dir)).reports()[report][1])
+
+
+def _in_two_parts(spark: SparkSession, messages: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> str:
+    """Land the messages in two parts, in order, and run the stream after each; returns its folder."""
+    folder = work_dir(spark, "stream")
+    landed = f"{folder}/landed"
+    middle = messages.agg(F.expr("max(offset) div 2")).first()[0]
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        publish_files(messages.filter(part), landed)
+        start(message_files(spark, landed, streaming=True), folder).awaitTermination()
+    return folder
+
+
+def _ingested(spark: SparkSession, messages: DataFrame) -> str:
+    """Run the ingest stream over the messages; returns the root of the raw tables."""
+    start = lambda stream, folder: start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint")
+    return f"{_in_two_parts(spark, messages, start)}/raw"
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_tables(spark, _ingested(spark, star.feed_messages(spark, sf_dir)))
+    return plain(
+        raw["station_status"].select(
+            "status_id", *READING_KEY, "num_bikes_available", "num_docks_available", "is_installed", "is_replay",
+            "kafka_offset",
+        )
+    )
+
+
+def ingest_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_tables(spark, _ingested(spark, star.mixed_messages(spark, sf_dir)))
+    sums = ["received", "invalid", "status_valid", "status_inserted", "status_duplicates", "information_upserted"]
+    return raw["ingest_batches"].agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def ingest_stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_tables(spark, _ingested(spark, star.mixed_messages(spark, sf_dir)))
+    return raw["rejected_messages"].select("rejected_id", "topic", "kafka_offset", "error")
+
+
+def ingest_stream_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_tables(spark, _ingested(spark, star.mixed_messages(spark, sf_dir)))
+    return plain(raw["station_information"].select("station_id", "name", "lat", "lon", "capacity", "kafka_offset"))
+
+
+def panel_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_tables(spark, _ingested(spark, star.mixed_messages(spark, sf_dir)))
+    return monitoring.messages_rejected(raw["rejected_messages"], "2000-01-01 00:00:00", "2999-12-31 00:00:00")
+
+
+def description_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = lambda stream, folder: start_changes(stream, f"{folder}/log", f"{folder}/checkpoint")
+    folder = _in_two_parts(spark, star.description_messages(spark, sf_dir), start)
+    log = change_store(f"{folder}/log").read(spark, "changes")
+    return log.select(F.col("key").cast("long").alias("key"), F.col("offset").alias("position"), F.col("value").alias("description"))
+
+
+def live_series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = lambda stream, folder: start_series(stream, f"{folder}/series", f"{folder}/checkpoint")
+    folder = _in_two_parts(spark, star.feed_messages(spark, sf_dir), start)
+    return plain(series(spark, f"{folder}/series").select("time", "messages"))
+
+
+def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest and build in two steps: the marts of the second build cover both loads."""
+    folder = work_dir(spark, "build")
+    messages = star.feed_messages(spark, sf_dir)
+    middle = messages.agg(F.expr("max(offset) div 2")).first()[0]
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        publish_files(messages.filter(part), f"{folder}/landed")
+        stream = message_files(spark, f"{folder}/landed", streaming=True)
+        start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
+        Build(spark, f"{folder}/raw", f"{folder}/marts").run()
+    return plain(Build(spark, f"{folder}/raw", f"{folder}/marts").tables()["agg_reseau_horaire"])
+
+
 def queries() -> dict[str, Query]:
     return {
+        "archive_hourly": _archive("archive_occupation_par_heure"),
+        "archive_network_series": _archive("archive_serie_reseau"),
+        "archive_overview": _archive("archive_synthese"),
+        "archive_replay": archive_replay,
+        "archive_stations": _archive("archive_stations"),
+        "description_changes_stream": description_changes_stream,
+        "fact_redelivered": fact_redelivered,
+        "ingest_stream": ingest_stream,
+        "ingest_stream_information": ingest_stream_information,
+        "ingest_stream_ledger": ingest_stream_ledger,
+        "ingest_stream_rejected": ingest_stream_rejected,
+        "live_series_5min": live_series_5min,
+        "model_build": model_build,
+        "panel_rejected": panel_rejected,
+        "validate_messages": validate_messages,
         "agg_network_hour": _table("agg_reseau_horaire"),
         "agg_station_hour": _table("agg_occupation_horaire"),
         "dedup_first": dedup_first,

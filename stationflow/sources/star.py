@@ -7,11 +7,14 @@ station descriptions, by whole-number arithmetic that any SQL engine repeats exa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.operators.keyed import first_per_key
 from stationflow.plans import models
+from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC, as_messages
 
 STATIONS = 52
 PLACES = 12
@@ -88,24 +91,211 @@ def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw tables, staging, fact and marts over the projections, all lazy."""
-    status = station_status(spark, sf_dir)
-    information = station_information(spark, sf_dir)
-    stg_status = models.staged_status(status)
-    stg_information = models.staged_information(information)
-    dimension = models.station_dimension(stg_information)
-    readings = models.fact(stg_status, dimension)
-    sums = models.hourly_sums(readings)
-    return {
-        "station_status": status,
-        "station_information": information,
-        "ingest_batches": ingest_batches(spark, sf_dir),
-        "stg_station_status": stg_status,
-        "stg_station_information": stg_information,
-        "dim_station": dimension,
-        "fct_station_status": readings,
-        "agg_occupation_horaire": models.station_hours(sums),
-        "agg_reseau_horaire": models.network_hours(sums),
-        "stations_vides_pleines": models.station_ranking(sums, dimension),
-    }
+class Tables(Mapping):
+    """Raw tables, staging, fact and marts over the projections; each is planned when asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._plans = {
+            "station_status": lambda: station_status(spark, sf_dir),
+            "station_information": lambda: station_information(spark, sf_dir),
+            "ingest_batches": lambda: ingest_batches(spark, sf_dir),
+            "stg_station_status": lambda: models.staged_status(self["station_status"]),
+            "stg_station_information": lambda: models.staged_information(self["station_information"]),
+            "dim_station": lambda: models.station_dimension(self["stg_station_information"]),
+            "fct_station_status": lambda: models.fact(self["stg_station_status"], self["dim_station"]),
+            "hourly_sums": lambda: models.hourly_sums(self["fct_station_status"]),
+            "agg_occupation_horaire": lambda: models.station_hours(self["hourly_sums"]),
+            "agg_reseau_horaire": lambda: models.network_hours(self["hourly_sums"]),
+            "stations_vides_pleines": lambda: models.station_ranking(self["hourly_sums"], self["dim_station"]),
+        }
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            self._planned[name] = self._plans[name]()
+        return self._planned[name]
+
+    def __iter__(self):
+        return iter(self._plans)
+
+    def __len__(self) -> int:
+        return len(self._plans)
+
+
+def status_body() -> Column:
+    """The JSON body of a status message, as the poller would send it."""
+    return F.struct(
+        "station_id",
+        "num_bikes_available",
+        "num_docks_available",
+        "is_installed",
+        "is_renting",
+        "is_returning",
+        F.unix_seconds("last_reported").alias("last_reported"),
+        F.unix_seconds("feed_last_updated").alias("feed_last_updated"),
+        (F.unix_micros("fetched_at") / F.lit(1e6)).alias("fetched_at"),
+        F.col("is_replay").alias("replay"),
+    )
+
+
+def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a valid status message in the transport contract."""
+    rows = status_messages(spark, sf_dir)
+    return as_messages(
+        rows, STATUS_TOPIC, F.col("station_id"), status_body(), F.col("status_id"), F.col("ingested_at")
+    )
+
+
+def description_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a description: the user as key, the properties as body."""
+    events = table(spark, sf_dir, "events")
+    return events.select(
+        F.col("user_id").cast("string").alias("key"),
+        F.col("props").cast("binary").alias("value"),
+        F.lit(INFORMATION_TOPIC).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+# What becomes of a message, by its number modulo the length of the list.
+DAMAGE = (
+    "none",
+    "negative bikes",
+    "bikes as text",
+    "docks as boolean",
+    "renting as text",
+    "blank station",
+    "report time zero",
+    "fetch time null",
+    "vehicle types as text",
+    "docks absent",
+    "broken JSON",
+    "tombstone",
+    "bad UTF-8",
+    "bikes beyond 32 bits",
+    "bikes as 8.0",
+    "replay null",
+    "flags as 0 and 1",
+    "description",
+    "latitude 95",
+    "name null",
+    "other topic",
+)
+
+
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a message of some kind, good or damaged, over three topics."""
+    rows = status_messages(spark, sf_dir)
+    number = F.col("status_id")
+    kind = F.element_at(F.array(*[F.lit(k) for k in DAMAGE]), (number % len(DAMAGE)).cast("int") + 1)
+    rows = rows.withColumn("damage", kind)
+
+    def unless(damage: str, wrong: str, right: Column) -> Column:
+        return F.when(F.col("damage") == damage, F.lit(wrong)).otherwise(right)
+
+    bikes = F.col("num_bikes_available").cast("string")
+    for damage, wrong in (
+        ("negative bikes", "-1"),
+        ("bikes as text", '"8"'),
+        ("bikes beyond 32 bits", "3000000000"),
+        ("bikes as 8.0", "8.0"),
+    ):
+        bikes = unless(damage, wrong, bikes)
+    docks = unless("docks as boolean", "true", F.col("num_docks_available").cast("string"))
+    docks = F.when(F.col("damage") == "docks absent", F.lit("")).otherwise(
+        F.concat(F.lit('"num_docks_available":'), docks, F.lit(","))
+    )
+    installed = unless("flags as 0 and 1", "1", F.lit("true"))
+    renting = unless("renting as text", '"yes"', unless("flags as 0 and 1", "0", F.lit("true")))
+    station = unless("blank station", " ", F.col("station_id"))
+    reported = unless("report time zero", "0", F.unix_seconds("last_reported").cast("string"))
+    fetched = unless("fetch time null", "null", F.unix_seconds("fetched_at").cast("string"))
+    vehicles = unless("vehicle types as text", '"14"', F.lit('[{"vehicle_type_id":"14","count":1}]'))
+    replay = unless("replay null", "null", F.lit("false"))
+    seen = F.unix_seconds("feed_last_updated").cast("string")
+    status = F.concat(
+        F.lit('{"station_id":"'), station, F.lit('","num_bikes_available":'), bikes, F.lit(","), docks,
+        F.lit('"is_installed":'), installed, F.lit(',"is_renting":'), renting,
+        F.lit(',"is_returning":true,"last_reported":'), reported,
+        F.lit(',"vehicle_types_available":'), vehicles, F.lit(',"replay":'), replay,
+        F.lit(',"fetched_at":'), fetched, F.lit(',"feed_last_updated":'), seen, F.lit("}"),
+    )
+    information = F.concat(
+        F.lit('{"station_id":"'), F.col("station_id"), F.lit('","name":'),
+        unless("name null", "null", F.concat(F.lit('" Station '), F.col("station_id"), F.lit(' "'))),
+        F.lit(',"lat":'), unless("latitude 95", "95", F.lit("43.6")),
+        F.lit(',"lon":3.9,"capacity":'), F.col("num_bikes_available").cast("string"),
+        F.lit(',"feed_last_updated":'), seen, F.lit("}"),
+    )
+    is_information = F.col("damage").isin("description", "latitude 95", "name null")
+    text = (
+        F.when(F.col("damage") == "broken JSON", F.lit('{"station_id":'))
+        .when(F.col("damage") == "tombstone", F.lit(None).cast("string"))
+        .when(F.col("damage") == "other topic", F.lit("[1]"))
+        .when(is_information, information)
+        .otherwise(status)
+    )
+    value = F.when(F.col("damage") == "bad UTF-8", F.unhex(F.lit("7BFF7D"))).otherwise(text.cast("binary"))
+    topic = (
+        F.when(F.col("damage") == "other topic", "elsewhere")
+        .when(is_information, INFORMATION_TOPIC)
+        .otherwise(STATUS_TOPIC)
+    )
+    return rows.select(
+        F.col("station_id").alias("key"),
+        value.alias("value"),
+        topic.alias("topic"),
+        F.lit(0).alias("partition"),
+        number.alias("offset"),
+        F.col("ingested_at").alias("timestamp"),
+    )
+
+
+TTL = 60
+REPEATED_POLL = 7
+
+
+def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as archived snapshots, one line for each minute, and the stations as one description line.
+
+    Every seventh minute is polled twice. A minute holds at most one reading of each station.
+    """
+    readings = station_status(spark, sf_dir)
+    station = F.struct("station_id", "num_bikes_available", "num_docks_available", "is_installed", "is_renting",
+                       "is_returning", F.unix_seconds("last_reported").alias("last_reported"))
+    minute = F.unix_seconds("last_reported")
+    shots = readings.groupBy("last_reported").agg(
+        F.sort_array(F.collect_list(station)).alias("stations"), F.max("fetched_at").alias("seen")
+    )
+    first = (F.unix_micros("seen") / F.lit(1e6)).cast("double")
+    repeated = F.expr(f"(unix_seconds(last_reported) div 60) % {REPEATED_POLL} = 0")
+    polls = F.when(repeated, F.array(first, first + 10)).otherwise(F.array(first))
+    shots = shots.select("last_reported", "stations", F.explode(polls).alias("fetched_at"))
+    status = shots.select(
+        F.lit("status").alias("kind"),
+        F.to_json(F.struct("fetched_at", _envelope(minute, "stations").alias("status"))).alias("value"),
+        F.concat(F.lit("station_status_"), F.date_format("last_reported", "yyyy-MM-dd"), F.lit(".jsonl")).alias("file_name"),
+        F.lit(0).cast("long").alias("block"),
+        F.round(F.col("fetched_at") * F.lit(1e6)).cast("long").alias("line"),
+    )
+    described = station_information(spark, sf_dir)
+    station = F.struct("station_id", "name", "lat", "lon", "capacity", "is_virtual_station")
+    one = described.agg(F.sort_array(F.collect_list(station)).alias("stations"), F.max("feed_last_updated").alias("at"))
+    information = one.select(
+        F.lit("information").alias("kind"),
+        F.to_json(
+            F.struct(F.lit(1.0).alias("fetched_at"), _envelope(F.unix_seconds("at"), "stations").alias("information"))
+        ).alias("value"),
+        F.lit("station_information_2024-01-01.jsonl").alias("file_name"),
+        F.lit(0).cast("long").alias("block"),
+        F.lit(0).cast("long").alias("line"),
+    )
+    return status.unionByName(information)
+
+
+def _envelope(updated: Column, stations: str) -> Column:
+    return F.struct(
+        updated.alias("last_updated"), F.lit(TTL).alias("ttl"), F.struct(F.col(stations).alias("stations")).alias("data")
+    )

@@ -107,7 +107,8 @@ class Ingest:
         ).first()
         if seen["received"] == 0:
             return
-        now = F.lit(self.clock())
+        written_at = self.clock()
+        now = F.lit(written_at)
         inserted = 0
         if seen["status_valid"]:
             inserted = self._write_statuses(spark, judged, batch_id, seen, now)
@@ -133,6 +134,7 @@ class Ingest:
                 "status_inserted": inserted,
                 "status_duplicates": seen["status_valid"] - inserted,
                 "information_upserted": seen["informations"],
+                "ingested_at": written_at if inserted else None,
                 "last_status_id": self.last_status_id,
                 "last_rejected_id": self.last_rejected_id,
             },

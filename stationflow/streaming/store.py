@@ -72,8 +72,8 @@ class BatchStore:
         hot day is split.
         """
         by = self.by.get(name, [])
-        names = [f for f in self.schemas[name].fieldNames() if f not in PAIR]
-        out = rows.select(*names)
+        fields = [f for f in self.schemas[name].fields if f.name not in PAIR]
+        out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         out = out.hint("rebalance", *by) if by else out.hint("rebalance")
         (
             out.withColumn("stream_id", F.lit(stream_id))
