@@ -96,3 +96,13 @@ def is_falsy(value: Column, kind_: Column) -> Column:
 def digest(doc: Column) -> Column:
     """Hash of a document that does not depend on the order of its keys."""
     return F.sha1(F.to_json(doc))
+
+
+def settled(value: Column) -> Column:
+    """The same value, computed once where it stands.
+
+    Filters on a computed column are pushed below it by copying its expression, which for a long
+    list of rules means planning and running all of them twice. Spark does not move filters past
+    an expression that depends on the partition, and partition numbers are never negative.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)

@@ -21,6 +21,9 @@ FIELDS = ("station_id", *WHOLE, *FLAGS, *COORDINATES, "name", "fetched_at", VEHI
 LARGEST_INT = 2_147_483_647
 LAST_SECOND = 253_402_300_799  # end of the year 9999
 
+# Outcomes of the checks; a good message of another topic has none.
+REJECTED, STATUS, INFORMATION = "rejected", "status", "information"
+
 Rule = tuple[Column, Column]
 
 
@@ -181,19 +184,20 @@ class Checker:
             *[D.kind(_value(n)).alias(f"k_{n}") for n in FIELDS],
         ]
         self.converted = ["*", *_typed_columns()]
-        self.error = F.coalesce(
+        self.error = D.settled(F.coalesce(
             F.col("source_error"),
             F.when(F.col("doc").isNull(), F.lit("not JSON")),
             F.when(known & (D.kind(F.col("doc")) != "OBJECT"), F.lit("JSON object wanted")),
             F.when(is_status, _first_broken(status_rules())).when(
                 is_information, _first_broken(information_rules())
             ),
-        ).alias("error")
+        )).alias("error")
         self.result = [
             F.col("topic"),
             F.col("partition").alias("kafka_partition"),
             F.col("offset").alias("kafka_offset"),
             F.col("key"),
+            F.when(~fine, REJECTED).when(is_status, STATUS).when(is_information, INFORMATION).alias("outcome"),
             F.col("error"),
             F.when(~fine, F.coalesce(F.make_valid_utf8(text), F.lit(""))).alias("payload"),
             F.when(fine & is_status, _status_record()).alias("status"),
@@ -222,16 +226,16 @@ def checked(
 
 
 def valid_statuses(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("status").isNotNull()).select("status.*", "kafka_partition", "kafka_offset")
+    return judged.filter(F.col("outcome") == STATUS).select("status.*", "kafka_partition", "kafka_offset")
 
 
 def valid_informations(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("information").isNotNull()).select(
+    return judged.filter(F.col("outcome") == INFORMATION).select(
         "information.*", "kafka_partition", "kafka_offset"
     )
 
 
 def rejected(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("error").isNotNull()).select(
+    return judged.filter(F.col("outcome") == REJECTED).select(
         "topic", "kafka_partition", "kafka_offset", "payload", "error"
     )

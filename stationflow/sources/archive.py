@@ -82,7 +82,7 @@ def snapshots(lines: DataFrame) -> DataFrame:
         D.as_long(F.col("_last_updated")).alias("last_updated"),
         D.as_long(F.col("_ttl")).alias("ttl"),
         F.try_variant_get("_stations", "$", "array<variant>").alias("stations"),
-        error.alias("source_error"),
+        D.settled(error).alias("source_error"),
     )
 
 
