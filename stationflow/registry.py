@@ -211,7 +211,7 @@ def live_series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest and build in two steps: the marts of the second build cover both loads."""
     folder = work_dir(spark, "build")
-    messages = star.feed_messages(spark, sf_dir)
+    messages = star.feed_messages(spark, sf_dir, replayed=True)
     middle = messages.agg(F.expr("max(offset) div 2")).first()[0]
     for part in (F.col("offset") <= middle, F.col("offset") > middle):
         publish_files(messages.filter(part), f"{folder}/landed")

@@ -138,9 +138,11 @@ def status_body() -> Column:
     )
 
 
-def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a valid status message in the transport contract."""
+def feed_messages(spark: SparkSession, sf_dir: str, replayed: bool = False) -> DataFrame:
+    """Every event as a valid status message in the transport contract, all of them replayed if asked."""
     rows = status_messages(spark, sf_dir)
+    if replayed:
+        rows = rows.withColumn("is_replay", F.lit(True))
     return as_messages(
         rows, STATUS_TOPIC, F.col("station_id"), status_body(), F.col("status_id"), F.col("ingested_at")
     )
