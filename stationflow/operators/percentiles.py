@@ -18,88 +18,111 @@ from pyspark.sql import functions as F
 _UNIT = 10_000  # percentiles are given with at most four decimals
 
 
-def exact_percentiles(
-    df: DataFrame,
-    groups: list[str],
-    wanted: dict[str, tuple[Column, str]],
-    shifts: tuple[int, ...] = (24, 0),
-) -> DataFrame:
-    """One row per group; column `name` is the percentile `p` of a long column, as decimal(24,4).
-
-    `wanted` maps an output name to (values, p); p is text such as "0.95". Null values are left
-    out, and a group without any value has no row when every measure is null in it.
+class ValueCounts:
+    """How often each value of some long-typed measures occurs in each group.
+
+    Everything below reads these counts, that is the same shuffle of the source rows. Null
+    values are not counted, and a group without any value has no rows.
     """
-    measures: dict[str, Column] = {}
-    ranks: dict[str, list[tuple[str, int]]] = {}
-    for name, (values, p) in wanted.items():
-        label = str(values)
-        measures.setdefault(label, values)
-        ranks.setdefault(label, []).append((name, int(Decimal(p) * _UNIT)))
-    labels = list(measures)
-
-    pairs = [F.struct(F.lit(i).alias("m"), measures[label].cast("long").alias("v")) for i, label in enumerate(labels)]
-    counts = (
-        df.select(*groups, F.explode(F.array(*pairs)).alias("_p"))
-        .select(*groups, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(*groups, "_m", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-
-    keys = [*groups, "_m"]
-    hits: DataFrame | None = None
-    above: list[str] = []
-    for level, shift in enumerate(shifts):
-        digit = f"_d{level}"
-        digits = [F.shiftright("_v", s).alias(f"_d{i}") for i, s in enumerate(shifts[: level + 1])]
-        rows = counts.select(*keys, *digits, "_n")
-        if shift:
-            rows = rows.groupBy(*keys, *above, digit).agg(F.sum("_n").alias("_n"))
-        if hits is not None:
-            rows = rows.join(hits, [*keys, *above])
-        upto = Window.partitionBy(*keys, *above).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("_end", F.sum("_n").over(upto))
-        if hits is None:
-            total = F.sum("_n").over(Window.partitionBy(*keys))
-            rows = rows.withColumn("_total", total).withColumn("_ranks", _rank_list(ranks, labels))
-        begin = F.col("_end") - F.col("_n")
-        inside = F.filter("_ranks", lambda r: (r["at"] >= begin) & (r["at"] < F.col("_end")))
-        inside = F.transform(
-            inside, lambda r: F.struct(r["tag"].alias("tag"), (r["at"] - begin).alias("at"), r["part"].alias("part"))
+
+    def __init__(self, df: DataFrame, groups: list[str], measures: dict[str, Column]):
+        self.groups = groups
+        self.numbers = {name: i for i, name in enumerate(measures)}
+        pairs = [
+            F.struct(F.lit(self.numbers[name]).alias("m"), values.cast("long").alias("v"))
+            for name, values in measures.items()
+        ]
+        self.counts = (
+            df.select(*groups, F.explode(F.array(*pairs)).alias("_p"))
+            .select(*groups, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
+            .filter(F.col("_v").isNotNull())
+            .groupBy(*groups, "_m", "_v")
+            .agg(F.count(F.lit(1)).alias("_n"))
         )
-        above = [*above, digit]
-        hits = rows.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).select(*keys, *above, "_ranks")
-
-    value = F.col(above[-1])
-    found = hits.select(*groups, value.alias("_v"), F.explode("_ranks").alias("_r"))
-    columns = []
-    for label in labels:
-        for name, _ in ranks[label]:
-            low = F.max(F.when(F.col("_r.tag") == f"{name}:low", F.col("_v")))
-            high = F.max(F.when(F.col("_r.tag") == f"{name}:high", F.col("_v")))
-            part = F.max(F.when(F.col("_r.tag") == f"{name}:low", F.col("_r.part")))
-            columns.append(
-                (low + (high - low) * (part.cast("decimal(10,0)") / F.lit(Decimal(_UNIT))))
-                .cast("decimal(24,4)")
-                .alias(name)
+
+    def count(self, measure: str, above: int | None = None) -> Column:
+        """Number of values, or of those above a limit."""
+        chosen = F.col("_m") == self.numbers[measure]
+        if above is not None:
+            chosen = chosen & (F.col("_v") > above)
+        return F.coalesce(F.sum(F.when(chosen, F.col("_n"))), F.lit(0))
+
+    def largest(self, measure: str) -> Column:
+        return F.max(F.when(F.col("_m") == self.numbers[measure], F.col("_v"))).cast("decimal(24,4)")
+
+    def totals(self, *columns: Column) -> DataFrame:
+        """One row per group of `count` and `largest` columns."""
+        return self.counts.groupBy(*self.groups).agg(*columns)
+
+    def percentiles(self, wanted: dict[str, tuple[str, str]], shifts: tuple[int, ...] = (24, 0)) -> DataFrame:
+        """One row per group; column `name` is the percentile of a measure, as decimal(24,4).
+
+        `wanted` maps an output name to (measure, p); p is text such as "0.95".
+        """
+        groups, counts = self.groups, self.counts
+        ranks: dict[int, list[tuple[str, int]]] = {}
+        for name, (measure, p) in wanted.items():
+            ranks.setdefault(self.numbers[measure], []).append((name, int(Decimal(p) * _UNIT)))
+        if set(ranks) != set(self.numbers.values()):
+            counts = counts.filter(F.col("_m").isin(*ranks))
+
+        keys = [*groups, "_m"]
+        hits: DataFrame | None = None
+        above: list[str] = []
+        for level, shift in enumerate(shifts):
+            digit = f"_d{level}"
+            digits = [F.shiftright("_v", s).alias(f"_d{i}") for i, s in enumerate(shifts[: level + 1])]
+            rows = counts.select(*keys, *digits, "_n")
+            if shift:
+                rows = rows.groupBy(*keys, *above, digit).agg(F.sum("_n").alias("_n"))
+            if hits is not None:
+                rows = rows.join(hits, [*keys, *above])
+            upto = Window.partitionBy(*keys, *above).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
+            rows = rows.withColumn("_end", F.sum("_n").over(upto))
+            if hits is None:
+                total = F.sum("_n").over(Window.partitionBy(*keys))
+                rows = rows.withColumn("_total", total).withColumn("_ranks", _rank_list(ranks))
+            begin = F.col("_end") - F.col("_n")
+            inside = F.filter("_ranks", lambda r: (r["at"] >= begin) & (r["at"] < F.col("_end")))
+            inside = F.transform(
+                inside,
+                lambda r: F.struct(r["tag"].alias("tag"), (r["at"] - begin).alias("at"), r["part"].alias("part")),
             )
-    return found.groupBy(*groups).agg(*columns)
+            above = [*above, digit]
+            hits = rows.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).select(*keys, *above, "_ranks")
+
+        found = hits.select(*groups, F.col(above[-1]).alias("_v"), F.explode("_ranks").alias("_r"))
+        columns = []
+        for name in wanted:
+            is_low = F.col("_r.tag") == f"{name}:low"
+            low = F.max(F.when(is_low, F.col("_v")))
+            high = F.max(F.when(F.col("_r.tag") == f"{name}:high", F.col("_v")))
+            part = F.max(F.when(is_low, F.col("_r.part")))
+            between = (high - low) * (part.cast("decimal(10,0)") / F.lit(Decimal(_UNIT)))
+            columns.append((low + between).cast("decimal(24,4)").alias(name))
+        return found.groupBy(*groups).agg(*columns)
+
+
+def exact_percentiles(df: DataFrame, groups: list[str], wanted: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Percentiles alone: `wanted` maps an output name to (values, p)."""
+    measures = {str(values): values for values, _ in wanted.values()}
+    return ValueCounts(df, groups, measures).percentiles({n: (str(v), p) for n, (v, p) in wanted.items()})
 
 
-def _rank_list(ranks: dict[str, list[tuple[str, int]]], labels: list[str]) -> Column:
+def _rank_list(ranks: dict[int, list[tuple[str, int]]]) -> Column:
     """The two neighbouring ranks of every percentile of the row's measure."""
     last = F.col("_total") - 1
     branches = []
-    for i, label in enumerate(labels):
+    for measure, asked in ranks.items():
         entries = []
-        for name, scaled in ranks[label]:
+        for name, scaled in asked:
             exact = last * F.lit(scaled).cast("long")
             low = F.call_function("div", exact, F.lit(_UNIT))
             part = exact - low * _UNIT
             high = F.when(part > 0, low + 1).otherwise(low)
             entries.append(_entry(f"{name}:low", low, part))
             entries.append(_entry(f"{name}:high", high, part))
-        branches.append((F.col("_m") == i, F.array(*entries)))
+        branches.append((F.col("_m") == measure, F.array(*entries)))
     first, *rest = branches
     return reduce(lambda c, b: c.when(*b), rest, F.when(*first))
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from stationflow.functions import documents as D
 from stationflow.functions import measures as M
 from stationflow.functions import times as T
-from stationflow.operators.keyed import first_per_key, latest_per_key
-from stationflow.operators.percentiles import exact_percentiles, seconds
+from stationflow.operators.keyed import latest_per_key
+from stationflow.operators.percentiles import ValueCounts, exact_percentiles, seconds
 from stationflow.operators.rows import side_by_side
 from stationflow.plans.models import ZONE
 from stationflow.plans.reports import GAP_LIMIT_S, snapshot_gaps
@@ -35,8 +35,6 @@ class Archive:
 
     def __init__(self, lines: DataFrame, zone: str = ZONE):
         self.zone = zone
-        decoded = snapshots(lines).filter(F.col("source_error").isNull())
-
         # Stations are reduced to what the analysis needs before anything is shuffled.
         def reduced(s: Column) -> Column:
             return F.struct(
@@ -46,13 +44,17 @@ class Archive:
                 _present(s).alias("installed"),
             )
 
-        self.polls = decoded.filter(F.col("kind") == STATUS).select(
+        # Each kind is decoded on its own, so no line is parsed for the other.
+        def decoded(kind: str) -> DataFrame:
+            return snapshots(lines.filter(F.col("kind") == kind)).filter(F.col("source_error").isNull())
+
+        polls = decoded(STATUS).select(
             *LINE_ORDER,
             F.timestamp_seconds("last_updated").alias("last_updated"),
             D.as_double(F.col("fetched_at")).alias("fetched_at"),
             F.transform("stations", reduced).alias("stations"),
         )
-        described = decoded.filter(F.col("kind") == INFORMATION).select(
+        described = decoded(INFORMATION).select(
             *LINE_ORDER, F.posexplode("stations").alias("pos", "s")
         )
         self.descriptions = latest_per_key(
@@ -68,8 +70,14 @@ class Archive:
         ).select("station_id", "name", "capacity")
 
         # A poll that brought a snapshot already seen is redundant: the first fetch wins.
-        order = [F.col(c) for c in ("fetched_at", *LINE_ORDER)]
-        self.snapshots = first_per_key(self.polls, ["last_updated"], order)
+        self.snapshots = (
+            polls.groupBy("last_updated")
+            .agg(
+                F.count(F.lit(1)).alias("polls"),
+                F.min_by(F.struct("fetched_at", "stations"), F.struct("fetched_at", *LINE_ORDER)).alias("first"),
+            )
+            .select("last_updated", "polls", "first.*")
+        )
         rows = self.snapshots.select("last_updated", "fetched_at", F.posexplode("stations").alias("pos", "s"))
         bikes, docks, installed = F.col("s.bikes"), F.col("s.docks"), F.col("s.installed")
         self.readings = rows.select(
@@ -156,11 +164,11 @@ class Archive:
             F.count(F.lit(1)).alias("stations_decrites"),
             F.coalesce(F.sum(F.coalesce("capacity", F.lit(0))), F.lit(0)).alias("capacite_totale"),
         )
-        polls = self.polls.agg(F.count(F.lit(1)).alias("interrogations"))
         age = F.round((F.col("fetched_at") - F.unix_seconds("last_updated")) * T.MICROS).cast("long")
-        ages = self.snapshots.select("last_updated", age.alias("age"))
+        ages = self.snapshots.select("last_updated", "polls", age.alias("age"))
         span = T.seconds_between(F.max("last_updated"), F.min("last_updated"))
         shots = ages.agg(
+            F.coalesce(F.sum("polls"), F.lit(0)).alias("interrogations"),
             F.count(F.lit(1)).alias("instantanes_distincts"),
             F.min("last_updated").alias("debut_utc"),
             F.max("last_updated").alias("fin_utc"),
@@ -169,11 +177,12 @@ class Archive:
         )
         age_median = exact_percentiles(ages, [], {"age_median": (F.col("age"), "0.5")})
         gaps = snapshot_gaps(self.snapshots, "last_updated")
-        gap_counts = gaps.agg(
-            F.max("gap").cast("decimal(24,4)").alias("gap_max"),
-            F.count_if(F.col("gap") > GAP_LIMIT_S * T.MICROS).alias("intervalles_superieurs_90s"),
+        values = ValueCounts(gaps, [], {"gap": F.col("gap")})
+        gap_counts = values.totals(
+            values.largest("gap").alias("gap_max"),
+            values.count("gap", above=GAP_LIMIT_S * T.MICROS).alias("intervalles_superieurs_90s"),
         )
-        gap_median = exact_percentiles(gaps, [], {"gap_median": (F.col("gap"), "0.5")})
+        gap_median = values.percentiles({"gap_median": ("gap", "0.5")})
         # Readings are counted by station first; the few rows left are joined to the descriptions.
         per_station = self.readings.groupBy("station_id", "bikes").agg(*self._sums())
         joined = per_station.join(self.descriptions, "station_id", "left")
@@ -185,7 +194,7 @@ class Archive:
                 "releves_velos_superieurs_capacite"
             ),
         )
-        return side_by_side(described, polls, shots, age_median, gap_counts, gap_median, sums).select(
+        return side_by_side(described, shots, age_median, gap_counts, gap_median, sums).select(
             F.lit(SOURCE).alias("source"),
             "stations_decrites",
             "stations_observees",

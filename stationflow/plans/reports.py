@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stationflow.functions import measures as M
 from stationflow.functions import times as T
 from stationflow.operators.ordered import with_previous
-from stationflow.operators.percentiles import exact_percentiles, seconds
+from stationflow.operators.percentiles import ValueCounts, seconds
 from stationflow.operators.rows import side_by_side
 
 Tables = Mapping[str, DataFrame]
@@ -74,19 +74,18 @@ def _delays():
 
 def latency(tables: Tables) -> DataFrame:
     """Latency percentiles of live readings."""
-    readings = live(tables["station_status"])
     end_to_end, pipeline, feed_age = _delays()
-    totals = readings.agg(F.count(F.lit(1)).alias("n"), F.max(end_to_end).cast("decimal(24,4)").alias("longest"))
-    points = exact_percentiles(
-        readings,
-        [],
+    delays = {"end_to_end": end_to_end, "pipeline": pipeline, "age": feed_age}
+    values = ValueCounts(live(tables["station_status"]), [], delays)
+    totals = values.totals(values.count("end_to_end").alias("n"), values.largest("end_to_end").alias("longest"))
+    points = values.percentiles(
         {
-            "e50": (end_to_end, "0.50"),
-            "e95": (end_to_end, "0.95"),
-            "p50": (pipeline, "0.50"),
-            "p95": (pipeline, "0.95"),
-            "a50": (feed_age, "0.50"),
-        },
+            "e50": ("end_to_end", "0.50"),
+            "e95": ("end_to_end", "0.95"),
+            "p50": ("pipeline", "0.50"),
+            "p95": ("pipeline", "0.95"),
+            "a50": ("age", "0.50"),
+        }
     )
     return side_by_side(totals, points).select(
         "n",
@@ -115,12 +114,13 @@ def snapshot_gaps(snapshots: DataFrame, instant: str) -> DataFrame:
 def missed_snapshots(tables: Tables) -> DataFrame:
     """Gap statistics; a gap above 90 s means at least one update was not caught."""
     gaps = snapshot_gaps(live(tables["station_status"]), "feed_last_updated")
-    totals = gaps.agg(
-        F.count(F.lit(1)).alias("intervalles"),
-        F.count_if(F.col("gap") > GAP_LIMIT_S * T.MICROS).alias("intervalles_superieurs_90s"),
-        F.max("gap").cast("decimal(24,4)").alias("longest"),
+    values = ValueCounts(gaps, [], {"gap": F.col("gap")})
+    totals = values.totals(
+        values.count("gap").alias("intervalles"),
+        values.count("gap", above=GAP_LIMIT_S * T.MICROS).alias("intervalles_superieurs_90s"),
+        values.largest("gap").alias("longest"),
     )
-    middle = exact_percentiles(gaps, [], {"median": (F.col("gap"), "0.5")})
+    middle = values.percentiles({"median": ("gap", "0.5")})
     return side_by_side(totals, middle).select(
         "intervalles",
         "intervalles_superieurs_90s",
@@ -132,15 +132,19 @@ def missed_snapshots(tables: Tables) -> DataFrame:
 def ingestion_series(tables: Tables) -> DataFrame:
     """Inserted readings and live latency for each five minutes of ingestion."""
     status = tables["station_status"].withColumn("bucket", T.bucket_start(F.col("ingested_at"), 5))
-    counts = status.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("releves_inseres"),
-        F.count_if(~F.col("is_replay")).alias("releves_temps_reel"),
-    )
     end_to_end, pipeline, _ = _delays()
-    points = exact_percentiles(
-        live(status),
+    is_live = ~F.col("is_replay")
+    values = ValueCounts(
+        status,
         ["bucket"],
-        {"e50": (end_to_end, "0.50"), "e95": (end_to_end, "0.95"), "p95": (pipeline, "0.95")},
+        # The constant counts every reading in the same pass.
+        {"any": F.lit(0), "end_to_end": F.when(is_live, end_to_end), "pipeline": F.when(is_live, pipeline)},
+    )
+    counts = values.totals(
+        values.count("any").alias("releves_inseres"), values.count("end_to_end").alias("releves_temps_reel")
+    )
+    points = values.percentiles(
+        {"e50": ("end_to_end", "0.50"), "e95": ("end_to_end", "0.95"), "p95": ("pipeline", "0.95")}
     )
     return (
         counts.join(points, "bucket", "left")

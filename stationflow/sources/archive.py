@@ -86,15 +86,17 @@ def snapshots(lines: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_messages(snaps: DataFrame, replay: bool = True) -> DataFrame:
+def snapshot_messages(snaps: DataFrame, order: list[str], replay: bool = True) -> DataFrame:
     """One message for each station of a good snapshot, one rejected line for each broken one.
 
     Status messages carry the snapshot's `last_updated` and `fetched_at` (and the replay flag);
     descriptions carry `last_updated`. A station's own field of the same name is overwritten.
     """
-    order = [c for c in LINE_ORDER if c in snaps.columns]
-    good = snaps.filter(F.col("source_error").isNull()).select(
-        "kind", *order, "last_updated", "fetched_at", F.posexplode("stations").alias("pos", "_station")
+    fine = F.col("source_error").isNull()
+    # A broken line stays one row, so that every line is decoded once only.
+    listed = F.when(fine, F.col("stations")).otherwise(F.array(F.lit(None).cast("variant")))
+    rows = snaps.select(
+        "kind", *order, "value", "source_error", "last_updated", "fetched_at", F.posexplode(listed).alias("pos", "_station")
     )
     added = {"feed_last_updated": F.col("last_updated").cast("variant")}
     timed = {**added, "fetched_at": F.col("fetched_at")}
@@ -106,48 +108,47 @@ def snapshot_messages(snaps: DataFrame, replay: bool = True) -> DataFrame:
         pairs = [c for name, value in extra.items() for c in (F.lit(name), value)]
         return F.to_variant_object(F.map_concat(own, F.create_map(*pairs)))
 
-    good = good.withColumn("_fields", F.try_variant_get("_station", "$", "map<string,variant>"))
+    rows = rows.withColumn("_fields", F.try_variant_get("_station", "$", "map<string,variant>"))
     doc = (
         F.when(F.col("_fields").isNull(), F.col("_station"))
         .when(F.col("kind") == STATUS, spread(timed))
         .otherwise(spread(added))
     )
-    good = good.select(
+    rows = rows.select(
         "kind",
         *order,
         "pos",
         D.as_text(D.get(F.col("_station"), "station_id")).alias("key"),
         doc.alias("doc"),
-        F.lit(None).cast("string").alias("line_text"),
-        F.lit(None).cast("string").alias("source_error"),
-    )
-    bad = snaps.filter(F.col("source_error").isNotNull()).select(
-        "kind",
-        *order,
-        F.lit(0).alias("pos"),
-        F.lit(None).cast("string").alias("key"),
-        F.lit(None).cast("variant").alias("doc"),
-        F.col("value").alias("line_text"),
+        F.when(~fine, F.col("value")).alias("line_text"),
         "source_error",
     )
     topic = F.when(F.col("kind") == STATUS, STATUS_TOPIC).otherwise(INFORMATION_TOPIC)
-    return good.unionByName(bad).withColumn("topic", topic)
+    return rows.withColumn("topic", topic)
+
+
+# An offset is a line number with room for the stations of the line; a block of offsets, as the
+# ingest numbers them, is then 65 536 lines.
+STATION_BITS = 20
+BLOCK_BITS = STATION_BITS + 16
 
 
 def archive_messages(lines: DataFrame, replay: bool = True) -> DataFrame:
     """Archive lines in the message contract: all descriptions first, then statuses, in file order.
 
-    `doc` carries the decoded message, so that it is not written out and parsed again.
+    Lines are numbered before they are decoded, so counting the lines of each split reads text
+    but parses nothing. `doc` carries the decoded message, so that it is not written out and
+    parsed again.
     """
-    rows = snapshot_messages(snapshots(lines), replay)
-    rows = rows.withColumn("_status", (F.col("kind") == STATUS).cast("int"))
-    rows = numbered(rows, ["_status", "file_name", "block"], ["line", "pos"], "offset", start=-1)
+    ranked = lines.withColumn("_status", (F.col("kind") == STATUS).cast("int"))
+    ranked = numbered(ranked, ["_status", "file_name", "block"], ["line"], "_number", start=-1)
+    rows = snapshot_messages(snapshots(ranked), ["_number"], replay)
     return rows.select(
         "key",
         F.coalesce(F.col("line_text"), F.to_json("doc")).cast("binary").alias("value"),
         "topic",
         F.lit(0).alias("partition"),
-        "offset",
+        (F.shiftleft("_number", STATION_BITS) + F.col("pos")).alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"),
         "doc",
         "source_error",

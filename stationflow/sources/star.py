@@ -115,6 +115,10 @@ class Tables(Mapping):
             self._planned[name] = self._plans[name]()
         return self._planned[name]
 
+    def put(self, name: str, rows: DataFrame) -> None:
+        """Use other rows for a table, before those that build on it are planned."""
+        self._planned = {name: rows}
+
     def __iter__(self):
         return iter(self._plans)
 

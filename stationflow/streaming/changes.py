@@ -7,21 +7,23 @@ with the log. Unlike digests kept in a process, the log survives a restart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from stationflow.functions import documents as D
 from stationflow.operators.changes import block_of
 from stationflow.operators.keyed import BROADCAST_KEYS, latest_per_key
 from stationflow.operators.ordered import with_previous
-from stationflow.functions import documents as D
 from stationflow.session import configure
 from stationflow.streaming.ingest import stream_name
 from stationflow.streaming.store import BatchStore
 
 _PAIR = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 
+ARRIVAL = ["batch_id", "partition", "offset"]
+
 CHANGES = T.StructType(
     [
         T.StructField("key", T.StringType()),
@@ -45,33 +47,42 @@ class Changes:
     def __init__(self, store: BatchStore, stream_id: str):
         self.store = store
         self.stream_id = stream_id
+        self.marks: dict[str, int] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
-        marks = self.store.marks(spark)
-        if batch_id <= marks.get(self.stream_id, -1):
+        if self.marks is None:
+            self.marks = self.store.marks(spark)
+        if batch_id <= self.marks.get(self.stream_id, -1):
             return
         text = F.col("value").cast("string")
         hashed = batch.select(
-            "key", text.alias("value"), D.digest(D.parse(text)).alias("digest"), "partition", "offset"
+            "key", text.alias("value"), F.struct(D.digest(D.parse(text)).alias("d")).alias("state"), "partition", "offset"
         ).persist()
         try:
             stations = hashed.select("key").distinct()
             n = stations.count()
             if n == 0:
                 return
-            log = self.store.read(spark, "changes", marks).select("key", "digest", "batch_id", "partition", "offset")
-            mine = log.join(F.broadcast(stations) if n <= BROADCAST_KEYS else stations, "key", "left_semi")
-            known = latest_per_key(mine, ["key"], ["batch_id", "partition", "offset"])
-            known = known.select("key", F.col("digest").alias("_known"))
-            compared = with_previous(hashed, ["key"], block_of("offset"), ["offset"], "digest", "_before")
-            compared = compared.join(known, "key", "left")
-            before = F.coalesce(F.col("_before"), F.col("_known"))
-            self.store.write("changes", compared.filter(~F.col("digest").eqNullSafe(before)), self.stream_id, batch_id)
+            found = self._changed(spark, hashed, stations, n).withColumn("digest", F.col("state.d")).persist()
+            self.store.write("changes", found, self.stream_id, batch_id)
+            changes = found.count()
+            found.unpersist()
         finally:
             hashed.unpersist()
-        written = self.store.read(spark, "changes", {self.stream_id: batch_id}).filter(F.col("batch_id") == batch_id)
-        self.store.commit(spark, self.stream_id, batch_id, {"changes": written.count()})
+        self.store.commit(spark, self.stream_id, batch_id, {"changes": changes})
+        self.marks[self.stream_id] = batch_id
+
+    def _changed(self, spark: SparkSession, hashed: DataFrame, stations: DataFrame, n: int) -> DataFrame:
+        """Rows that differ from the row before them; only a station's first row asks the log."""
+        log = self.store.read(spark, "changes", self.marks).select("key", "digest", *ARRIVAL)
+        mine = log.join(F.broadcast(stations) if n <= BROADCAST_KEYS else stations, "key", "left_semi")
+        known = latest_per_key(mine, ["key"], ARRIVAL).select("key", F.struct(F.col("digest").alias("d")).alias("known"))
+        compared = with_previous(hashed, ["key"], block_of("offset"), ["offset"], "state", "before")
+        inside = compared.filter(F.col("before").isNotNull() & ~F.col("state").eqNullSafe(F.col("before")))
+        first = compared.filter(F.col("before").isNull()).join(known, "key", "left")
+        first = first.filter(~F.col("state").eqNullSafe(F.col("known"))).drop("known")
+        return inside.unionByName(first)
 
 
 def start_changes(stream: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:

@@ -51,7 +51,11 @@ def current_information(log: DataFrame, order_by: str = "arrival") -> DataFrame:
 
 
 class Ingest:
-    """The body of the ingest query, for use with `foreachBatch`. One writer per store."""
+    """The body of the ingest query, for use with `foreachBatch`. One writer per store.
+
+    `decode` turns the source's rows into messages; `block_bits` sets how many offsets are
+    numbered together (2 ** block_bits of them hold the rows of one task).
+    """
 
     def __init__(
         self,
@@ -61,6 +65,7 @@ class Ingest:
         information_topic: str = INFORMATION_TOPIC,
         position: str = "first",
         decode: Callable[[DataFrame], DataFrame] | None = None,
+        block_bits: int = 16,
         clock: Callable[[], datetime] = lambda: datetime.now(UTC),
     ):
         if position not in ("first", "last"):
@@ -70,6 +75,7 @@ class Ingest:
         self.check = validate.Checker(status_topic, information_topic)
         self.position = position
         self.decode = decode
+        self.block = F.shiftright("kafka_offset", block_bits)
         self.clock = clock
         self.marks: dict[str, int] | None = None
         self.last_status_id = 0
@@ -116,7 +122,7 @@ class Ingest:
             latest = latest_per_key(validate.valid_informations(judged), ["station_id"], ARRIVAL)
             self.store.write("station_information", latest.withColumn("updated_at", now), self.stream_id, batch_id)
         if seen["invalid"]:
-            bad = validate.rejected(judged).withColumn("_block", F.shiftright("kafka_offset", 16))
+            bad = validate.rejected(judged).withColumn("_block", self.block)
             bad = numbered(bad, ["kafka_partition", "_block"], ["kafka_offset", "topic"], "rejected_id", self.last_rejected_id)
             self.store.write("rejected_messages", bad.withColumn("rejected_at", now), self.stream_id, batch_id)
         self.last_status_id += inserted
@@ -154,7 +160,7 @@ class Ingest:
         try:
             inserted = fresh.count()
             if inserted:
-                rows = fresh.withColumn("_block", F.shiftright("kafka_offset", 16))
+                rows = fresh.withColumn("_block", self.block)
                 rows = numbered(rows, ["kafka_partition", "_block"], ["kafka_offset"], "status_id", self.last_status_id)
                 self.store.write("station_status", rows.withColumn("ingested_at", now), self.stream_id, batch_id)
         finally:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ SERIES = T.StructType(
         *_PAIR,
     ]
 )
-BATCHES = T.StructType([T.StructField("windows", T.LongType()), *_PAIR])
+BATCHES = T.StructType([T.StructField("written_at", T.TimestampType()), *_PAIR])
 
 
 def series_store(root: str) -> BatchStore:
@@ -45,13 +47,17 @@ def windowed(messages: DataFrame, minutes: int = 5, lateness: str | None = None)
 def start_series(stream: DataFrame, root: str, checkpoint: str, every: str | None = None, **options) -> StreamingQuery:
     """Write every changed window of a micro-batch; `series` reads the newest state of each."""
     store, stream_id = series_store(root), stream_name(checkpoint)
+    marks: dict[str, int] = {}
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id <= store.marks(spark).get(stream_id, -1):
+        if not marks:
+            marks.update({stream_id: -1, **store.marks(spark)})
+        if batch_id <= marks[stream_id]:
             return
         store.write("series", batch, stream_id, batch_id)
-        store.commit(spark, stream_id, batch_id, {"windows": None})
+        store.commit(spark, stream_id, batch_id, {"written_at": datetime.now(UTC)})
+        marks[stream_id] = batch_id
 
     writer = windowed(stream, **options).writeStream.outputMode("update").foreachBatch(body)
     writer = writer.option("checkpointLocation", checkpoint)
