@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow import schemas
 from stationflow.operators.keyed import absent_from, first_per_key, first_with_last_position, latest_per_key
-from stationflow.operators.ordered import numbered
+from stationflow.operators.ordered import numbered, numbered_small
 from stationflow.plans import validate
 from stationflow.session import configure
 from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC
@@ -22,9 +22,14 @@ from stationflow.streaming.store import BatchStore
 READING_KEY = ["station_id", "last_reported"]
 ARRIVAL = ["kafka_partition", "kafka_offset"]
 
-# Days of one batch that are listed one by one; a wider batch is compared by its first and last day.
+# A batch that spans no more days than this is compared with each of them; a wider one with the
+# days it holds, if they are few enough to list, else with the range from first to last.
+SPANNED_DAYS = 40
 LISTED_DAYS = 1000
 
+# Messages of a batch that one task may number and write; counted before it is used.
+SMALL_BATCH = 200_000
+
 
 def raw_store(root: str) -> BatchStore:
     return BatchStore(
@@ -110,21 +115,25 @@ class Ingest:
             F.count("information").alias("informations"),
             F.min("status.last_reported").alias("first_reported"),
             F.max("status.last_reported").alias("last_reported"),
+            F.to_date(F.min("status.last_reported")).alias("first_day"),
+            F.to_date(F.max("status.last_reported")).alias("last_day"),
         ).first()
         if seen["received"] == 0:
             return
+        small = seen["received"] <= SMALL_BATCH
         written_at = self.clock()
         now = F.lit(written_at)
         inserted = 0
         if seen["status_valid"]:
-            inserted = self._write_statuses(spark, judged, batch_id, seen, now)
+            inserted = self._write_statuses(spark, judged, batch_id, seen, now, small)
         if seen["informations"]:
             latest = latest_per_key(validate.valid_informations(judged), ["station_id"], ARRIVAL)
-            self.store.write("station_information", latest.withColumn("updated_at", now), self.stream_id, batch_id)
+            latest = latest.withColumn("updated_at", now)
+            self.store.write("station_information", latest, self.stream_id, batch_id, small)
         if seen["invalid"]:
-            bad = validate.rejected(judged).withColumn("_block", self.block)
-            bad = numbered(bad, ["kafka_partition", "_block"], ["kafka_offset", "topic"], "rejected_id", self.last_rejected_id)
-            self.store.write("rejected_messages", bad.withColumn("rejected_at", now), self.stream_id, batch_id)
+            bad = self._numbered(validate.rejected(judged), [*ARRIVAL, "topic"], "rejected_id", self.last_rejected_id, small)
+            bad = bad.withColumn("rejected_at", now)
+            self.store.write("rejected_messages", bad, self.stream_id, batch_id, small)
         self.last_status_id += inserted
         self.last_rejected_id += seen["invalid"]
         self.store.commit(
@@ -147,7 +156,15 @@ class Ingest:
         )
         self.marks[self.stream_id] = batch_id
 
-    def _write_statuses(self, spark: SparkSession, judged: DataFrame, batch_id: int, seen, now) -> int:
+    def _numbered(self, rows: DataFrame, order: list[str], out: str, start: int, small: bool) -> DataFrame:
+        if small:
+            return numbered_small(rows, order, out, start)
+        first, *rest = order
+        return numbered(rows.withColumn("_block", self.block), [first, "_block"], rest, out, start)
+
+    def _write_statuses(
+        self, spark: SparkSession, judged: DataFrame, batch_id: int, seen, now: Column, small: bool
+    ) -> int:
         valid = validate.valid_statuses(judged)
         if self.position == "first":
             unique = first_per_key(valid, READING_KEY, [F.col(c) for c in ARRIVAL])
@@ -160,26 +177,35 @@ class Ingest:
         try:
             inserted = fresh.count()
             if inserted:
-                rows = fresh.withColumn("_block", self.block)
-                rows = numbered(rows, ["kafka_partition", "_block"], ["kafka_offset"], "status_id", self.last_status_id)
-                self.store.write("station_status", rows.withColumn("ingested_at", now), self.stream_id, batch_id)
+                rows = self._numbered(fresh, ARRIVAL, "status_id", self.last_status_id, small)
+                rows = rows.withColumn("ingested_at", now)
+                self.store.write("station_status", rows, self.stream_id, batch_id, small)
         finally:
             fresh.unpersist()
         return inserted
 
     def _stored(self, spark: SparkSession, valid: DataFrame, seen) -> DataFrame:
         """Committed readings that could share a key with the batch: the key holds the date."""
-        days = valid.select(F.to_date("last_reported").alias("d")).distinct().limit(LISTED_DAYS + 1).collect()
         first, last = F.lit(seen["first_reported"]), F.lit(seen["last_reported"])
-        if len(days) <= LISTED_DAYS:
-            folders = [f"date={r['d'].isoformat()}" for r in days]
-            stored = self.store.read(spark, "station_status", self.marks, folders)
+        days = self._days(valid, seen)
+        if days is not None:
+            stored = self.store.read(spark, "station_status", self.marks, [f"date={d.isoformat()}" for d in days])
         else:
             stored = self.store.read(spark, "station_status", self.marks)
             stored = stored.filter(F.col("date").between(F.to_date(first), F.to_date(last)))
         return stored.filter(F.col("last_reported").between(first, last))
 
 
+    @staticmethod
+    def _days(valid: DataFrame, seen) -> list[date] | None:
+        """The days a batch can hold, or None when they are too many to list."""
+        first, last = seen["first_day"], seen["last_day"]
+        if (last - first).days < SPANNED_DAYS:
+            return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+        rows = valid.select(F.to_date("last_reported").alias("d")).distinct().limit(LISTED_DAYS + 1).collect()
+        return [r["d"] for r in rows] if len(rows) <= LISTED_DAYS else None
+
+
 def stream_name(checkpoint: str) -> str:
     """A stream id that is fixed for each checkpoint, because batch numbers restart with a new one."""
     return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]

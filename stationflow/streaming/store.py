@@ -65,16 +65,19 @@ class BatchStore:
         known = self.marks(spark) if marks is None else marks
         return self._scan(spark, name, folders).filter(self.committed(known))
 
-    def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
+    def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int, small: bool = False) -> None:
         """Overwrite the batch's own partitions of one table.
 
         The rebalance lets adaptive execution size the files: small partitions are merged and a
-        hot day is split.
+        hot day is split. Rows counted as `small` are written by one task without a shuffle.
         """
         by = self.by.get(name, [])
         fields = [f for f in self.schemas[name].fields if f.name not in PAIR]
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-        out = out.hint("rebalance", *by) if by else out.hint("rebalance")
+        if small:
+            out = out.coalesce(1)
+        else:
+            out = out.hint("rebalance", *by) if by else out.hint("rebalance")
         (
             out.withColumn("stream_id", F.lit(stream_id))
             .withColumn("batch_id", F.lit(batch_id).cast("long"))

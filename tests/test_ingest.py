@@ -39,7 +39,9 @@ BATCH_1 = [status(num_bikes_available=1), status(station_id="007"), status(last_
            (INFO, information(station_id="007", name="Other"))]
 
 
-def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path):
+@pytest.mark.parametrize("small", [ing.SMALL_BATCH, 0])
+def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path, small, monkeypatch):
+    monkeypatch.setattr(ing, "SMALL_BATCH", small)
     run = runner(tmp_path)
     run(messages(spark, BATCH_0), 0)
     run(messages(spark, BATCH_1, start=100), 1)
@@ -111,8 +113,10 @@ def test_description_order(spark, tmp_path):
     assert (arrival, newest) == ("old", "new")
 
 
-def test_wide_batch_compares_by_range(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ing, "LISTED_DAYS", 1)
+@pytest.mark.parametrize("listed", [1, 1000])
+def test_wide_batch_compares_by_range(spark, tmp_path, monkeypatch, listed):
+    monkeypatch.setattr(ing, "SPANNED_DAYS", 1)
+    monkeypatch.setattr(ing, "LISTED_DAYS", listed)
     run = runner(tmp_path)
     days = [status(last_reported=T0 + d * 86400) for d in range(4)]
     run(messages(spark, days), 0)
