@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from stationflow.operators.percentiles import ValueCounts, exact_percentiles, se
 from stationflow.operators.rows import side_by_side
 from stationflow.plans.models import ZONE
 from stationflow.plans.reports import GAP_LIMIT_S, snapshot_gaps
+from stationflow.sinks import write_report
 from stationflow.sources.archive import INFORMATION, LINE_ORDER, STATUS, snapshots
 
 SOURCE = "archived feed snapshots, without the pipeline"
@@ -217,11 +220,17 @@ class Archive:
             "releves_velos_superieurs_capacite",
         )
 
-    def reports(self) -> dict[str, tuple[str, DataFrame]]:
-        """Report name -> (shape, rows)."""
+    def reports(self) -> dict[str, tuple[str, Callable[[], DataFrame]]]:
+        """Report name -> (shape, function that plans its rows)."""
         return {
-            "archive_synthese": ("json", self.overview()),
-            "archive_occupation_par_heure": ("csv", self.hourly()),
-            "archive_serie_reseau": ("csv", self.network_series()),
-            "archive_stations": ("csv", self.stations()),
+            "archive_synthese": ("json", self.overview),
+            "archive_occupation_par_heure": ("csv", self.hourly),
+            "archive_serie_reseau": ("csv", self.network_series),
+            "archive_stations": ("csv", self.stations),
         }
+
+    def export(self, folder: str) -> list[str]:
+        """Write every report of the archive."""
+        for name, (shape, report) in self.reports().items():
+            write_report(report(), f"{folder.rstrip('/')}/{name}", shape)
+        return list(self.reports())

@@ -153,7 +153,7 @@ def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _archive(report: str) -> Query:
-    return lambda spark, sf_dir: plain(Archive(star.archive_lines(spark, sf_dir)).reports()[report][1])
+    return lambda spark, sf_dir: plain(Archive(star.archive_lines(spark, sf_dir)).reports()[report][1]())
 
 
 def _in_two_parts(spark: SparkSession, messages: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> str:

@@ -12,7 +12,7 @@ from stationflow.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", name="tests", memory="6g")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session = local_session("2", name="tests", memory="6g")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()

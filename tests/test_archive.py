@@ -151,7 +151,7 @@ def test_offline_overview_equals_brute_force(spark, folder):
     assert row["releves_velos_superieurs_capacite"] == sum(s["station_id"] == "006" and s["num_bikes_available"] > 1 for s in flat)
 
 
-def test_offline_series_and_stations(spark, folder):
+def test_offline_series_and_stations(spark, folder, tmp_path):
     whole = Archive(archive.archive_lines(spark, str(folder)))
     shots = expected()
     series = whole.network_series().collect()
@@ -164,6 +164,9 @@ def test_offline_series_and_stations(spark, folder):
     assert [r["station_id"] for r in stations] == ["007", "006", "008"]
     assert (stations[1]["nom"], stations[1]["capacite"]) == ("Newer", 1)
     assert (stations[2]["nom"], stations[2]["capacite"]) == ("", None)
+    assert len(whole.export(str(tmp_path / "out"))) == 4
+    written = spark.read.csv(str(tmp_path / "out" / "archive_stations"), header=True).collect()
+    assert [r["station_id"] for r in written] == ["007", "006", "008"]
 
 
 def test_offline_analysis_agrees_with_the_pipeline(spark, folder, tmp_path):
