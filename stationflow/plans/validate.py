@@ -166,7 +166,7 @@ def _information_record() -> Column:
 
 
 class Checker:
-    """The checks as four projections, built once and applied to every batch."""
+    """The checks as a few projections, built once and applied to every batch."""
 
     def __init__(self, status_topic: str = STATUS_TOPIC, information_topic: str = INFORMATION_TOPIC):
         is_status = F.col("topic") == status_topic
@@ -177,7 +177,9 @@ class Checker:
 
         text = F.col("value").cast("string")
         self.doc = F.when(F.is_valid_utf8(text), D.parse(text))
-        self.fields = [*carried, *[D.get(F.col("doc"), n).alias(f"v_{n}") for n in FIELDS]]
+        members = ", ".join(f"{n}: variant" for n in FIELDS)
+        self.members = [*carried, F.try_variant_get("doc", "$", f"struct<{members}>").alias("members")]
+        self.fields = [*carried, *[F.col(f"members.{n}").alias(f"v_{n}") for n in FIELDS]]
         self.typed = [
             *carried,
             *[_value(n) for n in FIELDS],
@@ -214,7 +216,8 @@ class Checker:
             messages = messages.withColumn("source_error", F.lit(None).cast("string"))
         if "doc" not in messages.columns:
             messages = messages.withColumn("doc", self.doc)
-        judged = messages.select(*self.fields).select(*self.typed).select(*self.converted).select("*", self.error)
+        fields = messages.select(*self.members).select(*self.fields)
+        judged = fields.select(*self.typed).select(*self.converted).select("*", self.error)
         return judged.select(*self.result)
 
 
