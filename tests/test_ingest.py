@@ -35,8 +35,8 @@ def ledger(spark, root):
 
 BATCH_0 = [status(), status(num_bikes_available=7), status(last_reported=T0 + 60), status(station_id=""), None,
            (INFO, information()), (INFO, information(name="Later")), ("elsewhere", b"[1]")]
-BATCH_1 = [status(num_bikes_available=1), status(station_id="007"), status(last_reported=T0 - 7 * 86400),
-           (INFO, information(station_id="007", name="Other"))]
+BATCH_1 = [status(num_bikes_available=1), status(station_id="102"), status(last_reported=T0 - 7 * 86400),
+           (INFO, information(station_id="102", name="Other"))]
 
 
 @pytest.mark.parametrize("small", [ing.SMALL_BATCH, 0])
@@ -46,10 +46,10 @@ def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path, small, monkeypatch)
     run(messages(spark, BATCH_0), 0)
     run(messages(spark, BATCH_1, start=100), 1)
     # the first reading of a key wins for ever; a reading a week late is kept
-    assert readings(spark, tmp_path) == [(1, "006", 0, 8), (2, "006", 60, 8), (3, "007", 0, 8), (4, "006", -7 * 86400, 8)]
+    assert readings(spark, tmp_path) == [(1, "101", 0, 8), (2, "101", 60, 8), (3, "102", 0, 8), (4, "101", -7 * 86400, 8)]
     assert ledger(spark, tmp_path) == [(8, 2, 3, 2, 1, 2), (4, 0, 3, 2, 1, 1)]
     tables = ing.raw_tables(spark, str(tmp_path))
-    assert {r["station_id"]: r["name"] for r in tables["station_information"].collect()} == {"006": "Later", "007": "Other"}
+    assert {r["station_id"]: r["name"] for r in tables["station_information"].collect()} == {"101": "Later", "102": "Other"}
     rejected = tables["rejected_messages"].orderBy("rejected_id").collect()
     assert [(r["rejected_id"], r["kafka_offset"]) for r in rejected] == [(1, 3), (2, 4)]
     assert rejected[1]["payload"] == ""
@@ -85,9 +85,9 @@ def test_failure_between_writes(spark, tmp_path, table, monkeypatch):
     monkeypatch.setattr(broken.store, "write", fail_after)
     with pytest.raises(RuntimeError):
         broken(messages(spark, BATCH_0), 1)
-    assert readings(spark, tmp_path) == [(1, "006", 0, 1)]  # half a batch is invisible
+    assert readings(spark, tmp_path) == [(1, "101", 0, 1)]  # half a batch is invisible
     runner(tmp_path)(messages(spark, BATCH_0), 1)
-    assert readings(spark, tmp_path) == [(1, "006", 0, 1), (2, "006", 60, 8)]
+    assert readings(spark, tmp_path) == [(1, "101", 0, 1), (2, "101", 60, 8)]
     assert ledger(spark, tmp_path)[1] == (8, 2, 3, 1, 2, 2)
 
 

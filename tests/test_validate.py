@@ -91,7 +91,7 @@ def test_good_message_is_accepted(judged, i):
 def test_values(judged):
     rows = judged[len(BAD):]
     assert rows[0]["status"]["last_reported"].timestamp() == T0
-    assert rows[0]["status"]["fetched_at"].timestamp() == T0 + 11.5
+    assert rows[0]["status"]["fetched_at"].timestamp() == T0 + 7.25
     assert [r["status"]["is_replay"] for r in rows[:2]] == [False, True]
     assert (rows[2]["status"]["is_installed"], rows[2]["status"]["is_renting"]) == (True, False)
     assert rows[9]["information"]["lat"] == 43.5 and rows[9]["information"]["lon"] == 3.8
