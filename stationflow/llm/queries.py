@@ -7,11 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import embed_dedup, mixing, simhash
+from stationflow.llm import bpe, embed_dedup, mixing, simhash, warc
 from stationflow.llm.common import read_table
+from stationflow.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    found = bpe.decoded(bpe.encoded(read_table(spark, sf_dir, "documents"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "archives")
+    warc.write_archives(warc.records(read_table(spark, sf_dir, "pages"), least_bytes=0), path)
+    columns = ["record_type", "record_id", "refers_to", "payload_digest", "payload_bytes"]
+    responses = warc.read_archives(spark, path, *columns, "payload").where(F.col("record_type") == "response")
+    revisits = warc.read_archives(spark, path, *columns).where(F.col("record_type") == "revisit")
+    return responses.drop("payload").unionByName(revisits).select(
+        warc.page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").alias("refers_to"),
+    )
+
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(read_table(spark, sf_dir, "documents"), mixing.word_count("text"))
@@ -32,6 +68,8 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_bpe": op1_bpe,
+        "op2_warc": op2_warc,
         "op7_mixing": op7_mixing,
         "op9_simhash": op9_simhash,
         "op10_embedding_dedup": op10_embedding_dedup,
