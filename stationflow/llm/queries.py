@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import bpe, embed_dedup, mixing, simhash, warc
+from stationflow.llm import bpe, embed_dedup, mixing, quality, simhash, toxicity, warc
 from stationflow.llm.common import read_table
+from stationflow.llm.labels import remainder, training
 from stationflow.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,21 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _labelled(scored: DataFrame, held_out: F.Column) -> DataFrame:
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    return scored.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", predicted)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = training(read_table(spark, sf_dir, "labels"), "toxic", remainder("doc_id", 4) == 2)
+    return _labelled(toxicity.scored(read_table(spark, sf_dir, "documents"), sample), remainder("id", 4) == 2)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = training(read_table(spark, sf_dir, "labels"), "quality", remainder("doc_id", 5) == 0)
+    return _labelled(quality.scored(read_table(spark, sf_dir, "documents"), sample), remainder("id", 5) == 0)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(read_table(spark, sf_dir, "documents"), mixing.word_count("text"))
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -70,6 +86,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_warc": op2_warc,
+        "op4_toxicity": op4_toxicity,
+        "op6_quality": op6_quality,
         "op7_mixing": op7_mixing,
         "op9_simhash": op9_simhash,
         "op10_embedding_dedup": op10_embedding_dedup,
