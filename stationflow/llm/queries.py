@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import bpe, embed_dedup, mixing, quality, simhash, toxicity, warc
+from stationflow.llm import ann, bpe, embed_dedup, mixing, quality, simhash, toxicity, warc
 from stationflow.llm.common import read_table
 from stationflow.llm.labels import remainder, training
 from stationflow.session import work_dir
@@ -70,6 +70,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ann.Index(read_table(spark, sf_dir, "embeddings"))
+    found = index.search(F.col("id") % 20 == 0, k=20)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = simhash.fingerprints(read_table(spark, sf_dir, "documents"), width=4)
     found = simhash.near_components(prints, radius=4)
@@ -89,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op4_toxicity": op4_toxicity,
         "op6_quality": op6_quality,
         "op7_mixing": op7_mixing,
+        "op8_ann": op8_ann,
         "op9_simhash": op9_simhash,
         "op10_embedding_dedup": op10_embedding_dedup,
     }
