@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import ann, bpe, embed_dedup, mixing, quality, simhash, toxicity, warc
+from stationflow.llm import ann, bpe, embed_dedup, mixing, quality, simhash, substrings, toxicity, warc
 from stationflow.llm.common import read_table
 from stationflow.llm.labels import remainder, training
 from stationflow.session import work_dir
@@ -60,6 +60,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(toxicity.scored(read_table(spark, sf_dir, "documents"), sample), remainder("id", 4) == 2)
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.deduplicated(docs, span=100)
+    counts = [F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")]
+    return found.select("doc_id", *counts, F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = training(read_table(spark, sf_dir, "labels"), "quality", remainder("doc_id", 5) == 0)
     return _labelled(quality.scored(read_table(spark, sf_dir, "documents"), sample), remainder("id", 5) == 0)
@@ -93,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op1_bpe": op1_bpe,
         "op2_warc": op2_warc,
         "op4_toxicity": op4_toxicity,
+        "op5_substrings": op5_substrings,
         "op6_quality": op6_quality,
         "op7_mixing": op7_mixing,
         "op8_ann": op8_ann,
