@@ -12,12 +12,13 @@ several times the corpus through a shuffle, while encoding a chunk once per work
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationflow.llm import bytesops
 
@@ -27,6 +28,7 @@ CUT = 64
 CHUNKS = 20_000
 WORDS = 150_000
 JOINTS = 200_000
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
 class Recent:
@@ -167,29 +169,31 @@ def chunked(raw: np.ndarray, offsets: np.ndarray) -> list[list[bytes]]:
     return texts
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids) of every row: the ids, as array<int>, of its whole text, without special tokens added.
+def encoded(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The columns to keep and ids, array<int>, of every row: the ids of its whole text, without special tokens added.
 
     Equal to encoding each text whole. A null text counts as empty and has no ids; ids may be null or
-    repeat. The tokenizer file must be at `path` on every executor.
+    repeat. The kept columns must not be called ids. The tokenizer file must be at `path` on every executor.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            for low, high, raw, offsets in bytesops.text_slices(batch.column(1), 1 << 21):
+            for low, high, raw, offsets in bytesops.text_slices(batch.column(batch.num_columns - 1), 1 << 21):
                 found = encoder.encode(chunked(raw, offsets))
                 ends = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(ends), values)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), ids], ["id", "ids"])
+                columns = [c.slice(low, high - low) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, ids], [*batch.schema.names[:-1], "ids"])
 
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, ids array<int>")
+    chosen = docs.select(*keep, F.col(text_col).alias("_text"))
+    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields[:-1], IDS]))
 
 
-def decoded(rows: DataFrame, path: str) -> DataFrame:
-    """(id, ids, text) of (id, ids): the text of the ids, special tokens included; null ids have a null text."""
+def decoded(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """The rows with the text of their ids, special tokens included; null ids have a null text."""
+    at = rows.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Encoder.of(path).tokenizer
@@ -197,14 +201,14 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
         names = [tokenizer.id_to_token(k) or "" for k in range(tokenizer.get_vocab_size(with_added_tokens=True))] if joined else []
         for batch in batches:
             texts = []
-            for value in batch.column(1):
-                ids = value.values.to_numpy().tolist() if value.is_valid else None
+            for value in batch.column(at):
+                ids = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else None
                 if ids is None:
                     texts.append(None)
                 elif joined:
                     texts.append(" ".join([names[i] for i in ids]))
                 else:
                     texts.append(tokenizer.decode(ids, skip_special_tokens=False))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "ids", "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
 
-    return rows.select("id", "ids").mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, text string")
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField(text_col, T.StringType())]))

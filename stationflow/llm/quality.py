@@ -17,6 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationflow.llm import bytesops
 from stationflow.llm.common import written
@@ -31,6 +32,8 @@ DEPTH = 3
 LASSO = 0.0005
 SEED = 11
 SLICE = 1 << 23
+# Names of the statistics beside a table's own columns.
+PREFIX = "_statistic_"
 
 # Classes of bytes: 0 lower case, 1 upper, 2 digit, 3 white, 4 punctuation, 5 other sign, 6 bar, 7 beyond ASCII.
 KIND = np.full(256, 5, np.int64)
@@ -77,16 +80,17 @@ def statistics_of(column: pa.Array) -> np.ndarray:
     return out
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, STATISTICS) of every row; a null text counts as empty, and an empty text has zeros."""
+def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows with their STATISTICS; a null text counts as empty, and an empty text has zeros."""
+    at = docs.columns.index(text_col)
+    names = [PREFIX + s for s in STATISTICS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, statistics_of(batch.column(1)))], ["id", *STATISTICS])
+            found = map(pa.array, statistics_of(batch.column(at)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, *names])
 
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = chosen.schema["id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"id {kind}, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return docs.mapInArrow(run, T.StructType([*docs.schema, *[T.StructField(n, T.DoubleType()) for n in names]]))
 
 
 @dataclass(frozen=True, order=True)
@@ -95,8 +99,8 @@ class Rule:
 
     conditions: tuple[tuple[str, bool, float], ...]
 
-    def column(self) -> Column:
-        parts = [F.col(s) <= F.lit(t) if below else F.col(s) > F.lit(t) for s, below, t in self.conditions]
+    def column(self, prefix: str = "") -> Column:
+        parts = [F.col(prefix + s) <= F.lit(t) if below else F.col(prefix + s) > F.lit(t) for s, below, t in self.conditions]
         return reduce(lambda a, b: a & b, parts).cast("double")
 
     @staticmethod
@@ -128,7 +132,7 @@ class Model:
 
     def column(self) -> Column:
         """The score as an expression over the statistics."""
-        return probability(reduce(lambda a, rw: a + rw[0].column() * F.lit(rw[1]), self.weights, F.lit(self.start)))
+        return probability(reduce(lambda a, rw: a + rw[0].column(PREFIX) * F.lit(rw[1]), self.weights, F.lit(self.start)))
 
 
 def fitted(rows: DataFrame) -> Model:
@@ -150,13 +154,17 @@ def fitted(rows: DataFrame) -> Model:
     return Model(float(fit.intercept), weights)
 
 
-def scored(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row: how likely its text is of quality, from 0 to 1.
+def learnt(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """A model of the documents in `sample`, (doc_id, label) of at most labels.SAMPLE rows, which is broadcast for that bound."""
+    sample = F.broadcast(sample.select(F.col("doc_id").alias("_of"), "label"))
+    known = docs.join(sample, F.col(id_col) == F.col("_of")).select(F.col(text_col).alias("text"), "label")
+    return fitted(written(with_statistics(known), "train").select("label", *[F.col(PREFIX + s).alias(s) for s in STATISTICS]))
+
+
+def scored(docs: DataFrame, model: Model, text_col: str = "text", score: str = "score") -> DataFrame:
+    """The rows with a column `score`: how likely the text is of quality, from 0 to 1.
 
-    `sample` has (doc_id, label) of at most labels.SAMPLE rows to learn from. Null and empty texts are scored by their
-    statistics, which are all 0.
+    Null and empty texts are scored by their statistics, which are all 0. Other columns pass through.
     """
-    rows = written(statistics(docs, id_col, text_col), "statistics")
-    sample = sample.select(F.col("doc_id").alias("_of"), "label")
-    train = written(rows.join(sample, F.col("id") == F.col("_of")).select("label", *STATISTICS), "train")
-    return rows.select("id", fitted(train).column().alias("score"))
+    rows = with_statistics(docs, text_col)
+    return rows.select(*[F.col(c) for c in docs.columns], model.column().alias(score))

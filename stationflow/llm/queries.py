@@ -28,10 +28,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.decoded(bpe.encoded(read_table(spark, sf_dir, "documents"), path), path)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select(
-        F.col("id").alias("doc_id"),
+        "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
@@ -52,12 +52,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _labelled(scored: DataFrame, held_out: F.Column) -> DataFrame:
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
-    return scored.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "score", predicted)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = training(read_table(spark, sf_dir, "labels"), "toxic", remainder("doc_id", 4) == 2)
-    return _labelled(toxicity.scored(read_table(spark, sf_dir, "documents"), sample), remainder("id", 4) == 2)
+    scored = toxicity.scored(read_table(spark, sf_dir, "documents"), sample).withColumnRenamed("id", "doc_id")
+    return _labelled(scored, remainder("doc_id", 4) == 2)
 
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,8 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = training(read_table(spark, sf_dir, "labels"), "quality", remainder("doc_id", 5) == 0)
-    return _labelled(quality.scored(read_table(spark, sf_dir, "documents"), sample), remainder("id", 5) == 0)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _labelled(quality.scored(docs, quality.learnt(docs, sample)), remainder("doc_id", 5) == 0)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,8 +236,10 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table({f.name: pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)}, schema=schema)
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """The rows with _n_bytes, _n_removed, _n_spans and _kept, the bytes that stay.
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, as_text: bool = False) -> DataFrame:
+    """The rows with _n_bytes, _n_removed, _n_spans and _kept, the bytes that stay, in place of the text.
+
+    With `as_text`, _kept is a string without the parts of characters that a cut left over.
 
     A byte of a text goes if a string of `span` bytes that covers it also starts earlier, in a row of smaller id or at an
     earlier place of the same row. Strings are judged on the input and never cross rows. Null texts are empty and texts below
@@ -351,7 +353,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     extra = [c for c in docs.columns]
     passed = docs.select(batch, *id_and_text, *[F.col(c).alias(f"_c{k}") for k, c in enumerate(extra) if c != text_col])
     passed_type = [f"_c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(extra) if c != text_col]
-    out_type = ", ".join([*passed_type, "_n_bytes long", "_n_removed long", "_n_spans long", "_kept binary"])
+    out_type = ", ".join([*passed_type, "_n_bytes long", "_n_removed long", "_n_spans long", f"_kept {'string' if as_text else 'binary'}"])
 
     def cut(key, table, found):
         corpus = Corpus(table)
@@ -369,7 +371,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         runs_of = np.bincount(bytesops.spans(gone, corpus.offsets)[2], minlength=n)
         columns = {name: corpus.table[name] for name in table.column_names if name.startswith("_c")}
         counts = {"_n_bytes": pa.array(size), "_n_removed": pa.array(removed), "_n_spans": pa.array(runs_of)}
-        return pa.table(columns | counts | {"_kept": kept.cast(pa.binary())})
+        if as_text:
+            kept = pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+        return pa.table(columns | counts | {"_kept": kept if as_text else kept.cast(pa.binary())})
 
     done = passed.groupBy("_batch").cogroup(ranges.groupBy("batch")).applyInArrow(cut, out_type)
     names = [F.col(f"_c{k}").alias(c) for k, c in enumerate(extra) if c != text_col]
