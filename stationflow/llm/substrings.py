@@ -106,18 +106,20 @@ def common_prefixes(rows: np.ndarray) -> np.ndarray:
 
 
 def front_coded(rows: np.ndarray) -> bytes:
-    """Sorted rows as prefix lengths and, end to end, what follows the prefix."""
+    """Sorted rows as prefix lengths and, end to end and compressed, what follows the prefix."""
     shared = common_prefixes(rows)
-    return shared.astype("<u2").tobytes() + rows[np.arange(rows.shape[1]) >= shared[:, None]].tobytes()
+    rest = rows[np.arange(rows.shape[1]) >= shared[:, None]].tobytes()
+    return shared.astype("<u2").tobytes() + pa.compress(rest, codec="zstd", asbytes=True)
 
 
 def decoded(blob: bytes, n: int, width: int) -> Iterator[tuple[bytes, int]]:
     """(row, prefix shared with the row before) of a front-coded run."""
     shared = np.frombuffer(blob, "<u2", n).tolist()
-    at, row = 2 * n, b""
+    rest = pa.decompress(blob[2 * n :], n * width - sum(shared), codec="zstd", asbytes=True)
+    at, row = 0, b""
     for prefix in shared:
         end = at + width - prefix
-        row = row[:prefix] + blob[at:end]
+        row = row[:prefix] + rest[at:end]
         at = end
         yield row, prefix
 
@@ -279,7 +281,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     run_type = "shard long, batch long, n long, rows binary, anchors binary, ranges binary"
 
     def send_runs(key, table, known):
-        """A sorted run per shard, and, with a null shard, the ranges of what is repeated within the batch."""
+        """A sorted run per shard, and a row with the ranges of what is repeated within the batch."""
         if not table.num_rows:
             return _table([], run_rows)
         number = key[0].as_py()
@@ -322,17 +324,20 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             meta = np.stack([corpus.ids[rows[index]], at, before, behind], axis=1)
             shard = (hashes[index] % np.uint64(parts)).astype(np.int64)
             out = [(s, number, len(t), front_coded(t), m.tobytes(), None) for s, t, m in _blobs(shard, text, meta)]
-            out.append((None, number, 0, None, None, np.concatenate(ranges).astype(np.int64).tobytes()))
+            out.append((number % parts, number, 0, None, None, np.concatenate(ranges).astype(np.int64).tobytes()))
         return _table(out, run_rows)
 
     runs = keyed.groupBy("_batch").cogroup(shared_hashes.groupBy("batch")).applyInArrow(send_runs, run_type)
-    runs = written(runs, "runs")
 
     range_rows = pa.schema([("batch", pa.int64()), ("ranges", pa.binary())])
 
     def merge(table):
         width = 2 * span - KEY
-        sent = sorted(table.select(["batch", "n", "rows", "anchors"]).to_pylist(), key=lambda r: r["batch"])
+        sent = sorted(table.to_pylist(), key=lambda r: r["batch"])
+        near = [(r["batch"], r["ranges"]) for r in sent if r["ranges"] is not None]
+        sent = [r for r in sent if r["ranges"] is None]
+        if not sent:
+            return _table(near, range_rows)
         order = list(merged([decoded(r["rows"], r["n"], width) for r in sent]))
         rows = np.frombuffer(b"".join([r for r, _, _ in order]), np.uint8).reshape(-1, width)
         shared, run = np.array([p for _, p, _ in order]), np.array([k for _, _, k in order])
@@ -345,10 +350,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         index, low, high = repeats(rows, shared, anchors[:, :2], anchors[:, 2], anchors[:, 3], span)
         row, place = anchors[index, 1] >> POSITION, anchors[index, 1] & ((1 << POSITION) - 1)
         found = np.stack([row, place + low, place + high], axis=1)
-        return _table([(b, r.tobytes()) for b, r in _blobs(batch_of[index], found)], range_rows)
+        return _table([*near, *[(b, r.tobytes()) for b, r in _blobs(batch_of[index], found)]], range_rows)
 
-    far = runs.where("shard is not null").groupBy("shard").applyInArrow(merge, "batch long, ranges binary")
-    ranges = written(far, "far").unionByName(runs.where("shard is null").select("batch", "ranges"))
+    ranges = written(runs.groupBy("shard").applyInArrow(merge, "batch long, ranges binary"), "ranges")
 
     extra = [c for c in docs.columns]
     passed = docs.select(batch, *id_and_text, *[F.col(c).alias(f"_c{k}") for k, c in enumerate(extra) if c != text_col])
