@@ -25,9 +25,9 @@ from stationflow.llm import bytesops
 # A chunk ends at a white space if the hash of so many bytes before it is 0 modulo CUT.
 WINDOW = 16
 CUT = 64
-CHUNKS = 20_000
-WORDS = 150_000
-JOINTS = 200_000
+CHUNKS = 10_000
+WORDS = 100_000
+JOINTS = 100_000
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
@@ -64,6 +64,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokens = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.chunks, self.words, self.joints = Recent(CHUNKS), Recent(WORDS), Recent(JOINTS)
 
     @classmethod
@@ -72,6 +73,20 @@ class Encoder:
             cls._known[path] = cls(path)
         return cls._known[path]
 
+    def decode(self, column: pa.Array) -> list[str | None]:
+        """The texts of a list column of ids."""
+        texts = []
+        for value in column:
+            ids = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else None
+            if ids is None:
+                texts.append(None)
+            elif self.tokenizer.decoder is None:
+                # Without a decoder of its own, a tokenizer joins the tokens by spaces.
+                texts.append(" ".join([self.tokens[i] for i in ids]))
+            else:
+                texts.append(self.tokenizer.decode(ids, skip_special_tokens=False))
+        return texts
+
     def plain(self, texts: list[bytes]) -> list[bytes]:
         batch = [x.decode("utf-8") for x in texts]
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
@@ -169,13 +184,20 @@ def chunked(raw: np.ndarray, offsets: np.ndarray) -> list[list[bytes]]:
     return texts
 
 
-def encoded(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+def encoded(
+    docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text", decoded_col: str | None = None
+) -> DataFrame:
     """The columns to keep and ids, array<int>, of every row: the ids of its whole text, without special tokens added.
 
-    Equal to encoding each text whole. A null text counts as empty and has no ids; ids may be null or
+    With `decoded_col`, also the text of the ids, decoded in the same pass. Equal to encoding each text whole. A null text counts as empty and has no ids; ids may be null or
     repeat. The kept columns must not be called ids. The tokenizer file must be at `path` on every executor.
     """
 
+    chosen = docs.select(*keep, F.col(text_col).alias("_text"))
+    out = T.StructType([*chosen.schema.fields[:-1], IDS])
+    if decoded_col:
+        out.add(decoded_col, T.StringType())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
@@ -184,11 +206,12 @@ def encoded(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_
                 ends = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(ends), values)
-                columns = [c.slice(low, high - low) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*columns, ids], [*batch.schema.names[:-1], "ids"])
+                columns = [*[c.slice(low, high - low) for c in batch.columns[:-1]], ids]
+                if decoded_col:
+                    columns.append(pa.array(encoder.decode(ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, out.names)
 
-    chosen = docs.select(*keep, F.col(text_col).alias("_text"))
-    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields[:-1], IDS]))
+    return chosen.mapInArrow(run, out)
 
 
 def decoded(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -196,19 +219,9 @@ def decoded(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
     at = rows.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Encoder.of(path).tokenizer
-        joined = tokenizer.decoder is None
-        names = [tokenizer.id_to_token(k) or "" for k in range(tokenizer.get_vocab_size(with_added_tokens=True))] if joined else []
+        encoder = Encoder.of(path)
         for batch in batches:
-            texts = []
-            for value in batch.column(at):
-                ids = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else None
-                if ids is None:
-                    texts.append(None)
-                elif joined:
-                    texts.append(" ".join([names[i] for i in ids]))
-                else:
-                    texts.append(tokenizer.decode(ids, skip_special_tokens=False))
+            texts = encoder.decode(batch.column(at))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField(text_col, T.StringType())]))

@@ -25,7 +25,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    found = bpe.decoded(bpe.encoded(read_table(spark, sf_dir, "documents"), path), path)
+    found = bpe.encoded(read_table(spark, sf_dir, "documents"), path, decoded_col="decoded")
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select(
         "doc_id",
