@@ -151,7 +151,7 @@ class Index:
         self.kind = np.float32 if exact else np.float64
         chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, SAMPLE / max(1, self.count)))
         sample = self.rows.where(chosen).toPandas().sort_values("id")["vector"]
-        self.tree = Tree(np.array(sample.tolist(), np.float64).reshape(len(sample), -1))
+        self.tree = Tree(np.array(sample.tolist(), np.float64).reshape(len(sample), self.dims))
         self.blocks = self._filed()
 
     def _filed(self) -> DataFrame:

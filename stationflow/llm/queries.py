@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import ann, bpe, embed_dedup, mixing, quality, simhash, substrings, toxicity, warc
+from stationflow.llm import ann, bpe, embed_dedup, mixing, oracle, packing, quality, simhash, substrings, toxicity, warc
 from stationflow.llm.common import read_table
 from stationflow.llm.labels import remainder, training
 from stationflow.session import work_dir
@@ -50,6 +50,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    encode = packing.byte_level(tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    blocks = packing.write_packed(packing.packed(read_table(spark, sf_dir, "documents"), encode))
+    return packing.segments(blocks).withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
 def _labelled(scored: DataFrame, held_out: F.Column) -> DataFrame:
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
@@ -101,6 +109,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_warc": op2_warc,
+        "op3_packing": op3_packing,
         "op4_toxicity": op4_toxicity,
         "op5_substrings": op5_substrings,
         "op6_quality": op6_quality,
@@ -112,4 +121,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.sql()
