@@ -221,7 +221,7 @@ class WarcWriter(DataSourceArrowWriter):
                         out.close()
                         files[-1]["bytes"] = size
                     files.append({"file": f"part-{uuid.uuid4().hex}.warc" + ".gz" * self.packed, "bytes": 0})
-                    out, size = system.open_output_stream(f"{path}/{files[-1]['file']}"), 0
+                    out, size = system.open_output_stream(f"{path}/{files[-1]['file']}", compression=None), 0
                 data = record_bytes(row)
                 data = gzip.compress(data, 6, mtime=0) if self.packed else data
                 out.write(data)
@@ -259,7 +259,10 @@ def register(spark: SparkSession) -> None:
 
 
 def read_archives(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Records of an archive or a folder of them; only the named columns of READ_SCHEMA, all if none is named."""
+    """Records of an archive or a folder of them; only the named columns of READ_SCHEMA, all if none is named.
+
+    A predicate pushed down stays with the DataFrame it was pushed to: read anew for another predicate.
+    """
     register(spark)
     kinds = dict(x.split(" ") for x in READ_SCHEMA.split(", "))
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns or kinds)
