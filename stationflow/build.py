@@ -89,19 +89,20 @@ class Build:
         generation = last[0]["generation"] if last else 0
         mark = last[0]["last_status_id"] if last else 0
         if refresh_dim:
-            generation, mark = generation + 1, 0
+            # Named after the build that begins it: what a dead refresh left is in no later generation.
+            generation, mark = number, 0
         stream = _generation(generation)
 
         top, unread = self._above(mark)
         raw = raw_tables(spark, self.raw_root)
         dimension = models.station_dimension(models.staged_information(raw["station_information"]))
         store.write("dim_station", self._checked(dimension, TABLES["dim_station"]), stream, number)
-        dimension = self._of_build("dim_station", number)
+        dimension = self._of_build("dim_station", stream, number)
 
         staged = models.staged_status(raw["station_status"].filter(unread)).filter(F.col("status_id") <= top)
         new = self._checked(models.fact(staged, dimension, self.zone, above=mark), FACT)
         store.write("fct_station_status", new.withColumn("date", F.to_date("last_reported")), stream, number)
-        sums = models.hourly_sums(self._of_build("fct_station_status", number))
+        sums = models.hourly_sums(self._of_build("fct_station_status", stream, number))
         store.write("hourly_sums", sums.withColumn("sum_ratio", F.col("sum_ratio").cast("decimal(38,10)")), stream, number)
 
         added = models.regrouped(self._of_generation("hourly_sums", stream, number), ["station_id", "heure_locale"])
@@ -142,9 +143,10 @@ class Build:
     def _checked(rows: DataFrame, columns: str) -> DataFrame:
         return require_same_schema(rows, T.StructType.fromDDL(columns))
 
-    def _of_build(self, name: str, number: int) -> DataFrame:
+    def _of_build(self, name: str, stream: str, number: int) -> DataFrame:
         rows = self.store._scan(self.spark, name)
-        return rows.filter(F.col("batch_id") == number).drop("stream_id", "batch_id")
+        of_build = (F.col("stream_id") == stream) & (F.col("batch_id") == number)
+        return rows.filter(of_build).drop("stream_id", "batch_id")
 
     def _of_generation(self, name: str, stream: str, number: int) -> DataFrame:
         rows = self.store.read(self.spark, name, {stream: number})
@@ -162,7 +164,7 @@ class Build:
             "stg_station_status": models.staged_status(raw["station_status"]),
             "stg_station_information": models.staged_information(raw["station_information"]),
             "fct_station_status": self._of_generation("fct_station_status", stream, number).drop("date"),
-            **{name: self._of_build(name, number) for name in TABLES},
+            **{name: self._of_build(name, stream, number) for name in TABLES},
         }
 
     def views(self) -> None:

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys of one load that may be shipped to every task (a few hundred bytes each at most).
-BROADCAST_KEYS = 200_000
-
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row of each key in arrival order.
@@ -40,16 +37,13 @@ def first_with_last_position(
     return picked.select("_first.*", "_last.*").select(*df.columns)
 
 
-def absent_from(new: DataFrame, target: DataFrame, keys: list[str], new_rows: int | None = None) -> DataFrame:
+def absent_from(new: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `new` whose key the target does not hold (insert if absent, any lateness).
 
-    With `new_rows` known to be small the target is first cut down to the keys of the load by a
-    broadcast, so the stored table is scanned but never shuffled; otherwise both sides are
-    shuffled by key.
+    The size of the load decides, measured by adaptive execution, whether the target is cut down to the load's keys by a
+    broadcast or shuffled.
     """
-    stored = target.select(*keys)
-    if new_rows is not None and new_rows <= BROADCAST_KEYS:
-        stored = stored.join(F.broadcast(new.select(*keys)), keys, "left_semi")
+    stored = target.select(*keys).join(new.select(*keys), keys, "left_semi")
     return new.join(stored, keys, "left_anti")
 
 

@@ -50,9 +50,3 @@ def numbered(df: DataFrame, blocks: list[str], order: list[str], out: str, start
         .withColumn(out, (base + F.col("_before") + F.col("_place")).cast("long"))
         .drop("_place", "_before")
     )
-
-
-def numbered_small(df: DataFrame, order: list[str], out: str, start: int = 0) -> DataFrame:
-    """`numbered` for rows that were counted and found few: one task numbers them."""
-    place = F.row_number().over(Window.orderBy(*order))
-    return df.withColumn(out, (F.lit(start) + place).cast("long"))

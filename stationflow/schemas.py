@@ -60,7 +60,7 @@ STATION_STATUS = T.StructType(
 )
 
 STATION_INFORMATION_LOG = T.StructType(
-    [*INFORMATION_RECORD.fields, *_TRANSPORT, T.StructField("updated_at", T.TimestampType()), *_PAIR]
+    [*INFORMATION_RECORD.fields, *_TRANSPORT, T.StructField("updated_at", T.TimestampType()), T.StructField("sequence", T.LongType()), *_PAIR]
 )
 
 REJECTED_MESSAGES = T.StructType(

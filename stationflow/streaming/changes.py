@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.functions import documents as D
 from stationflow.operators.changes import block_of
-from stationflow.operators.keyed import BROADCAST_KEYS, latest_per_key
+from stationflow.operators.keyed import latest_per_key
 from stationflow.operators.ordered import with_previous
 from stationflow.session import configure
 from stationflow.streaming.ingest import stream_name
@@ -22,7 +22,7 @@ from stationflow.streaming.store import BatchStore
 
 _PAIR = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 
-ARRIVAL = ["batch_id", "partition", "offset"]
+ARRIVAL = ["sequence", "partition", "offset"]
 
 CHANGES = T.StructType(
     [
@@ -31,6 +31,7 @@ CHANGES = T.StructType(
         T.StructField("digest", T.StringType()),
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("sequence", T.LongType()),
         *_PAIR,
     ]
 )
@@ -48,11 +49,12 @@ class Changes:
         self.store = store
         self.stream_id = stream_id
         self.marks: dict[str, int] | None = None
+        self.sequence = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
         if self.marks is None:
-            self.marks = self.store.marks(spark)
+            self.marks, self.sequence = self.store.marks(spark), self.store.sequence(spark)
         if batch_id <= self.marks.get(self.stream_id, -1):
             return
         text = F.col("value").cast("string")
@@ -60,11 +62,9 @@ class Changes:
             "key", text.alias("value"), F.struct(D.digest(D.parse(text)).alias("d")).alias("state"), "partition", "offset"
         ).persist()
         try:
-            stations = hashed.select("key").distinct()
-            n = stations.count()
-            if n == 0:
+            if hashed.isEmpty():
                 return
-            found = self._changed(spark, hashed, stations, n).withColumn("digest", F.col("state.d")).persist()
+            found = self._changed(spark, hashed).withColumns({"digest": F.col("state.d"), "sequence": F.lit(self.sequence)}).persist()
             self.store.write("changes", found, self.stream_id, batch_id)
             changes = found.count()
             found.unpersist()
@@ -72,16 +72,18 @@ class Changes:
             hashed.unpersist()
         self.store.commit(spark, self.stream_id, batch_id, {"changes": changes})
         self.marks[self.stream_id] = batch_id
+        self.sequence += 1
 
-    def _changed(self, spark: SparkSession, hashed: DataFrame, stations: DataFrame, n: int) -> DataFrame:
-        """Rows that differ from the row before them; only a station's first row asks the log."""
+    def _changed(self, spark: SparkSession, hashed: DataFrame) -> DataFrame:
+        """Rows that differ from the row before them; only a station's first row asks the log. A null key is a key."""
         log = self.store.read(spark, "changes", self.marks).select("key", "digest", *ARRIVAL)
-        mine = log.join(F.broadcast(stations) if n <= BROADCAST_KEYS else stations, "key", "left_semi")
-        known = latest_per_key(mine, ["key"], ARRIVAL).select("key", F.struct(F.col("digest").alias("d")).alias("known"))
+        stations = hashed.select(F.col("key").alias("here")).distinct()
+        mine = log.join(stations, F.col("key").eqNullSafe(F.col("here")), "left_semi")
+        known = latest_per_key(mine, ["key"], ARRIVAL).select(F.col("key").alias("of"), F.struct(F.col("digest").alias("d")).alias("known"))
         compared = with_previous(hashed, ["key"], block_of("offset"), ["offset"], "state", "before")
         inside = compared.filter(F.col("before").isNotNull() & ~F.col("state").eqNullSafe(F.col("before")))
-        first = compared.filter(F.col("before").isNull()).join(known, "key", "left")
-        first = first.filter(~F.col("state").eqNullSafe(F.col("known"))).drop("known")
+        first = compared.filter(F.col("before").isNull()).join(known, F.col("key").eqNullSafe(F.col("of")), "left")
+        first = first.filter(~F.col("state").eqNullSafe(F.col("known"))).drop("known", "of")
         return inside.unionByName(first)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import UTC, date, datetime, timedelta
+from datetime import UTC, datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow import schemas
 from stationflow.operators.keyed import absent_from, first_per_key, first_with_last_position, latest_per_key
-from stationflow.operators.ordered import numbered, numbered_small
+from stationflow.operators.ordered import numbered
 from stationflow.plans import validate
 from stationflow.session import configure
 from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC
@@ -22,14 +22,6 @@ from stationflow.streaming.store import BatchStore
 READING_KEY = ["station_id", "last_reported"]
 ARRIVAL = ["kafka_partition", "kafka_offset"]
 
-# A batch that spans no more days than this is compared with each of them; a wider one with the
-# days it holds, if they are few enough to list, else with the range from first to last.
-SPANNED_DAYS = 40
-LISTED_DAYS = 1000
-
-# Messages of a batch that one task may number and write; counted before it is used.
-SMALL_BATCH = 200_000
-
 
 def raw_store(root: str) -> BatchStore:
     return BatchStore(
@@ -50,7 +42,7 @@ def current_information(log: DataFrame, order_by: str = "arrival") -> DataFrame:
 
     The last arrival wins, or with order_by="feed_last_updated" the newest snapshot.
     """
-    arrival = ["updated_at", "batch_id", *ARRIVAL]
+    arrival = ["sequence", *ARRIVAL]
     order = arrival if order_by == "arrival" else [order_by, *arrival]
     return latest_per_key(log, ["station_id"], order)
 
@@ -83,6 +75,7 @@ class Ingest:
         self.block = F.shiftright("kafka_offset", block_bits)
         self.clock = clock
         self.marks: dict[str, int] | None = None
+        self.sequence = 0
         self.last_status_id = 0
         self.last_rejected_id = 0
 
@@ -90,7 +83,7 @@ class Ingest:
         """Marks and last numbers, read from the ledger once for each start."""
         if self.marks is not None:
             return
-        self.marks = self.store.marks(spark)
+        self.marks, self.sequence = self.store.marks(spark), self.store.sequence(spark)
         last = self.store.ledger(spark).agg(F.max("last_status_id"), F.max("last_rejected_id")).first()
         self.last_status_id, self.last_rejected_id = last[0] or 0, last[1] or 0
 
@@ -115,25 +108,22 @@ class Ingest:
             F.count("information").alias("informations"),
             F.min("status.last_reported").alias("first_reported"),
             F.max("status.last_reported").alias("last_reported"),
-            F.to_date(F.min("status.last_reported")).alias("first_day"),
-            F.to_date(F.max("status.last_reported")).alias("last_day"),
         ).first()
         if seen["received"] == 0:
             return
-        small = seen["received"] <= SMALL_BATCH
         written_at = self.clock()
         now = F.lit(written_at)
         inserted = 0
         if seen["status_valid"]:
-            inserted = self._write_statuses(spark, judged, batch_id, seen, now, small)
+            inserted = self._write_statuses(spark, judged, batch_id, seen, now)
         if seen["informations"]:
             latest = latest_per_key(validate.valid_informations(judged), ["station_id"], ARRIVAL)
-            latest = latest.withColumn("updated_at", now)
-            self.store.write("station_information", latest, self.stream_id, batch_id, small)
+            latest = latest.withColumns({"updated_at": now, "sequence": F.lit(self.sequence)})
+            self.store.write("station_information", latest, self.stream_id, batch_id)
         if seen["invalid"]:
-            bad = self._numbered(validate.rejected(judged), [*ARRIVAL, "topic"], "rejected_id", self.last_rejected_id, small)
+            bad = self._numbered(validate.rejected(judged), [*ARRIVAL, "topic"], "rejected_id", self.last_rejected_id)
             bad = bad.withColumn("rejected_at", now)
-            self.store.write("rejected_messages", bad, self.stream_id, batch_id, small)
+            self.store.write("rejected_messages", bad, self.stream_id, batch_id)
         self.last_status_id += inserted
         self.last_rejected_id += seen["invalid"]
         self.store.commit(
@@ -155,16 +145,13 @@ class Ingest:
             },
         )
         self.marks[self.stream_id] = batch_id
+        self.sequence += 1
 
-    def _numbered(self, rows: DataFrame, order: list[str], out: str, start: int, small: bool) -> DataFrame:
-        if small:
-            return numbered_small(rows, order, out, start)
+    def _numbered(self, rows: DataFrame, order: list[str], out: str, start: int) -> DataFrame:
         first, *rest = order
         return numbered(rows.withColumn("_block", self.block), [first, "_block"], rest, out, start)
 
-    def _write_statuses(
-        self, spark: SparkSession, judged: DataFrame, batch_id: int, seen, now: Column, small: bool
-    ) -> int:
+    def _write_statuses(self, spark: SparkSession, judged: DataFrame, batch_id: int, seen, now: Column) -> int:
         valid = validate.valid_statuses(judged)
         if self.position == "first":
             unique = first_per_key(valid, READING_KEY, [F.col(c) for c in ARRIVAL])
@@ -172,38 +159,26 @@ class Ingest:
             unique = first_with_last_position(valid, READING_KEY, ARRIVAL, ARRIVAL)
         unique = unique.withColumn("date", F.to_date("last_reported"))
         stored = self._stored(spark, valid, seen)
-        fresh = absent_from(unique, stored, READING_KEY, new_rows=seen["status_valid"])
+        fresh = absent_from(unique, stored, READING_KEY)
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             inserted = fresh.count()
             if inserted:
-                rows = self._numbered(fresh, ARRIVAL, "status_id", self.last_status_id, small)
+                rows = self._numbered(fresh, ARRIVAL, "status_id", self.last_status_id)
                 rows = rows.withColumn("ingested_at", now)
-                self.store.write("station_status", rows, self.stream_id, batch_id, small)
+                self.store.write("station_status", rows, self.stream_id, batch_id)
         finally:
             fresh.unpersist()
         return inserted
 
     def _stored(self, spark: SparkSession, valid: DataFrame, seen) -> DataFrame:
-        """Committed readings that could share a key with the batch: the key holds the date."""
-        first, last = F.lit(seen["first_reported"]), F.lit(seen["last_reported"])
-        days = self._days(valid, seen)
-        if days is not None:
-            stored = self.store.read(spark, "station_status", self.marks, [f"date={d.isoformat()}" for d in days])
-        else:
-            stored = self.store.read(spark, "station_status", self.marks)
-            stored = stored.filter(F.col("date").between(F.to_date(first), F.to_date(last)))
-        return stored.filter(F.col("last_reported").between(first, last))
-
-
-    @staticmethod
-    def _days(valid: DataFrame, seen) -> list[date] | None:
-        """The days a batch can hold, or None when they are too many to list."""
-        first, last = seen["first_day"], seen["last_day"]
-        if (last - first).days < SPANNED_DAYS:
-            return [first + timedelta(days=n) for n in range((last - first).days + 1)]
-        rows = valid.select(F.to_date("last_reported").alias("d")).distinct().limit(LISTED_DAYS + 1).collect()
-        return [r["d"] for r in rows] if len(rows) <= LISTED_DAYS else None
+        """Committed readings of the batch's days, between its first and last time: the key holds the date.
+
+        The join on the date lets Spark prune the partitions to the days that occur, however far apart they are.
+        """
+        days = valid.select(F.to_date("last_reported").alias("date")).distinct()
+        stored = self.store.read(spark, "station_status", self.marks).join(days, "date", "left_semi")
+        return stored.filter(F.col("last_reported").between(F.lit(seen["first_reported"]), F.lit(seen["last_reported"])))
 
 
 def stream_name(checkpoint: str) -> str:

@@ -20,6 +20,7 @@ SERIES = T.StructType(
         T.StructField("time", T.TimestampType()),
         T.StructField("messages", T.LongType()),
         T.StructField("stations", T.LongType()),
+        T.StructField("sequence", T.LongType()),
         *_PAIR,
     ]
 )
@@ -55,7 +56,7 @@ def start_series(stream: DataFrame, root: str, checkpoint: str, every: str | Non
             marks.update({stream_id: -1, **store.marks(spark)})
         if batch_id <= marks[stream_id]:
             return
-        store.write("series", batch, stream_id, batch_id)
+        store.write("series", batch.withColumn("sequence", F.lit(store.sequence(spark))), stream_id, batch_id)
         store.commit(spark, stream_id, batch_id, {"written_at": datetime.now(UTC)})
         marks[stream_id] = batch_id
 
@@ -67,4 +68,4 @@ def start_series(stream: DataFrame, root: str, checkpoint: str, every: str | Non
 
 def series(spark: SparkSession, root: str) -> DataFrame:
     rows = series_store(root).read(configure(spark), "series")
-    return latest_per_key(rows, ["time"], ["batch_id"]).select("time", "messages", "stations")
+    return latest_per_key(rows, ["time"], ["sequence"]).select("time", "messages", "stations")

@@ -33,13 +33,11 @@ class BatchStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _scan(self, spark: SparkSession, name: str, folders: list[str] | None = None) -> DataFrame:
+    def _scan(self, spark: SparkSession, name: str) -> DataFrame:
         schema, path = self.schemas[name], self.path(name)
-        wanted = [f"{path}/{f}" for f in folders] if folders is not None else [path]
-        there = [p for p in wanted if path_exists(spark, p)]
-        if not there:
+        if not path_exists(spark, path):
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).option("basePath", path).parquet(*there)
+        return spark.read.schema(schema).parquet(path)
 
     def ledger(self, spark: SparkSession) -> DataFrame:
         return self._scan(spark, self.ledger_name)
@@ -49,6 +47,13 @@ class BatchStore:
         rows = self.ledger(spark).groupBy("stream_id").agg(F.max("batch_id").alias("last")).collect()
         return {r["stream_id"]: r["last"] for r in rows}
 
+    def sequence(self, spark: SparkSession) -> int:
+        """How many batches have been committed, over all streams: the number that orders the next one's rows.
+
+        Batch numbers begin anew with each checkpoint and clocks can be set back; the ledger only grows.
+        """
+        return self.ledger(spark).count()
+
     @staticmethod
     def committed(marks: dict[str, int]) -> Column:
         pairs = [(F.col("stream_id") == s) & (F.col("batch_id") <= last) for s, last in sorted(marks.items())]
@@ -59,25 +64,21 @@ class BatchStore:
         spark: SparkSession,
         name: str,
         marks: dict[str, int] | None = None,
-        folders: list[str] | None = None,
     ) -> DataFrame:
-        """Committed rows; `folders` limits the listing to some values of the first partition column."""
+        """Committed rows."""
         known = self.marks(spark) if marks is None else marks
-        return self._scan(spark, name, folders).filter(self.committed(known))
+        return self._scan(spark, name).filter(self.committed(known))
 
-    def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int, small: bool = False) -> None:
+    def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int) -> None:
         """Overwrite the batch's own partitions of one table.
 
         The rebalance lets adaptive execution size the files: small partitions are merged and a
-        hot day is split. Rows counted as `small` are written by one task without a shuffle.
+        hot day is split.
         """
         by = self.by.get(name, [])
         fields = [f for f in self.schemas[name].fields if f.name not in PAIR]
         out = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-        if small:
-            out = out.coalesce(1)
-        else:
-            out = out.hint("rebalance", *by) if by else out.hint("rebalance")
+        out = out.hint("rebalance", *by) if by else out.hint("rebalance")
         (
             out.withColumn("stream_id", F.lit(stream_id))
             .withColumn("batch_id", F.lit(batch_id).cast("long"))

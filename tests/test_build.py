@@ -87,6 +87,25 @@ def test_unfinished_build_is_invisible(spark, tmp_path, monkeypatch):
     assert build.tables()["fct_station_status"].count() == 9
 
 
+def test_dead_refresh_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    raw = str(tmp_path / "raw")
+    run = ing.Ingest(ing.raw_store(raw), "s")
+    run(messages(spark, [(INFO, information(station_id="000"))] + feed(0, 9)), 0)
+    build = Build(spark, raw, str(tmp_path / "marts"))
+    build.run()
+    commit = build.store.commit
+    monkeypatch.setattr(build.store, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        build.run(refresh_dim=True)
+    monkeypatch.setattr(build.store, "commit", commit)
+    run(messages(spark, feed(9, 9), start=100), 1)
+    for refresh in (False, True, False):
+        build.run(refresh_dim=refresh)
+        tables = build.tables()
+        assert tables["fct_station_status"].count() == 18 and tables["dim_station"].count() == 1
+        assert sum(r["nb_releves"] for r in tables["agg_reseau_horaire"].collect()) == 18
+
+
 def test_schema_drift_is_refused(spark):
     target = spark.createDataFrame([], "a int, b string").schema
     same = spark.createDataFrame([], "a int, b string")

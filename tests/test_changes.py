@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import changes
 from stationflow.sources.messages import message_files, publish_files
-from stationflow.streaming.changes import change_store, start_changes
+from stationflow.streaming.changes import Changes, change_store, start_changes
 
 
 def described(spark, letters, start=0):
@@ -29,3 +29,21 @@ def test_stream_remembers_across_batches_and_restarts(spark, tmp_path):
         start_changes(message_files(spark, landed, streaming=True), root, checkpoint).awaitTermination()
     log = change_store(root).read(spark, "changes").orderBy("offset").collect()
     assert [json.loads(r["value"])["name"] for r in log] == ["A", "B", "A", "C"]
+
+
+def test_second_checkpoint_goes_on_where_the_first_ended(spark, tmp_path):
+    root = str(tmp_path / "log")
+    for name, letters in (("one", "ABA"), ("two", "BBA")):
+        landed = str(tmp_path / name)
+        for k, letter in enumerate(letters):
+            publish_files(described(spark, letter, 100 * (name == "two") + 10 * k), landed)
+            start_changes(message_files(spark, landed, streaming=True), root, str(tmp_path / f"{name}-checkpoint")).awaitTermination()
+    log = change_store(root).read(spark, "changes").orderBy("sequence").collect()
+    assert [json.loads(r["value"])["name"] for r in log] == ["A", "B", "A", "B", "A"]
+
+
+def test_null_key_is_remembered(spark, tmp_path):
+    body = Changes(change_store(str(tmp_path)), "s")
+    for k in range(2):
+        body(described(spark, "A", k).withColumn("key", F.lit(None).cast("string")), k)
+    assert change_store(str(tmp_path)).read(spark, "changes").count() == 1

@@ -39,9 +39,7 @@ BATCH_1 = [status(num_bikes_available=1), status(station_id="102"), status(last_
            (INFO, information(station_id="102", name="Other"))]
 
 
-@pytest.mark.parametrize("small", [ing.SMALL_BATCH, 0])
-def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path, small, monkeypatch):
-    monkeypatch.setattr(ing, "SMALL_BATCH", small)
+def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path):
     run = runner(tmp_path)
     run(messages(spark, BATCH_0), 0)
     run(messages(spark, BATCH_1, start=100), 1)
@@ -113,10 +111,15 @@ def test_description_order(spark, tmp_path):
     assert (arrival, newest) == ("old", "new")
 
 
-@pytest.mark.parametrize("listed", [1, 1000])
-def test_wide_batch_compares_by_range(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(ing, "SPANNED_DAYS", 1)
-    monkeypatch.setattr(ing, "LISTED_DAYS", listed)
+def test_last_arrival_wins_when_the_clock_goes_back(spark, tmp_path):
+    early = Clock()
+    ing.Ingest(ing.raw_store(str(tmp_path)), "a", clock=Clock())(messages(spark, [(INFO, information(name="first"))]), 5)
+    early.now -= timedelta(hours=4)
+    ing.Ingest(ing.raw_store(str(tmp_path)), "b", clock=early)(messages(spark, [(INFO, information(name="second"))]), 0)
+    assert ing.raw_tables(spark, str(tmp_path))["station_information"].first()["name"] == "second"
+
+
+def test_batch_of_distant_days(spark, tmp_path):
     run = runner(tmp_path)
     days = [status(last_reported=T0 + d * 86400) for d in range(4)]
     run(messages(spark, days), 0)

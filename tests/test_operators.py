@@ -79,11 +79,10 @@ def test_first_and_latest(spark):
     assert {(r["k"], r["o"], r["v"]) for r in mixed} == {("a", 3, "x"), ("b", 5, "z")}
 
 
-@pytest.mark.parametrize("rows", [None, 3, keyed.BROADCAST_KEYS + 1])
-def test_absent_rows_either_way(spark, rows):
+def test_absent_rows(spark):
     new = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "k int, t int")
     target = spark.createDataFrame([(1, 2), (9, 9)], "k int, t int")
-    out = keyed.absent_from(new, target, ["k", "t"], rows)
+    out = keyed.absent_from(new, target, ["k", "t"])
     assert {tuple(r) for r in out.collect()} == {(1, 1), (2, 1)}
 
 
