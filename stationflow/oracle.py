@@ -254,10 +254,6 @@ with {FACT} select {half_up("count(*) filter (where empty_)", "count(*)", 4)} as
   {half_up(RATIO_SUM, f"count(*) * cast({TEN} as hugeint)", 4)} as taux_remplissage_moyen,
   count(*) filter (where bikes > capacity) as releves_velos_superieurs_capacite from fact"""
     q["stations_by_emptiness"] = f"with {RANKING} select * exclude (premier, dernier) from ranking"
-    q["top_empty_stations"] = f"""
-with {RANKING} select coalesce(nullif(left(nom, 34), ''), station_id) as station,
-  cast(round(part_temps_vide * 10000) as double) / 100 as part_vide_pct
-from ranking order by part_temps_vide desc, station_id limit 12"""
     q["overview"] = f"""
 with {LEDGER}, l as (select * from raw where not is_replay)
 select (select count(*) from nation) as stations_decrites,
@@ -480,6 +476,10 @@ with {FACT} select station_id, coalesce(max(d.nom), '') as nom, cast(max(d.capac
   {half_up("count(*) filter (where full_)", "count(*)", 4)} as part_temps_pleine,
   {half_up(RATIO_SUM, f"count(*) * cast({TEN} as hugeint)", 4)} as taux_remplissage_moyen
 from fact left join dim d using (station_id) group by station_id"""
+    q["top_empty_stations"] = f"""
+with stations as ({q["archive_stations"]})
+select coalesce(nullif(left(nom, 34), ''), station_id) as station, cast(round(part_temps_vide * 10000) as double) / 100 as part_vide_pct
+from stations order by part_temps_vide desc, station_id limit 12"""
     q["archive_overview"] = f"""
 with {_archive_sql()}, g as (select {micros("t", "lag(t) over (order by t)")} as gap from shots),
 gl as (select list_sort(list(gap)) as v, count(*) filter (where gap > 90000000) as big from g where gap is not null),

@@ -102,7 +102,8 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_empty_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(reports.top_empty(_tables(spark, sf_dir)["stations_vides_pleines"]))
+    """Of all stations observed in the archive, described or not."""
+    return plain(reports.top_empty(Archive(star.archive_lines(spark, sf_dir)).stations()))
 
 
 def _quality(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:

@@ -2,16 +2,17 @@ import gzip
 import json
 import statistics
 from datetime import UTC, datetime
+from zoneinfo import ZoneInfo
 
 import pytest
-from feed import T0, envelope, information, status, without
+from feed import OTHER, STATION, T0, THIRD, envelope, information, status, without
 
 from stationflow.plans import validate
 from stationflow.plans.archive import Archive
 from stationflow.sources import archive
 from stationflow.streaming import ingest as ing
 
-STATIONS = ["101", "102", "103"]
+STATIONS = [STATION, OTHER, THIRD]
 
 
 def station(sid, bikes, docks, at, **more):
@@ -33,7 +34,7 @@ def polls():
     out = []
     for i, (at, delay) in enumerate([(0, 5), (60, 9.25), (60, 30), (121, 4), (300, 59), (360, 1)]):
         t = T0 + at
-        rows = [station("101", i % 3, 8 - i % 3, t), station("102", 0, 9, t), station("103", 9, 0, t, is_installed=i % 2 == 0)]
+        rows = [station(STATION, i % 3, 8 - i % 3, t), station(OTHER, 0, 9, t), station(THIRD, 9, 0, t, is_installed=i % 2 == 0)]
         out.append((t + delay, t, rows))
     return out
 
@@ -43,12 +44,12 @@ def folder(tmp_path):
     where = tmp_path / "archive"
     where.mkdir()
     described = [without(information(station_id=s, name=f"N{s}", capacity=8), "feed_last_updated") for s in STATIONS[:2]]
-    renamed = [without(information(station_id="101", name="Newer", capacity=1), "feed_last_updated")]
-    write_lines(where / "station_information_2026-09-21.jsonl", [{"fetched_at": 1.0, "information": envelope(described)}])
-    write_lines(where / "station_information_2026-09-22.jsonl", [{"fetched_at": 2.0, "information": envelope(renamed)}])
+    renamed = [without(information(station_id=STATION, name="Newer", capacity=1), "feed_last_updated")]
+    write_lines(where / "station_information_2025-03-08.jsonl", [{"fetched_at": 1.0, "information": envelope(described)}])
+    write_lines(where / "station_information_2025-03-09.jsonl", [{"fetched_at": 2.0, "information": envelope(renamed)}])
     lines = [{"fetched_at": f, "status": envelope(s, at)} for f, at, s in polls()]
-    write_lines(where / "station_status_2026-09-22.jsonl.gz", lines[:4])
-    write_lines(where / "station_status_2026-09-23.jsonl", lines[4:])
+    write_lines(where / "station_status_2025-03-09.jsonl.gz", lines[:4])
+    write_lines(where / "station_status_2025-03-10.jsonl", lines[4:])
     write_lines(where / "notes.jsonl", ["ignored\n"])
     return where
 
@@ -58,7 +59,7 @@ def test_replay_order_and_flag(spark, folder):
     assert [r["topic"] for r in rows] == ["station_information"] * 3 + ["station_status"] * 18
     assert [r["offset"] & 0xFFFFF for r in rows] == [0, 1, 0] + [0, 1, 2] * 6
     assert [r["offset"] >> 20 for r in rows] == [0, 0, 1] + [i for i in range(2, 8) for _ in range(3)]
-    assert [r["key"] for r in rows[:3]] == ["101", "102", "101"]
+    assert [r["key"] for r in rows[:3]] == [STATION, OTHER, STATION]
     judged = validate.checked(archive.archive_messages(archive.archive_lines(spark, str(folder))))
     statuses = validate.valid_statuses(judged).collect()
     assert len(statuses) == 18 and all(r["is_replay"] for r in statuses)
@@ -148,7 +149,7 @@ def test_offline_overview_equals_brute_force(spark, folder):
     assert float(row["part_releves_pleine"]) == round(full / 15, 4)
     assert float(row["taux_remplissage_moyen"]) == round(statistics.fmean(fills), 4)
     assert row["capacite_totale"] == 9
-    assert row["releves_velos_superieurs_capacite"] == sum(s["station_id"] == "101" and s["num_bikes_available"] > 1 for s in flat)
+    assert row["releves_velos_superieurs_capacite"] == sum(s["station_id"] == STATION and s["num_bikes_available"] > 1 for s in flat)
 
 
 def test_offline_series_and_stations(spark, folder, tmp_path):
@@ -159,14 +160,15 @@ def test_offline_series_and_stations(spark, folder, tmp_path):
     assert [r["stations_pleines"] for r in series] == [
         sum(s["is_installed"] and s["num_docks_available"] == 0 for s in rows) for _, _, rows in shots
     ]
-    assert series[0]["horodatage_local"] == "2026-05-28 22:26:59"  # summer time in the feed's zone
+    local = datetime.fromtimestamp(T0, ZoneInfo("Europe/Paris"))
+    assert series[0]["horodatage_local"] == f"{local:%Y-%m-%d %H:%M:%S}"
     stations = whole.stations().collect()
-    assert [r["station_id"] for r in stations] == ["102", "101", "103"]
+    assert [r["station_id"] for r in stations] == [OTHER, STATION, THIRD]
     assert (stations[1]["nom"], stations[1]["capacite"]) == ("Newer", 1)
     assert (stations[2]["nom"], stations[2]["capacite"]) == ("", None)
     assert len(whole.export(str(tmp_path / "out"))) == 4
     written = spark.read.csv(str(tmp_path / "out" / "archive_stations"), header=True).collect()
-    assert [r["station_id"] for r in written] == ["102", "101", "103"]
+    assert [r["station_id"] for r in written] == [OTHER, STATION, THIRD]
 
 
 def test_offline_analysis_agrees_with_the_pipeline(spark, folder, tmp_path):

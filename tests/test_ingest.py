@@ -1,7 +1,7 @@
 from datetime import UTC, datetime, timedelta
 
 import pytest
-from feed import T0, information, messages, status
+from feed import BIKES, OTHER, STATION, T0, information, messages, status
 
 from stationflow.sources.messages import message_files, publish_files
 from stationflow.streaming import ingest as ing
@@ -33,10 +33,11 @@ def ledger(spark, root):
     return [tuple(r[n] for n in names) for r in rows]
 
 
-BATCH_0 = [status(), status(num_bikes_available=7), status(last_reported=T0 + 60), status(station_id=""), None,
+# A reading twice, the second time with other counts, and again ten minutes on; two messages to reject; two descriptions.
+BATCH_0 = [status(), status(num_bikes_available=BIKES + 2), status(last_reported=T0 + 600), status(station_id="\n"), None,
            (INFO, information()), (INFO, information(name="Later")), ("elsewhere", b"[1]")]
-BATCH_1 = [status(num_bikes_available=1), status(station_id="102"), status(last_reported=T0 - 7 * 86400),
-           (INFO, information(station_id="102", name="Other"))]
+BATCH_1 = [status(num_bikes_available=BIKES - 3), status(station_id=OTHER), status(last_reported=T0 - 7 * 86400),
+           (INFO, information(station_id=OTHER, name="Other"))]
 
 
 def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path):
@@ -44,10 +45,11 @@ def test_dedup_quarantine_upsert_and_ledger(spark, tmp_path):
     run(messages(spark, BATCH_0), 0)
     run(messages(spark, BATCH_1, start=100), 1)
     # the first reading of a key wins for ever; a reading a week late is kept
-    assert readings(spark, tmp_path) == [(1, "101", 0, 8), (2, "101", 60, 8), (3, "102", 0, 8), (4, "101", -7 * 86400, 8)]
+    assert readings(spark, tmp_path) == [
+        (1, STATION, 0, BIKES), (2, STATION, 600, BIKES), (3, OTHER, 0, BIKES), (4, STATION, -7 * 86400, BIKES)]
     assert ledger(spark, tmp_path) == [(8, 2, 3, 2, 1, 2), (4, 0, 3, 2, 1, 1)]
     tables = ing.raw_tables(spark, str(tmp_path))
-    assert {r["station_id"]: r["name"] for r in tables["station_information"].collect()} == {"101": "Later", "102": "Other"}
+    assert {r["station_id"]: r["name"] for r in tables["station_information"].collect()} == {STATION: "Later", OTHER: "Other"}
     rejected = tables["rejected_messages"].orderBy("rejected_id").collect()
     assert [(r["rejected_id"], r["kafka_offset"]) for r in rejected] == [(1, 3), (2, 4)]
     assert rejected[1]["payload"] == ""
@@ -83,9 +85,9 @@ def test_failure_between_writes(spark, tmp_path, table, monkeypatch):
     monkeypatch.setattr(broken.store, "write", fail_after)
     with pytest.raises(RuntimeError):
         broken(messages(spark, BATCH_0), 1)
-    assert readings(spark, tmp_path) == [(1, "101", 0, 1)]  # half a batch is invisible
+    assert readings(spark, tmp_path) == [(1, STATION, 0, BIKES - 3)]  # half a batch is invisible
     runner(tmp_path)(messages(spark, BATCH_0), 1)
-    assert readings(spark, tmp_path) == [(1, "101", 0, 1), (2, "101", 60, 8)]
+    assert readings(spark, tmp_path) == [(1, STATION, 0, BIKES - 3), (2, STATION, 600, BIKES)]
     assert ledger(spark, tmp_path)[1] == (8, 2, 3, 1, 2, 2)
 
 
@@ -99,7 +101,7 @@ def test_empty_batch_leaves_no_ledger_row(spark, tmp_path):
 def test_position_of_last_message(spark, tmp_path):
     runner(tmp_path, position="last")(messages(spark, BATCH_0), 0)
     rows = ing.raw_tables(spark, str(tmp_path))["station_status"].orderBy("status_id").collect()
-    assert [(r["num_bikes_available"], r["kafka_offset"]) for r in rows] == [(8, 1), (8, 2)]
+    assert [(r["num_bikes_available"], r["kafka_offset"]) for r in rows] == [(BIKES, 1), (BIKES, 2)]
 
 
 def test_description_order(spark, tmp_path):

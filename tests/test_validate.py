@@ -1,35 +1,44 @@
 import pytest
-from feed import T0, information, messages, status, without
+from feed import BIKES, DELAY, DOCKS, STATION, STATUS, T0, information, messages, status, without
 
 from stationflow.plans import validate
 from stationflow.schemas import INFORMATION_RECORD, STATUS_RECORD
 
 INFO = "station_information"
 
+COUNTS = [n for n in STATUS if n.startswith("num_")]
+FLAGS = [n for n in STATUS if n.startswith("is_")]
+TIMES = [n for n in STATUS if n.startswith(("last_", "feed_"))]
+
+
+def broken_fields():
+    """For each field of a status, values that break each rule of its kind, and what the error says."""
+    for name in COUNTS:
+        for value in (str(BIKES), float(BIKES), False, [BIKES], -(10**24) - BIKES):
+            yield name, value, "integer wanted"
+        yield name, -BIKES, ">= 0"
+        yield name, 2**31 + BIKES, "32-bit"
+    for name in FLAGS:
+        for value in ("on", BIKES, [True]):
+            yield name, value, "boolean wanted"
+    for name in TIMES:
+        yield name, -T0, ">= 1"
+        yield name, T0 * 10**6, "timestamp"
+    for value in ("\n", BIKES, [STATION]):
+        yield "station_id", value, "station_id"
+    for value in (False, [T0]):
+        yield "fetched_at", value, "fetched_at"
+    yield "vehicle_types_available", STATION, "list wanted"
+    yield "replay", "never", "replay"
+
+
 BAD = [
-    (status(num_bikes_available=-1), ">= 0"),
-    (status(num_bikes_available="8"), "integer wanted"),
-    (status(num_bikes_available=8.0), "integer wanted"),
-    (status(num_docks_available=True), "integer wanted"),
-    (status(is_renting="yes"), "boolean wanted"),
-    (status(is_renting=2), "boolean wanted"),
-    (status(station_id=""), "station_id"),
-    (status(station_id=" \t "), "station_id"),
-    (status(station_id=6), "station_id"),
-    (status(last_reported=0), ">= 1"),
-    (status(fetched_at=None), "fetched_at"),
-    (status(fetched_at=True), "fetched_at"),
-    (status(vehicle_types_available="14"), "list wanted"),
-    (status(replay=None), "replay"),
-    (status(num_bikes_available=3_000_000_000), "32-bit"),
-    (status(num_bikes_available=10**25), "integer wanted"),
-    (status(last_reported=10**15), "timestamp"),
-    (without(status(), "num_docks_available"), "num_docks_available"),
+    *[(status(**{name: value}), wanted) for name, value, wanted in broken_fields()],
+    *[(without(status(), name), name) for name in STATUS if name != "vehicle_types_available"],
     (without(status(), "num_docks_available", "is_renting"), "num_docks_available, is_renting"),
-    (without(status(), "feed_last_updated"), "feed_last_updated"),
     # the first broken rule gives the error
-    (status(station_id="", num_bikes_available=-1), "station_id"),
-    (status(fetched_at=None, station_id=""), "fetched_at"),
+    (status(station_id="\t", num_docks_available=-DOCKS), "station_id"),
+    (status(fetched_at=[], station_id="\t"), "fetched_at"),
     (None, "not JSON"),
     (b"", "not JSON"),
     (b'{"station_id":', "not JSON"),
@@ -91,7 +100,7 @@ def test_good_message_is_accepted(judged, i):
 def test_values(judged):
     rows = judged[len(BAD):]
     assert rows[0]["status"]["last_reported"].timestamp() == T0
-    assert rows[0]["status"]["fetched_at"].timestamp() == T0 + 7.25
+    assert rows[0]["status"]["fetched_at"].timestamp() == T0 + DELAY
     assert [r["status"]["is_replay"] for r in rows[:2]] == [False, True]
     assert (rows[2]["status"]["is_installed"], rows[2]["status"]["is_renting"]) == (True, False)
     assert rows[9]["information"]["lat"] == 43.5 and rows[9]["information"]["lon"] == 3.8
