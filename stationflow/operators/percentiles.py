@@ -62,7 +62,10 @@ class ValueCounts:
         groups, counts = self.groups, self.counts
         ranks: dict[int, list[tuple[str, int]]] = {}
         for name, (measure, p) in wanted.items():
-            ranks.setdefault(self.numbers[measure], []).append((name, int(Decimal(p) * _UNIT)))
+            rank = Decimal(p) * _UNIT
+            if rank != int(rank) or not 0 <= rank <= _UNIT:
+                raise ValueError(f"{p} is no percentile of at most four decimals")
+            ranks.setdefault(self.numbers[measure], []).append((name, int(rank)))
         if set(ranks) != set(self.numbers.values()):
             counts = counts.filter(F.col("_m").isin(*ranks))
 

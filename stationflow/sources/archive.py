@@ -143,12 +143,14 @@ def archive_messages(lines: DataFrame, replay: bool = True) -> DataFrame:
     ranked = lines.withColumn("_status", (F.col("kind") == STATUS).cast("int"))
     ranked = numbered(ranked, ["_status", "file_name", "block"], ["line"], "_number", start=-1)
     rows = snapshot_messages(snapshots(ranked), ["_number"], replay)
+    crowded = F.raise_error(F.lit(f"a line holds more than {1 << STATION_BITS} stations"))
+    offset = F.when(F.col("pos") >= 1 << STATION_BITS, crowded).otherwise(F.shiftleft("_number", STATION_BITS) + F.col("pos"))
     return rows.select(
         "key",
         F.coalesce(F.col("line_text"), F.to_json("doc")).cast("binary").alias("value"),
         "topic",
         F.lit(0).alias("partition"),
-        (F.shiftleft("_number", STATION_BITS) + F.col("pos")).alias("offset"),
+        offset.alias("offset"),
         F.lit(None).cast("timestamp").alias("timestamp"),
         "doc",
         "source_error",

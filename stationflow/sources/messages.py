@@ -25,12 +25,12 @@ def kafka_messages(
     spark: SparkSession,
     servers: str,
     topics: tuple[str, ...] = (STATUS_TOPIC, INFORMATION_TOPIC),
-    offsets_per_batch: int | None = 500,
+    offsets_per_batch: int | None = None,
     streaming: bool = True,
 ) -> DataFrame:
     """Subscribe to the topics from the earliest offset; needs the Kafka connector on the class path.
 
-    Offsets are kept in the query's checkpoint, and partition end marks never reach a query.
+    A batch takes all there is, or at most `offsets_per_batch`. Offsets are kept in the query's checkpoint, and partition end marks never reach a query.
     """
     reader = (
         (spark.readStream if streaming else spark.read)

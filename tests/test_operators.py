@@ -95,3 +95,9 @@ def test_replace_by_key(spark):
 def test_side_by_side(spark):
     a, b = spark.sql("select 1 as x, true as y"), spark.sql("select 'z' as z, cast(null as int) as n")
     assert side_by_side(a, b).first().asDict() == {"x": 1, "y": True, "z": "z", "n": None}
+
+
+def test_percentile_beyond_four_decimals_is_refused(spark):
+    for p in ("0.99999", "1.5", "-0.1"):
+        with pytest.raises(ValueError, match="four decimals"):
+            exact_percentiles(spark.range(3), [], {"p": (F.col("id"), p)})

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from stationflow import registry
 from stationflow.sources import star
 
 SF = "/root/testdata/sf0.001"
@@ -12,7 +13,7 @@ STREAMED = {
     "description_changes_stream", "ingest_stream", "ingest_stream_information", "ingest_stream_ledger",
     "ingest_stream_rejected", "live_series_5min", "model_build", "panel_rejected", "dq_suite",
 }
-BATCH = sorted(set(entry.queries()) - STREAMED)
+BATCH = sorted(set(registry.queries()) - STREAMED)
 
 
 def plan(df) -> str:
