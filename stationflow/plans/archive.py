@@ -34,10 +34,11 @@ def _present(station: Column) -> Column:
 
 
 class Archive:
-    """Lazily planned views over archive lines; broken lines are left out."""
+    """Lazily planned views over archive lines; `unreadable` counts the lines that none of them can use."""
 
     def __init__(self, lines: DataFrame, zone: str = ZONE):
         self.zone = zone
+        self.lines = lines
         # Stations are reduced to what the analysis needs before anything is shuffled.
         def reduced(s: Column) -> Column:
             return F.struct(
@@ -49,7 +50,7 @@ class Archive:
 
         # Each kind is decoded on its own, so no line is parsed for the other.
         def decoded(kind: str) -> DataFrame:
-            return snapshots(lines.filter(F.col("kind") == kind)).filter(F.col("source_error").isNull())
+            return snapshots(lines.filter(F.col("kind") == kind), needs_ttl=False).filter(F.col("source_error").isNull())
 
         polls = decoded(STATUS).select(
             *LINE_ORDER,
@@ -145,6 +146,11 @@ class Archive:
             full.alias("stations_pleines"),
         )
 
+    def unreadable(self) -> DataFrame:
+        """Lines left out of the analysis, by kind and by what is wrong with them."""
+        broken = snapshots(self.lines, needs_ttl=False).filter(F.col("source_error").isNotNull())
+        return broken.groupBy("kind", "source_error").agg(F.count(F.lit(1)).alias("lines"))
+
     def stations(self) -> DataFrame:
         seen = F.min(F.struct("fetched_at", "last_updated", "pos")).alias("seen")
         per_station = self.readings.groupBy("station_id").agg(*self._sums(), seen)

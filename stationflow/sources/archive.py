@@ -47,8 +47,11 @@ def positioned(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.monotonically_increasing_id())
 
 
-def snapshots(lines: DataFrame) -> DataFrame:
-    """Decode envelopes to (last_updated, ttl, stations); a broken one keeps its first error instead."""
+def snapshots(lines: DataFrame, needs_ttl: bool = True) -> DataFrame:
+    """Decode envelopes to (last_updated, ttl, stations); a broken one keeps its first error instead.
+
+    A replay needs the whole envelope; the analysis of an archive asks for no ttl.
+    """
     doc = lines.withColumn("_doc", D.parse(F.col("value")))
     env = doc.withColumn(
         "_env", F.when(F.col("kind") == STATUS, D.get(F.col("_doc"), STATUS)).otherwise(D.get(F.col("_doc"), INFORMATION))
@@ -69,9 +72,14 @@ def snapshots(lines: DataFrame) -> DataFrame:
         (missing("last_updated"), "incomplete envelope: last_updated"),
         (not_whole("last_updated"), "last_updated: integer wanted"),
         (D.as_long(F.col("_last_updated")) < 1, "last_updated: must be >= 1"),
-        (missing("ttl"), "incomplete envelope: ttl"),
-        (not_whole("ttl"), "ttl: integer wanted"),
-        (D.as_long(F.col("_ttl")) < 0, "ttl: must be >= 0"),
+    ]
+    if needs_ttl:
+        rules += [
+            (missing("ttl"), "incomplete envelope: ttl"),
+            (not_whole("ttl"), "ttl: integer wanted"),
+            (D.as_long(F.col("_ttl")) < 0, "ttl: must be >= 0"),
+        ]
+    rules += [
         (missing("stations"), "incomplete envelope: data.stations"),
         (F.col("_k_stations") != "ARRAY", "data.stations: list wanted"),
     ]

@@ -186,3 +186,12 @@ def test_offline_analysis_agrees_with_the_pipeline(spark, folder, tmp_path):
     assert [tuple(r[n] for n in names) for r in hours.orderBy("heure_locale").collect()] == [
         tuple(r[n] for n in names) for r in whole.hourly().collect()
     ]
+
+
+def test_analysis_counts_lines_without_ttl_and_reports_the_unreadable(spark, tmp_path):
+    good = {"fetched_at": T0 + 1.0, "status": envelope([station(STATION, 1, 2, T0)])}
+    bare = {"fetched_at": T0 + 61.0, "status": without(envelope([station(STATION, 2, 1, T0 + 60)], T0 + 60), "ttl")}
+    write_lines(tmp_path / "station_status_2025-03-09.jsonl", [good, bare, "{broken\n"])
+    analysis = Archive(archive.archive_lines(spark, str(tmp_path)))
+    assert [r["polls"] for r in analysis.snapshots.collect()] == [1, 1]
+    assert [tuple(r) for r in analysis.unreadable().collect()] == [("status", "line is not JSON", 1)]
