@@ -1,9 +1,9 @@
 """Exact interpolated percentiles of whole-number measures, for groups of any size.
 
 The built-in `percentile_cont` keeps every distinct value of a group in one buffer, which a
-hot group at scale would not survive. Here the values are first counted (combined before the
-shuffle), then the wanted ranks are looked up digit by digit: a coarse histogram of each group
-tells which coarse bucket holds a rank, and only that bucket is read at full resolution. With
+hot group at scale would not survive. Here the wanted ranks are looked up digit by digit. A coarse
+histogram of each group, which combines to few rows before the shuffle, tells which coarse bucket
+holds a rank; a second look at the source counts the single values of those buckets alone. With
 the default shift of 24 bits a microsecond bucket holds at most 16.8 million distinct values.
 """
 
@@ -19,82 +19,78 @@ _UNIT = 10_000  # percentiles are given with at most four decimals
 
 
 class ValueCounts:
-    """How often each value of some long-typed measures occurs in each group.
+    """Counts, largest values and percentiles of some long-typed measures of each group.
 
-    Everything below reads these counts, that is the same shuffle of the source rows. Null
-    values are not counted, and a group without any value has no rows.
+    Totals and the first step of the percentiles read the same coarse histogram, that is the same
+    shuffle. Null values are not counted, and a group without any value has no rows. `limits` gives
+    the values above which `count_above` counts. Measures with few distinct values, such as gaps of
+    whole seconds, take a `shift` of 0: the histogram then holds the values, and the source is read once.
     """
 
-    def __init__(self, df: DataFrame, groups: list[str], measures: dict[str, Column]):
+    def __init__(
+        self, df: DataFrame, groups: list[str], measures: dict[str, Column], limits: dict[str, int] | None = None, shift: int = 24
+    ):
         self.groups = groups
+        self.shift = shift
         self.numbers = {name: i for i, name in enumerate(measures)}
         pairs = [
             F.struct(F.lit(self.numbers[name]).alias("m"), values.cast("long").alias("v"))
             for name, values in measures.items()
         ]
-        self.counts = (
+        self.values = (
             df.select(*groups, F.explode(F.array(*pairs)).alias("_p"))
             .select(*groups, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
             .filter(F.col("_v").isNotNull())
-            .groupBy(*groups, "_m", "_v")
-            .agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_d0", F.shiftright("_v", shift))
         )
+        beyond = [(F.col("_m") == self.numbers[name]) & (F.col("_v") > limit) for name, limit in (limits or {}).items()]
+        self.coarse = self.values.groupBy(*groups, "_m", "_d0").agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.max("_v").alias("_max"),
+            F.count_if(reduce(Column.__or__, beyond, F.lit(False))).alias("_beyond"),
+        )
+
+    def _total(self, measure: str, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_m") == self.numbers[measure], F.col(column))), F.lit(0))
+
+    def count(self, measure: str) -> Column:
+        return self._total(measure, "_n")
 
-    def count(self, measure: str, above: int | None = None) -> Column:
-        """Number of values, or of those above a limit."""
-        chosen = F.col("_m") == self.numbers[measure]
-        if above is not None:
-            chosen = chosen & (F.col("_v") > above)
-        return F.coalesce(F.sum(F.when(chosen, F.col("_n"))), F.lit(0))
+    def count_above(self, measure: str) -> Column:
+        """Number of values above the measure's limit."""
+        return self._total(measure, "_beyond")
 
     def largest(self, measure: str) -> Column:
-        return F.max(F.when(F.col("_m") == self.numbers[measure], F.col("_v"))).cast("decimal(24,4)")
+        return F.max(F.when(F.col("_m") == self.numbers[measure], F.col("_max"))).cast("decimal(24,4)")
 
     def totals(self, *columns: Column) -> DataFrame:
-        """One row per group of `count` and `largest` columns."""
-        return self.counts.groupBy(*self.groups).agg(*columns)
+        """One row per group of `count`, `count_above` and `largest` columns."""
+        return self.coarse.groupBy(*self.groups).agg(*columns)
 
-    def percentiles(self, wanted: dict[str, tuple[str, str]], shifts: tuple[int, ...] = (24, 0)) -> DataFrame:
+    def percentiles(self, wanted: dict[str, tuple[str, str]]) -> DataFrame:
         """One row per group; column `name` is the percentile of a measure, as decimal(24,4).
 
         `wanted` maps an output name to (measure, p); p is text such as "0.95".
         """
-        groups, counts = self.groups, self.counts
+        groups = self.groups
         ranks: dict[int, list[tuple[str, int]]] = {}
         for name, (measure, p) in wanted.items():
             rank = Decimal(p) * _UNIT
             if rank != int(rank) or not 0 <= rank <= _UNIT:
                 raise ValueError(f"{p} is no percentile of at most four decimals")
             ranks.setdefault(self.numbers[measure], []).append((name, int(rank)))
-        if set(ranks) != set(self.numbers.values()):
-            counts = counts.filter(F.col("_m").isin(*ranks))
-
         keys = [*groups, "_m"]
-        hits: DataFrame | None = None
-        above: list[str] = []
-        for level, shift in enumerate(shifts):
-            digit = f"_d{level}"
-            digits = [F.shiftright("_v", s).alias(f"_d{i}") for i, s in enumerate(shifts[: level + 1])]
-            rows = counts.select(*keys, *digits, "_n")
-            if shift:
-                rows = rows.groupBy(*keys, *above, digit).agg(F.sum("_n").alias("_n"))
-            if hits is not None:
-                rows = rows.join(hits, [*keys, *above])
-            upto = Window.partitionBy(*keys, *above).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
-            rows = rows.withColumn("_end", F.sum("_n").over(upto))
-            if hits is None:
-                total = F.sum("_n").over(Window.partitionBy(*keys))
-                rows = rows.withColumn("_total", total).withColumn("_ranks", _rank_list(ranks))
-            begin = F.col("_end") - F.col("_n")
-            inside = F.filter("_ranks", lambda r: (r["at"] >= begin) & (r["at"] < F.col("_end")))
-            inside = F.transform(
-                inside,
-                lambda r: F.struct(r["tag"].alias("tag"), (r["at"] - begin).alias("at"), r["part"].alias("part")),
-            )
-            above = [*above, digit]
-            hits = rows.withColumn("_ranks", inside).filter(F.size("_ranks") > 0).select(*keys, *above, "_ranks")
-
-        found = hits.select(*groups, F.col(above[-1]).alias("_v"), F.explode("_ranks").alias("_r"))
+        asked = F.col("_m").isin(*ranks)
+        total = F.sum("_n").over(Window.partitionBy(*keys))
+        coarse = self.coarse.filter(asked).select(*keys, "_d0", "_n").withColumn("_total", total)
+        coarse = _holding(coarse.withColumn("_ranks", _rank_list(ranks)), keys, "_d0")
+
+        if self.shift:
+            hits = self._looked_up(self.values.filter(asked), coarse, [*keys, "_d0"])
+        else:
+            hits = coarse.withColumnRenamed("_d0", "_v")
+
+        found = hits.select(*groups, "_v", F.explode("_ranks").alias("_r"))
         columns = []
         for name in wanted:
             is_low = F.col("_r.tag") == f"{name}:low"
@@ -105,6 +101,15 @@ class ValueCounts:
             columns.append((low + between).cast("decimal(24,4)").alias(name))
         return found.groupBy(*groups).agg(*columns)
 
+    def _looked_up(self, values: DataFrame, coarse: DataFrame, at: list[str]) -> DataFrame:
+        """The single values that hold a rank, out of the coarse buckets that do."""
+        if not self.groups:
+            # At most two buckets for each percentile: only their values go on to the shuffle.
+            coarse = F.broadcast(coarse)
+            values = values.join(coarse, at, "left_semi")
+        counted = values.groupBy(*at, "_v").agg(F.count(F.lit(1)).alias("_n"))
+        return _holding(counted.join(coarse, at), at, "_v")
+
 
 def exact_percentiles(df: DataFrame, groups: list[str], wanted: dict[str, tuple[Column, str]]) -> DataFrame:
     """Percentiles alone: `wanted` maps an output name to (values, p)."""
@@ -112,6 +117,17 @@ def exact_percentiles(df: DataFrame, groups: list[str], wanted: dict[str, tuple[
     return ValueCounts(df, groups, measures).percentiles({n: (str(v), p) for n, (v, p) in wanted.items()})
 
 
+def _holding(rows: DataFrame, keys: list[str], digit: str) -> DataFrame:
+    """The rows that hold a rank, with the ranks counted from their own first value."""
+    upto = Window.partitionBy(*keys).orderBy(digit).rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_end")
+    begin = end - F.col("_n")
+    inside = F.filter("_ranks", lambda r: (r["at"] >= begin) & (r["at"] < end))
+    moved = F.transform(inside, lambda r: F.struct(r["tag"].alias("tag"), (r["at"] - begin).alias("at"), r["part"].alias("part")))
+    held = rows.withColumn("_end", F.sum("_n").over(upto)).withColumn("_ranks", moved)
+    return held.filter(F.size("_ranks") > 0).select(*keys, digit, "_ranks")
+
+
 def _rank_list(ranks: dict[int, list[tuple[str, int]]]) -> Column:
     """The two neighbouring ranks of every percentile of the row's measure."""
     last = F.col("_total") - 1

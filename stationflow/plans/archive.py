@@ -186,10 +186,10 @@ class Archive:
         )
         age_median = exact_percentiles(ages, [], {"age_median": (F.col("age"), "0.5")})
         gaps = snapshot_gaps(self.snapshots, "last_updated")
-        values = ValueCounts(gaps, [], {"gap": F.col("gap")})
+        values = ValueCounts(gaps, [], {"gap": F.col("gap")}, limits={"gap": GAP_LIMIT_S * T.MICROS}, shift=0)
         gap_counts = values.totals(
             values.largest("gap").alias("gap_max"),
-            values.count("gap", above=GAP_LIMIT_S * T.MICROS).alias("intervalles_superieurs_90s"),
+            values.count_above("gap").alias("intervalles_superieurs_90s"),
         )
         gap_median = values.percentiles({"gap_median": ("gap", "0.5")})
         # Readings are counted by station first; the few rows left are joined to the descriptions.

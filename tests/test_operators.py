@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import keyed
 from stationflow.operators.ordered import numbered, with_previous
-from stationflow.operators.percentiles import exact_percentiles
+from stationflow.operators.percentiles import ValueCounts, exact_percentiles
 from stationflow.operators.rows import side_by_side
 
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -43,6 +43,17 @@ def test_percentiles_of_one_hot_value_and_nulls(spark):
     assert out["p99"] == interpolated(known, "0.9999")
 
 
+def test_totals_and_percentiles_at_either_shift(spark):
+    rows = [("a", 3), ("a", 3), ("a", 10), ("a", None), ("b", 2**30)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    for shift in (0, 24):
+        values = ValueCounts(df, ["g"], {"v": F.col("v")}, limits={"v": 5}, shift=shift)
+        totals = values.totals(values.count("v").alias("n"), values.count_above("v").alias("above"), values.largest("v").alias("most"))
+        assert {tuple(r) for r in totals.collect()} == {("a", 3, 1, 10), ("b", 1, 1, 2**30)}
+        middle = values.percentiles({"p": ("v", "0.75")})
+        assert {tuple(r) for r in middle.collect()} == {("a", Decimal("6.5")), ("b", 2**30)}
+
+
 def test_percentiles_of_nothing(spark):
     df = spark.createDataFrame([], "v long")
     assert exact_percentiles(df, [], {"p": (F.col("v"), "0.5")}).first()["p"] is None

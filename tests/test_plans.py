@@ -54,6 +54,18 @@ def test_change_detection_spreads_a_key(plans):
     assert re.search(r"Exchange hashpartitioning\(key#\d+L, _bucket#\d+L", plans["description_changes"])
 
 
+def test_percentiles_shuffle_coarse_buckets_first(spark):
+    from pyspark.sql import functions as F
+    from stationflow.operators.percentiles import ValueCounts
+
+    values = ValueCounts(spark.range(1000), [], {"v": F.col("id")})
+    text = plan(values.percentiles({"p": ("v", "0.5")}))
+    # What is counted by single values was first cut to the buckets that hold a rank.
+    assert "hashpartitioning(_m" in text and "BroadcastHashJoin" in text and "LeftSemi" in text
+    before = text[text.index("LeftSemi"):]
+    assert not re.search(r"hashpartitioning\([^)]*_v#", before)
+
+
 def test_filters_reach_the_files(spark, tmp_path):
     path = str(tmp_path / "status")
     star.station_status(spark, SF).write.parquet(path)
