@@ -289,6 +289,27 @@ def test_toxicity(spark):
     assert toxicity.scored(frame.limit(0).drop("label"), sample).count() == 0
 
 
+def test_expressions_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join("".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(30)), k % 3) for k in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(3)
+    sample = frame.where("label < 2").select("doc_id", "label")
+    found = toxicity.expressions(frame.drop("label"), sample).collect()
+    want = []
+    for order in toxicity.ORDERS:
+        ends, counts = {}, {}
+        for _, text, label in rows:
+            for word in set(text.split()):
+                for end in range(1, len(word) + 1):
+                    g = word[max(0, end - order) : end]
+                    ends.setdefault(g, set()).add(word[max(0, end - order - 1) : end])
+                    both = counts.setdefault(g, [0, 0])
+                    if label < 2:
+                        both[label] += 1
+        want += [(order, len(ends[g]), *counts[g]) for g in ends]
+    assert sorted((r.n, r.ends, r.ordinary, r.toxic) for r in found) == sorted(want)
+
+
 def test_quality(spark):
     frame, sample = labelled(spark, False)
     frame, sample = frame.withColumn("words", F.lit("clash")), sample.withColumn("label", 1 - F.col("label"))
