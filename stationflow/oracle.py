@@ -439,6 +439,7 @@ with {_verdicts()} select topic, status_id as kafka_offset, error,
 with {RAW} select row_number() over (order by raw.status_id) as status_id, station_id, {iso("last_reported")} as last_reported,
   bikes as num_bikes_available, docks as num_docks_available, is_installed, is_replay,
   raw.status_id as kafka_offset from raw"""
+    q["ingest_stream_resent"] = q["ingest_stream"]
     q["ingest_stream_ledger"] = f"""
 with {_verdicts()}, good as (select * from mixed where topic = 'station_status' and error is null)
 select (select count(*) from mixed) as received, (select count(*) from mixed where error is not null) as invalid,

@@ -157,25 +157,30 @@ def _archive(report: str) -> Query:
     return lambda spark, sf_dir: plain(Archive(star.archive_lines(spark, sf_dir)).reports()[report][1]())
 
 
-def _in_two_parts(spark: SparkSession, messages: DataFrame, start: Callable[[DataFrame, str], StreamingQuery]) -> str:
-    """Land the messages in two parts, in order, and run the stream after each; returns its folder."""
+def _in_two_parts(
+    spark: SparkSession, messages: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], resent: bool = False
+) -> str:
+    """Land the messages in two parts, in order, and run the stream after each; returns its folder.
+
+    With `resent` the second part delivers the first one again.
+    """
     folder = work_dir(spark, "stream")
     landed = f"{folder}/landed"
     middle = messages.agg(F.expr("max(offset) div 2")).first()[0]
-    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+    for part in (F.col("offset") <= middle, F.lit(True) if resent else F.col("offset") > middle):
         publish_files(messages.filter(part), landed)
         start(message_files(spark, landed, streaming=True), folder).awaitTermination()
     return folder
 
 
-def _ingested(spark: SparkSession, messages: DataFrame) -> str:
+def _ingested(spark: SparkSession, messages: DataFrame, resent: bool = False) -> str:
     """Run the ingest stream over the messages; returns the root of the raw tables."""
     start = lambda stream, folder: start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint")
-    return f"{_in_two_parts(spark, messages, start)}/raw"
+    return f"{_in_two_parts(spark, messages, start, resent)}/raw"
 
 
-def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_tables(spark, _ingested(spark, star.feed_messages(spark, sf_dir)))
+def ingest_stream(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFrame:
+    raw = raw_tables(spark, _ingested(spark, star.feed_messages(spark, sf_dir), resent))
     return plain(
         raw["station_status"].select(
             "status_id", *READING_KEY, "num_bikes_available", "num_docks_available", "is_installed", "is_replay",
@@ -184,6 +189,11 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_stream_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same readings, although the second batch delivers those of the first again."""
+    return ingest_stream(spark, sf_dir, resent=True)
+
+
 def ingest_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_tables(spark, _ingested(spark, star.mixed_messages(spark, sf_dir)))
     sums = ["received", "invalid", "status_valid", "status_inserted", "status_duplicates", "information_upserted"]
@@ -244,6 +254,7 @@ def queries() -> dict[str, Query]:
         "ingest_stream_information": ingest_stream_information,
         "ingest_stream_ledger": ingest_stream_ledger,
         "ingest_stream_rejected": ingest_stream_rejected,
+        "ingest_stream_resent": ingest_stream_resent,
         "live_series_5min": live_series_5min,
         "model_build": model_build,
         "panel_rejected": panel_rejected,

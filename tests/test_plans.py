@@ -11,7 +11,7 @@ from stationflow.sources import star
 SF = "/root/testdata/sf0.001"
 STREAMED = {
     "description_changes_stream", "ingest_stream", "ingest_stream_information", "ingest_stream_ledger",
-    "ingest_stream_rejected", "live_series_5min", "model_build", "panel_rejected", "dq_suite",
+    "ingest_stream_rejected", "ingest_stream_resent", "live_series_5min", "model_build", "panel_rejected", "dq_suite",
 }
 BATCH = sorted(set(registry.queries()) - STREAMED)
 
