@@ -84,13 +84,14 @@ class Tree:
                 todo += [(child, rows[near == k]) for k, child in enumerate(below)]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first `most` leaves, best bin first."""
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+    def visits(self, query: np.ndarray, some: int, held: np.ndarray | None = None, rows: int = 0) -> list[int]:
+        """The first `some` leaves, best bin first; more of them until they hold `rows` rows, held being those of each leaf."""
+        queue, found, seen = [(0.0, 0)], [], 0
+        while queue and (len(found) < some or seen < rows):
             _, node = heapq.heappop(queue)
             if self.children[node] is None:
                 found.append(self.leaf_of[node])
+                seen += int(held[found[-1]]) if held is not None else 0
             else:
                 centres, below = self.children[node]
                 for closeness, child in zip((centres @ query).tolist(), below, strict=True):
@@ -171,7 +172,7 @@ class Index:
 
         vector = self.rows.schema["vector"].dataType.simpleString()
         filed = written(self.rows.mapInArrow(file, f"id long, vector {vector}, leaf long"), "filed")
-        parts = filed.groupBy(F.col("leaf").alias("of")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+        parts = filed.groupBy(F.col("leaf").alias("of")).agg(F.ceil(F.count("*") / BLOCK).alias("parts"), F.count("*").alias("held"))
         self.parts = written(parts, "parts")
         placed = filed.join(self.parts, F.col("leaf") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
         packed = placed.select("leaf", "part", "id", "vector").groupBy("leaf", "part")
@@ -204,10 +205,16 @@ class Index:
         return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) if len(needed) else self.tree.leaves
 
     def search(self, wanted: Column, k: int, recall: float = RECALL) -> DataFrame:
-        """(query, rank, id, score): the k rows of largest inner product found for each row with `wanted`, itself left out."""
+        """(query, rank, id, score): the k rows of largest inner product found for each row with `wanted`, itself left out.
+
+        Fewer than k only if the table has no more: leaves are visited until they hold k rows besides the query.
+        """
         queries = self.rows.where(wanted)
         visits = self.calibrated(queries, k, recall)
         groups = max(1, -(-queries.count() // QUERY_GROUP))
+        held = np.zeros(self.tree.leaves, np.int64)
+        for leaf in self.parts.collect():
+            held[leaf["of"]] = leaf["held"]
         tree, kind, dims = self.rows.sparkSession.sparkContext.broadcast(self.tree), self.kind, self.dims
 
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +224,7 @@ class Index:
                 for _, vectors in matrices(batch.column(1)):
                     sent: dict[tuple[int, int], list[int]] = {}
                     for row, vector in enumerate(vectors.astype(np.float64)):
-                        for leaf in tree.value.visits(vector, visits):
+                        for leaf in tree.value.visits(vector, visits, held, k + 1):
                             sent.setdefault((leaf, int(group[row])), []).append(row)
                     columns = [[a for a, _ in sent], [b for _, b in sent], [ids[r].tobytes() for r in sent.values()], [vectors[r].astype(kind).tobytes() for r in sent.values()]]
                     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
