@@ -14,6 +14,10 @@ window's bytes. Equal windows have equal such anchors at equal distances, so it
     the common prefixes of the whole order. Suffixes with a common prefix of KEY bytes are one anchor; per distance
     of window and anchor, those that agree before and behind it are the same window, and all but the earliest are repeats.
 4.  Each batch gets back the byte ranges of its repeats and cuts them out.
+
+An anchor that many texts hold in different surroundings (a short common line) would bring all of them to one shard. Anchors with more
+than HOT surroundings, counted over the batches, are therefore not sent as suffixes: of each window that has such an anchor a batch sends
+the hash to the shard that the hash names, once, so equal windows still meet there and different ones spread.
 """
 
 from __future__ import annotations
@@ -31,9 +35,13 @@ from stationflow.llm.common import shards, written
 SPAN = 100
 KEY = 32
 BATCH = 8 << 20
+HOT = 1 << 12
 SLICE = 1 << 21
 OUTSIDE = 0xFF  # in no UTF-8 text
 POSITION = 40  # bits of a byte position in a document
+# Bytes under other names: sums over them make a second hash.
+TWIN = np.random.default_rng(43).permutation(256).astype(np.uint8)
+NO_HASHES = np.zeros(0, np.uint64)
 
 
 class Corpus:
@@ -49,8 +57,10 @@ class Corpus:
         self.ids = ids[order]
         self.raw, self.offsets = bytesops.text_buffer(pa.concat_arrays(self.table["_text"].chunks))
 
-    def anchors(self, span: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(positions, rows, hashes of the KEY bytes) of the anchors, some documents at a time."""
+    def anchors(self, span: int, hot: np.ndarray = NO_HASHES) -> Iterator[tuple[np.ndarray, ...]]:
+        """Some documents at a time: (positions, rows, hashes of the KEY bytes, hashes of the surroundings) of the anchors, but
+        of those with a hash in `hot` (positions, rows, two hashes) of the windows that have them, at the end of the tuple.
+        """
         for low, high in bytesops.slices(self.offsets, SLICE):
             begin, end = self.offsets[low], self.offsets[high]
             n = int(end - begin)
@@ -81,7 +91,21 @@ class Corpus:
             marked[found[whole]] = True
             positions = np.flatnonzero(marked)
             rows = np.searchsorted(self.offsets, positions + begin, "right") - 1
-            yield positions + begin, rows, hashes[positions]
+            low_end, high_end = self.offsets[rows] - begin, self.offsets[rows + 1] - begin
+            around = bytesops.span_hashes(sums, positions, np.minimum(positions + span, high_end))
+            around = bytesops.mixed(around + bytesops.span_hashes(sums, np.maximum(positions - (span - KEY), low_end), positions))
+            cold, windows_of_hot = np.ones(len(positions), bool), np.zeros(0, np.int64)
+            twice = NO_HASHES
+            if len(hot):
+                cold = ~np.isin(hashes[positions], hot)
+                marked[positions[cold]] = False
+                windows_of_hot = np.flatnonzero(whole)[marked[found[whole]]]
+                twins = bytesops.prefix_sums(TWIN[self.raw[begin:end]])
+                twice = bytesops.span_hashes(twins, windows_of_hot, windows_of_hot + span)
+            once = bytesops.span_hashes(sums, windows_of_hot, windows_of_hot + span)
+            row_of = np.searchsorted(self.offsets, windows_of_hot + begin, "right") - 1
+            positions, rows, around = positions[cold], rows[cold], around[cold]
+            yield positions + begin, rows, hashes[positions], around, windows_of_hot + begin, row_of, once, twice
 
     def suffixes(self, positions: np.ndarray, rows: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per anchor: SPAN bytes from it on and those before it backwards, OUTSIDE beyond the document; how many of each there are."""
@@ -225,6 +249,25 @@ def whole_windows(index: np.ndarray, before: np.ndarray, behind: np.ndarray, spa
     return index[some], -high[some], span - low[some]
 
 
+def joined_windows(rows: np.ndarray, places: np.ndarray, span: int) -> np.ndarray:
+    """(row, first byte, end) of windows in rising order, overlapping ones joined."""
+    if not len(rows):
+        return np.zeros((0, 3), np.int64)
+    new = np.r_[True, (rows[1:] != rows[:-1]) | (places[1:] > places[:-1] + span)]
+    last = np.r_[np.flatnonzero(new)[1:] - 1, len(rows) - 1]
+    return np.stack([rows[new], places[new], places[last] + span], axis=1).astype(np.int64)
+
+
+def packed_windows(once: np.ndarray, twice: np.ndarray, ids: np.ndarray, at: np.ndarray) -> bytes:
+    """Windows as two hashes and, compressed, the id and place of each."""
+    return once.tobytes() + twice.tobytes() + pa.compress(ids.tobytes() + at.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_windows(blob: bytes, n: int) -> tuple[np.ndarray, ...]:
+    places = pa.decompress(blob[16 * n :], 16 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.uint64, n, 8 * n), np.frombuffer(places, np.int64, n), np.frombuffer(places, np.int64, n, 8 * n)
+
+
 def _blobs(of: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
     """(group, rows of that group in each column)."""
     order = np.argsort(of, kind="stable")
@@ -255,42 +298,61 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_and_text = [F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")]
     keyed = docs.select(batch, *id_and_text)
 
-    hash_rows = pa.schema([("shard", pa.int64()), ("batch", pa.int64()), ("hashes", pa.binary())])
+    hash_rows = pa.schema([("shard", pa.int64()), ("batch", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
     def send_hashes(key, table):
-        found = [np.unique(h) for _, _, h in Corpus(table).anchors(span)]
-        hashes = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-        sent = _blobs((hashes % np.uint64(parts)).astype(np.int64), hashes)
-        return _table([(shard, key[0].as_py(), h.tobytes()) for shard, h in sent], hash_rows)
+        """The anchors of a batch, and how many different surroundings each has there."""
+        found = [np.unique(np.stack([a[2], a[3]], axis=1), axis=0) for a in Corpus(table).anchors(span)]
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.uint64)
+        hashes, counts = np.unique(pairs[:, 0], return_counts=True)
+        sent = _blobs((hashes % np.uint64(parts)).astype(np.int64), hashes, counts.astype("<u4"))
+        return _table([(shard, key[0].as_py(), h.tobytes(), pa.compress(n.tobytes(), codec="zstd", asbytes=True)) for shard, h, n in sent], hash_rows)
 
     def answer(key, table):
+        """Which anchors several batches have; counts are 1 for the hot ones among them and else 0."""
         blobs = table["hashes"].to_pylist()
         hashes = np.concatenate([np.frombuffer(b, np.uint64) for b in blobs])
+        counted = zip(table["counts"].to_pylist(), blobs, strict=True)
+        counts = np.concatenate([np.frombuffer(pa.decompress(c, len(b) // 2, codec="zstd", asbytes=True), "<u4") for c, b in counted])
         of = np.repeat(np.array(table["batch"].to_pylist(), np.int64), [len(b) // 8 for b in blobs])
         order = np.argsort(hashes, kind="stable")
-        hashes, of = hashes[order], of[order]
+        hashes, of, counts = hashes[order], of[order], counts[order].astype(np.int64)
         same = hashes[1:] == hashes[:-1]
         shared = np.r_[False, same] | np.r_[same, False]
-        return _table([(key[0].as_py(), b, h.tobytes()) for b, h in _blobs(of[shared], hashes[shared])], hash_rows)
+        group = np.cumsum(np.r_[True, ~same]) - 1
+        hot = (np.bincount(group, counts)[group] > HOT).astype(np.uint8)
+        return _table([(key[0].as_py(), b, h.tobytes(), w.tobytes()) for b, h, w in _blobs(of[shared], hashes[shared], hot[shared])], hash_rows)
 
-    as_spark = "shard long, batch long, hashes binary"
+    as_spark = "shard long, batch long, hashes binary, counts binary"
     asked = keyed.groupBy("_batch").applyInArrow(send_hashes, as_spark)
     shared_hashes = written(asked.groupBy("shard").applyInArrow(answer, as_spark), "shared")
 
-    run_rows = pa.schema([("shard", pa.int64()), ("batch", pa.int64()), ("n", pa.int64()), ("rows", pa.binary()), ("anchors", pa.binary()), ("ranges", pa.binary())])
-    run_type = "shard long, batch long, n long, rows binary, anchors binary, ranges binary"
+    run_rows = pa.schema([("shard", pa.int64()), ("batch", pa.int64()), ("n", pa.int64()), ("rows", pa.binary()), ("anchors", pa.binary()), ("ranges", pa.binary()), ("windows", pa.binary())])
+    run_type = "shard long, batch long, n long, rows binary, anchors binary, ranges binary, windows binary"
 
     def send_runs(key, table, known):
-        """A sorted run per shard, and a row with the ranges of what is repeated within the batch."""
+        """A sorted run per shard, the windows of hot anchors, and a row with the ranges of what is repeated within the batch."""
         if not table.num_rows:
             return _table([], run_rows)
         number = key[0].as_py()
         corpus = Corpus(table)
-        shared = np.sort(np.frombuffer(b"".join(known["hashes"].to_pylist()), np.uint64))
-        anchors = list(corpus.anchors(span))
+        shared = np.frombuffer(b"".join(known["hashes"].to_pylist()), np.uint64)
+        hot = np.sort(shared[np.frombuffer(b"".join(known["counts"].to_pylist()), np.uint8) > 0])
+        shared = np.sort(shared)
+        anchors = list(corpus.anchors(span, hot))
         if not anchors:
             return _table([], run_rows)
-        positions, rows, hashes = (np.concatenate(x) for x in zip(*anchors, strict=True))
+        positions, rows, hashes, _, *windows = (np.concatenate(x) for x in zip(*anchors, strict=True))
+        out = []
+        if len(windows[0]):
+            begin, of, once, twice = windows
+            order = np.lexsort((begin, twice, once))
+            new = np.r_[True, (once[order][1:] != once[order][:-1]) | (twice[order][1:] != twice[order][:-1])]
+            again, first = np.sort(order[~new]), np.sort(order[new])
+            out.append((number % parts, number, 0, None, None, joined_windows(of[again], (begin - corpus.offsets[of])[again], span).tobytes(), None))
+            at = (of << POSITION) | (begin - corpus.offsets[of])
+            sent = _blobs((once[first] % np.uint64(parts)).astype(np.int64), once[first], twice[first], corpus.ids[of[first]], at[first])
+            out += [(s, number, len(w[0]), None, None, None, packed_windows(*w)) for s, *w in sent]
         ordered = np.sort(hashes)
         here = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         kept = np.isin(hashes, shared) | np.isin(hashes, here)
@@ -314,7 +376,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             some = np.sort(distinct(index, text, before, behind))
             texts.append(text[some])
             firsts.append(np.stack([index[some], before[some], behind[some]]))
-        out = []
         if texts:
             text = np.concatenate(texts)
             index, before, behind = np.concatenate(firsts, axis=1)
@@ -323,8 +384,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             at = (rows[index] << POSITION) | (positions[index] - corpus.offsets[rows[index]])
             meta = np.stack([corpus.ids[rows[index]], at, before, behind], axis=1)
             shard = (hashes[index] % np.uint64(parts)).astype(np.int64)
-            out = [(s, number, len(t), front_coded(t), m.tobytes(), None) for s, t, m in _blobs(shard, text, meta)]
-            out.append((number % parts, number, 0, None, None, np.concatenate(ranges).astype(np.int64).tobytes()))
+            out += [(s, number, len(t), front_coded(t), m.tobytes(), None, None) for s, t, m in _blobs(shard, text, meta)]
+            out.append((number % parts, number, 0, None, None, np.concatenate(ranges).astype(np.int64).tobytes(), None))
         return _table(out, run_rows)
 
     runs = keyed.groupBy("_batch").cogroup(shared_hashes.groupBy("batch")).applyInArrow(send_runs, run_type)
@@ -335,7 +396,17 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         width = 2 * span - KEY
         sent = sorted(table.to_pylist(), key=lambda r: r["batch"])
         near = [(r["batch"], r["ranges"]) for r in sent if r["ranges"] is not None]
-        sent = [r for r in sent if r["ranges"] is None]
+        hot = [r for r in sent if r["windows"] is not None]
+        if hot:
+            once, twice, ids, at = (np.concatenate(x) for x in zip(*[unpacked_windows(r["windows"], r["n"]) for r in hot], strict=True))
+            of = np.repeat(np.array([r["batch"] for r in hot], np.int64), [r["n"] for r in hot])
+            order = np.lexsort((at, ids, twice, once))
+            later = np.r_[False, (once[order][1:] == once[order][:-1]) & (twice[order][1:] == twice[order][:-1])]
+            again = order[later]
+            again = again[np.lexsort((at[again], of[again]))]
+            row, place = at >> POSITION, at & ((1 << POSITION) - 1)
+            near += [(b, joined_windows(r, p, span).tobytes()) for b, r, p in _blobs(of[again], row[again], place[again])]
+        sent = [r for r in sent if r["rows"] is not None]
         if not sent:
             return _table(near, range_rows)
         order = list(merged([decoded(r["rows"], r["n"], width) for r in sent]))
