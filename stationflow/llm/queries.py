@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm import ann, bpe, embed_dedup, mixing, oracle, packing, quality, simhash, substrings, toxicity, warc
-from stationflow.llm.common import read_table
+from stationflow.llm import ann, bpe, chat, embed_dedup, mixing, oracle, packing, quality, simhash, spelling, substrings, toxicity, trie, warc
+from stationflow.llm.common import read_table, written
 from stationflow.llm.labels import remainder, training
 from stationflow.session import work_dir
 
@@ -105,6 +105,43 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept)
 
 
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    found = chat.TEMPLATE.parsed(chat.formatted(rows), "formatted", "turns")
+    found = chat.learnt_text(found, "learnt")
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return found.select(
+        F.col("id").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learnt").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _misspelt(doc_id: F.Column, run: F.Column) -> F.Column:
+    """The run without one letter where the hash of id and run says so."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(F.substr(run, F.lit(1), at), F.substr(run, at + 2))).otherwise(run)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(read_table(spark, sf_dir, "documents"), least_length=7, least_count=2, change=_misspelt)
+    return spelling.variants(words, times=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.ordered_turns(read_table(spark, sf_dir, "conversations"))
+    taken = F.crc32(F.col("id").cast("string").cast("binary")) % 4
+    rebuilt = trie.spliced(turns, donor=F.col("id") - F.col("id") % 20, taken=taken, most=3)
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    return trie.peeled(written(trie.paths(rebuilt), "paths")).select(*columns)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -117,6 +154,9 @@ def queries() -> dict[str, Query]:
         "op8_ann": op8_ann,
         "op9_simhash": op9_simhash,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_chat": op11_chat,
+        "op12_spelling": op12_spelling,
+        "op13_trie": op13_trie,
     }
 
 
