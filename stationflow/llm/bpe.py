@@ -16,6 +16,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +65,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.tokens = [self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        ids = range(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        self.tokens = pa.array([self.tokenizer.id_to_token(k) or "" for k in ids], pa.string())
         self.chunks, self.words, self.joints = Recent(CHUNKS), Recent(WORDS), Recent(JOINTS)
 
     @classmethod
@@ -73,19 +75,16 @@ class Encoder:
             cls._known[path] = cls(path)
         return cls._known[path]
 
-    def decode(self, column: pa.Array) -> list[str | None]:
+    def decode(self, column: pa.Array) -> pa.Array:
         """The texts of a list column of ids."""
-        texts = []
-        for value in column:
-            ids = value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else None
-            if ids is None:
-                texts.append(None)
-            elif self.tokenizer.decoder is None:
-                # Without a decoder of its own, a tokenizer joins the tokens by spaces.
-                texts.append(" ".join([self.tokens[i] for i in ids]))
-            else:
-                texts.append(self.tokenizer.decode(ids, skip_special_tokens=False))
-        return texts
+        if self.tokenizer.decoder is not None:
+            lists = (value.values.to_pylist() if value.is_valid else None for value in column)
+            return pa.array([None if ids is None else self.tokenizer.decode(ids, skip_special_tokens=False) for ids in lists], pa.string())
+        # Without a decoder of its own, a tokenizer joins the tokens by spaces.
+        first, last = (column.offsets[0].as_py(), column.offsets[-1].as_py()) if len(column) else (0, 0)
+        tokens = self.tokens.take(column.values.slice(first, last - first))
+        starts = pc.subtract(column.offsets, pa.scalar(first, pa.int32()))
+        return pc.binary_join(pa.ListArray.from_arrays(starts, tokens, mask=column.is_null()), " ")
 
     def plain(self, texts: list[bytes]) -> list[bytes]:
         batch = [x.decode("utf-8") for x in texts]
@@ -201,14 +200,14 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            for low, high, raw, offsets in bytesops.text_slices(batch.column(batch.num_columns - 1), 1 << 21):
+            for low, high, raw, offsets in bytesops.text_slices(batch.column(batch.num_columns - 1)):
                 found = encoder.encode(chunked(raw, offsets))
                 ends = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(ends), values)
                 columns = [*[c.slice(low, high - low) for c in batch.columns[:-1]], ids]
                 if decoded_col:
-                    columns.append(pa.array(encoder.decode(ids), pa.string()))
+                    columns.append(encoder.decode(ids))
                 yield pa.RecordBatch.from_arrays(columns, out.names)
 
     return chosen.mapInArrow(run, out)
@@ -222,6 +221,6 @@ def decoded(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "d
         encoder = Encoder.of(path)
         for batch in batches:
             texts = encoder.decode(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, text_col])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField(text_col, T.StringType())]))

@@ -17,19 +17,29 @@ LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE_VALUES = np.random.default_rng(42).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+# Texts are worked on about so many bytes at a time.
+SLICE = 1 << 20
+# Powers up to this one are kept by a worker; those for a longer text are made for it and dropped.
+KEPT = 1 << 22
+
+
+def _made(size: int) -> tuple[np.ndarray, np.ndarray]:
+    for_base, for_inverse = np.full(size, _BASE), np.full(size, _BASE_INVERSE)
+    for_base[0] = for_inverse[0] = 1
+    return np.cumprod(for_base), np.cumprod(for_inverse)
+
+
+_kept = _made(1)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base and its inverse modulo 2^64 to the powers 0 to n."""
-    global _powers, _inverses
-    if len(_powers) <= n:
-        size = max(n + 1, 2 * len(_powers))
-        for_base, for_inverse = np.full(size, _BASE), np.full(size, _BASE_INVERSE)
-        for_base[0] = for_inverse[0] = 1
-        _powers, _inverses = np.cumprod(for_base), np.cumprod(for_inverse)
-    return _powers, _inverses
+    global _kept
+    if n > KEPT:
+        return _made(n + 1)
+    if len(_kept[0]) <= n:
+        _kept = _made(min(max(n, 2 * len(_kept[0])), KEPT) + 1)
+    return _kept
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +53,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of whole rows of at most so many bytes together; one longer row makes a range of its own."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
@@ -53,8 +63,8 @@ def slices(offsets: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int
         first = last
 
 
-def text_slices(column: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row behind the last, bytes, offsets) of the column, a few megabytes at a time."""
+def text_slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row behind the last, bytes, offsets) of the column, about a megabyte at a time."""
     raw, offsets = text_buffer(column)
     for first, last in slices(offsets, limit):
         low, high = offsets[first], offsets[last]

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationflow.llm import bytesops
 from stationflow.llm.common import shards, written
@@ -94,6 +95,25 @@ def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
+def fingerprinted(docs: DataFrame, out: str, width: int = 4, text_col: str = "text") -> DataFrame:
+    """The rows with the fingerprint of their text as column `out`, a name that the rows do not have; see `fingerprints`."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = fingerprints_of(batch.column(at), width).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp)], [*batch.schema.names, out])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(out, T.LongType())]))
+
+
+def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, class) of every distinct fingerprint in (fp): class is the smallest one reachable over links of `radius` or fewer differing bits."""
+    nodes = written(prints.select("fp").distinct().select("fp", F.col("fp").alias("id")), "nodes")
+    found = written(components(near_links(nodes, radius)), "found")
+    return nodes.join(found, nodes["id"] == found["node"], "left").select("fp", F.coalesce("component", "fp").alias("class"))
+
+
 def _near(codes: np.ndarray, ids: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
     """A spanning forest of the links among the fingerprints of one bucket: each new one is compared with those not yet reached."""
     left = np.arange(len(codes))

@@ -28,7 +28,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABET = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)], np.uint8)
 
 BITS_PER_WORD = 20
-PART_WORDS = 1 << 18
+PART_WORDS = 1 << 15
 ROUND_BYTES = 32 << 20
 # Letters of words that are probed together, and edits let through that leave a task together.
 SLICE = 1 << 15

@@ -36,7 +36,6 @@ SPAN = 100
 KEY = 32
 BATCH = 8 << 20
 HOT = 1 << 12
-SLICE = 1 << 21
 OUTSIDE = 0xFF  # in no UTF-8 text
 POSITION = 40  # bits of a byte position in a document
 # Bytes under other names: sums over them make a second hash.
@@ -61,7 +60,7 @@ class Corpus:
         """Some documents at a time: (positions, rows, hashes of the KEY bytes, hashes of the surroundings) of the anchors, but
         of those with a hash in `hot` (positions, rows, two hashes) of the windows that have them, at the end of the tuple.
         """
-        for low, high in bytesops.slices(self.offsets, SLICE):
+        for low, high in bytesops.slices(self.offsets):
             begin, end = self.offsets[low], self.offsets[high]
             n = int(end - begin)
             windows = n - span + 1

@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from test_operators import plain_cut
+from test_corpus_operators import plain_cut
 
 from stationflow.llm import substrings
 
