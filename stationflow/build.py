@@ -8,9 +8,8 @@ costs what its new readings cost, not a scan of the whole fact.
 from __future__ import annotations
 
 from datetime import UTC, datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +18,8 @@ from stationflow.plans.reports import REPORTS
 from stationflow.schemas import require_same_schema
 from stationflow.session import configure
 from stationflow.sinks import write_report
-from stationflow.streaming.ingest import raw_store, raw_tables
-from stationflow.streaming.store import BatchStore
+from stationflow.streaming.ingest import current_information, raw_store, raw_tables
+from stationflow.streaming.store import FAN, BatchStore, Range, State
 
 _PAIR = "stream_id string, batch_id bigint"
 
@@ -28,8 +27,8 @@ FACT = (
     "status_id bigint, station_id string, last_reported timestamp, releve_heure_locale timestamp_ntz, "
     "heure_locale timestamp_ntz, num_bikes_available int, num_docks_available int, capacity int, "
     "is_installed boolean, is_renting boolean, is_returning boolean, taux_remplissage double, "
-    "est_vide boolean, est_pleine boolean, latence_bout_en_bout_s decimal(10,3), "
-    "latence_pipeline_s decimal(10,3), is_replay boolean, ingested_at timestamp"
+    "est_vide boolean, est_pleine boolean, latence_bout_en_bout_s decimal(14,3), "
+    "latence_pipeline_s decimal(14,3), is_replay boolean, ingested_at timestamp"
 )
 SUMS = (
     "station_id string, heure_locale timestamp_ntz, n bigint, n_ratio bigint, sum_ratio decimal(38,10), "
@@ -54,13 +53,26 @@ def _schema(columns: str) -> T.StructType:
     return T.StructType.fromDDL(f"{columns}, {_PAIR}")
 
 
-def mart_store(root: str) -> BatchStore:
+def mart_store(root: str, fan: int = FAN) -> BatchStore:
     tables = {**TABLES, "hourly_sums": SUMS, "fct_station_status": f"{FACT}, date date", "builds": BUILDS}
-    return BatchStore(root, "builds", {n: _schema(c) for n, c in tables.items()}, by={"fct_station_status": ["date"]})
+    return BatchStore(
+        root,
+        "builds",
+        {n: _schema(c) for n, c in tables.items()},
+        by={"fct_station_status": ["date"]},
+        reduced={"hourly_sums": added_up},
+        newest=tuple(TABLES),
+        fan=fan,
+    )
 
 
-def _last_build(spark: SparkSession, store: BatchStore):
-    return store.ledger(spark).orderBy(F.desc("batch_id")).limit(1).collect()
+def added_up(sums: DataFrame) -> DataFrame:
+    """Hourly sums of several builds as one row for each station and hour."""
+    return models.regrouped(sums, ["station_id", "heure_locale"]).withColumn("sum_ratio", F.col("sum_ratio").cast("decimal(38,10)"))
+
+
+def _last_build(spark: SparkSession, store: BatchStore, state: State):
+    return store.ledger(spark, state).orderBy(F.desc("batch_id")).limit(1).collect()
 
 
 def _generation(number: int) -> str:
@@ -70,10 +82,10 @@ def _generation(number: int) -> str:
 class Build:
     """One run of the models over a raw store."""
 
-    def __init__(self, spark: SparkSession, raw_root: str, mart_root: str, zone: str = models.ZONE):
+    def __init__(self, spark: SparkSession, raw_root: str, mart_root: str, zone: str = models.ZONE, fan: int = FAN):
         self.spark = configure(spark)
         self.raw_root = raw_root
-        self.store = mart_store(mart_root)
+        self.store = mart_store(mart_root, fan)
         self.zone = zone
 
     def run(self, refresh_dim: bool = False) -> int:
@@ -84,7 +96,9 @@ class Build:
         """
         spark, store = self.spark, self.store
         started = datetime.now(UTC)
-        last = _last_build(spark, store)
+        state = store.state(spark)
+        store.begin()
+        last = _last_build(spark, store, state)
         number = last[0]["batch_id"] + 1 if last else 0
         generation = last[0]["generation"] if last else 0
         mark = last[0]["last_status_id"] if last else 0
@@ -93,19 +107,23 @@ class Build:
             generation, mark = number, 0
         stream = _generation(generation)
 
-        top, unread = self._above(mark)
-        raw = raw_tables(spark, self.raw_root)
-        dimension = models.station_dimension(models.staged_information(raw["station_information"]))
+        raw = raw_store(self.raw_root)
+        raw_state = raw.state(spark)
+        top = raw.ledger(spark, raw_state).agg(F.max("last_status_id")).first()[0] or mark
+        log = current_information(raw.read(spark, "station_information", raw_state))
+        dimension = models.station_dimension(models.staged_information(log))
         store.write("dim_station", self._checked(dimension, TABLES["dim_station"]), stream, number)
-        dimension = self._of_build("dim_station", stream, number)
+        dimension = self._written("dim_station", stream, number)
 
-        staged = models.staged_status(raw["station_status"].filter(unread)).filter(F.col("status_id") <= top)
-        new = self._checked(models.fact(staged, dimension, self.zone, above=mark), FACT)
+        # The ledger tells which parts hold numbers above the mark: older ones are not opened.
+        unread = raw.read(spark, "station_status", raw_state, {"status_id": (mark + 1, top)})
+        new = self._checked(models.fact(models.staged_status(unread), dimension, self.zone, above=mark), FACT)
         store.write("fct_station_status", new.withColumn("date", F.to_date("last_reported")), stream, number)
-        sums = models.hourly_sums(self._of_build("fct_station_status", stream, number))
+        sums = models.hourly_sums(self._written("fct_station_status", stream, number))
         store.write("hourly_sums", sums.withColumn("sum_ratio", F.col("sum_ratio").cast("decimal(38,10)")), stream, number)
 
-        added = models.regrouped(self._of_generation("hourly_sums", stream, number), ["station_id", "heure_locale"])
+        before = store.read(spark, "hourly_sums", state, streams=[stream]).drop("stream_id", "batch_id")
+        added = models.regrouped(before.unionByName(self._written("hourly_sums", stream, number)), ["station_id", "heure_locale"])
         marts = {
             "agg_occupation_horaire": models.station_hours(added),
             "agg_reseau_horaire": models.network_hours(added),
@@ -113,60 +131,42 @@ class Build:
         }
         for name, rows in marts.items():
             store.write(name, self._checked(rows, TABLES[name]), stream, number)
-        store.commit(
-            spark,
-            stream,
-            number,
-            {
-                "started_at": started,
-                "finished_at": datetime.now(UTC),
-                "generation": generation,
-                "last_status_id": top,
-            },
-        )
+        values = {"started_at": started, "finished_at": datetime.now(UTC), "generation": generation, "last_status_id": top}
+        state = store.commit(spark, state, stream, number, values)
+        store.compacted(spark, state, [stream])
         return number
 
-    def _above(self, mark: int) -> tuple[int, Column]:
-        """Highest committed number, and which batches can hold numbers above the mark.
-
-        The ledger tells the batches, so older partitions of the raw table are not opened.
-        """
-        ledger = raw_store(self.raw_root).ledger(self.spark).filter(F.col("last_status_id") > mark)
-        firsts = ledger.groupBy("stream_id").agg(F.min("batch_id").alias("first"), F.max("last_status_id").alias("top"))
-        rows = firsts.collect()
-        if not rows:
-            return mark, F.lit(False)
-        unread = [(F.col("stream_id") == r["stream_id"]) & (F.col("batch_id") >= r["first"]) for r in rows]
-        return max(r["top"] for r in rows), reduce(Column.__or__, unread)
-
     @staticmethod
     def _checked(rows: DataFrame, columns: str) -> DataFrame:
         return require_same_schema(rows, T.StructType.fromDDL(columns))
 
-    def _of_build(self, name: str, stream: str, number: int) -> DataFrame:
-        rows = self.store._scan(self.spark, name)
-        of_build = (F.col("stream_id") == stream) & (F.col("batch_id") == number)
-        return rows.filter(of_build).drop("stream_id", "batch_id")
-
-    def _of_generation(self, name: str, stream: str, number: int) -> DataFrame:
-        rows = self.store.read(self.spark, name, {stream: number})
-        return rows.drop("stream_id", "batch_id")
+    def _written(self, name: str, stream: str, number: int) -> DataFrame:
+        return self.store.written(self.spark, name, stream, number).drop("stream_id", "batch_id")
 
-    def tables(self) -> dict[str, DataFrame]:
-        """Raw tables, staging views and the models of the last committed build."""
-        raw = raw_tables(self.spark, self.raw_root)
-        last = _last_build(self.spark, self.store)
+    def tables(self, ingested: Range = (None, None)) -> dict[str, DataFrame]:
+        """Raw tables, staging views and the models of the last committed build; raw rows of a range of write times if asked."""
+        raw = raw_tables(self.spark, self.raw_root, ingested=ingested)
+        state = self.store.state(self.spark)
+        last = _last_build(self.spark, self.store, state)
         if not last:
             raise ValueError("no build has been committed")
-        number, stream = last[0]["batch_id"], _generation(last[0]["generation"])
+        stream = _generation(last[0]["generation"])
+        built = {n: self.store.read(self.spark, n, state, streams=[stream]) for n in ("fct_station_status", *TABLES)}
         return {
             **raw,
             "stg_station_status": models.staged_status(raw["station_status"]),
             "stg_station_information": models.staged_information(raw["station_information"]),
-            "fct_station_status": self._of_generation("fct_station_status", stream, number).drop("date"),
-            **{name: self._of_build(name, stream, number) for name in TABLES},
+            **{n: rows.drop("stream_id", "batch_id", "date") for n, rows in built.items()},
         }
 
+    def tidy(self) -> None:
+        """Remove what older builds and generations left: all but the live tables and what the newest compaction replaced."""
+        state = self.store.state(self.spark)
+        last = _last_build(self.spark, self.store, state)
+        if last:
+            stream = _generation(last[0]["generation"])
+            self.store.cleared(self.spark, state, [stream])
+
     def views(self) -> None:
         """Publish the tables as temporary views, prefixed by layer."""
         layers = {

@@ -165,7 +165,10 @@ READING_COLUMNS = f"""
   status_id, station_id, {iso("last_reported")} as last_reported, bikes as num_bikes_available,
   docks as num_docks_available, is_installed, is_replay, {iso("fetched_at")} as fetched_at"""
 
-RANGE = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
+RANGE = ("2024-01-08 07:31:30", "2024-01-23 19:12:08")
+# When the first of several batches is written, and a time range that holds only the one an hour later.
+FIRST_BATCH = "2024-02-01 00:00:00"
+MIDDLE_BATCH = ("2024-02-01 00:30:00", "2024-02-01 01:30:00")
 AS_OF = "2024-01-30 23:59:59"
 FRESH_AS_OF = "2024-01-31 00:00:00"
 
@@ -439,7 +442,8 @@ with {_verdicts()} select topic, status_id as kafka_offset, error,
 with {RAW} select row_number() over (order by raw.status_id) as status_id, station_id, {iso("last_reported")} as last_reported,
   bikes as num_bikes_available, docks as num_docks_available, is_installed, is_replay,
   raw.status_id as kafka_offset from raw"""
-    q["ingest_stream_resent"] = q["ingest_stream"]
+    for name in ("ingest_stream_resent", "ingest_stream_compacted", "ingest_stream_many_batches"):
+        q[name] = q["ingest_stream"]
     q["ingest_stream_ledger"] = f"""
 with {_verdicts()}, good as (select * from mixed where topic = 'station_status' and error is null)
 select (select count(*) from mixed) as received, (select count(*) from mixed where error is not null) as invalid,
@@ -454,10 +458,16 @@ from mixed where error is not null"""
 with {_verdicts()}, good as (select * from mixed where topic = 'station_information' and error is null)
 select station_id, 'Station ' || station_id as name, cast(43.6 as double) as lat, cast(3.9 as double) as lon,
   arg_max(bikes, status_id) as capacity, max(status_id) as kafka_offset from good group by station_id"""
-    q["panel_rejected"] = f"with {_verdicts()} select count(*) as rejetes from mixed where error is not null"
+    # The second of three parts by offset.
+    second = "status_id > (select max(event_id) // 3 from events) and status_id <= (select max(event_id) * 2 // 3 from events)"
+    q["panel_rejected"] = f"with {_verdicts()} select count(*) as rejetes from mixed where error is not null and {second}"
+    q["panel_inserted_hour"] = f"""
+with {_verdicts()}, firsts as (
+  select min(status_id) as status_id from mixed where topic = 'station_status' and error is null group by station_id, last_reported)
+select {iso("timestamp '2024-02-01 01:00:00'")} as time, count(*) as releves_inseres from firsts where {second}"""
     q["live_series_5min"] = f"""
-with {MESSAGES}, b as (select {BUCKET} as t, count(*) as messages from msg group by 1)
-select {iso("t")} as time, messages from b"""
+with {MESSAGES}, b as (select {BUCKET} as t, count(*) as messages, count(distinct station_id) as stations from msg group by 1)
+select {iso("t")} as time, messages, stations from b"""
     q["archive_replay"] = f"""
 with {RAW} select station_id, {iso("last_reported")} as last_reported, bikes as num_bikes_available,
   docks as num_docks_available, is_installed, true as is_replay from raw"""

@@ -16,7 +16,7 @@ def staged_status(raw: DataFrame) -> DataFrame:
     live = ~F.col("is_replay")
 
     def latency(since: str):
-        return F.when(live, T.seconds_between(F.col("ingested_at"), F.col(since)).cast("decimal(10,3)"))
+        return F.when(live, T.seconds_between(F.col("ingested_at"), F.col(since)).cast("decimal(14,3)"))
 
     return raw.select(
         "status_id",

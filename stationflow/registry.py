@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stationflow.build import Build
 from stationflow.operators import changes
 from stationflow.operators.keyed import first_per_key, first_with_last_position, latest_per_key, replace_by_key
-from stationflow.oracle import AS_OF, FRESH_AS_OF, RANGE
+from stationflow.oracle import AS_OF, FIRST_BATCH, FRESH_AS_OF, MIDDLE_BATCH, RANGE
 from stationflow.plans import models, monitoring, quality, reports, validate
 from stationflow.plans.archive import Archive
 from stationflow.session import work_dir
@@ -157,41 +158,59 @@ def _archive(report: str) -> Query:
     return lambda spark, sf_dir: plain(Archive(star.archive_lines(spark, sf_dir)).reports()[report][1]())
 
 
-def _in_two_parts(
-    spark: SparkSession, messages: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], resent: bool = False
+def _in_parts(
+    spark: SparkSession, messages: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], parts: int = 2, resent: bool = False
 ) -> str:
-    """Land the messages in two parts, in order, and run the stream after each; returns its folder.
+    """Land the messages in parts, in order, and run the stream after each; returns its folder.
 
-    With `resent` the second part delivers the first one again.
+    With `resent` the last part delivers all that came before again.
     """
     folder = work_dir(spark, "stream")
     landed = f"{folder}/landed"
-    middle = messages.agg(F.expr("max(offset) div 2")).first()[0]
-    for part in (F.col("offset") <= middle, F.lit(True) if resent else F.col("offset") > middle):
-        publish_files(messages.filter(part), landed)
+    last = messages.agg(F.max("offset")).first()[0]
+    for part in range(parts):
+        low, high = last * part // parts, last * (part + 1) // parts
+        again = resent and part == parts - 1
+        publish_files(messages.filter(F.lit(part == 0 or again) | (F.col("offset") > low)).filter(F.col("offset") <= high), landed)
         start(message_files(spark, landed, streaming=True), folder).awaitTermination()
     return folder
 
 
-def _ingested(spark: SparkSession, messages: DataFrame, resent: bool = False) -> str:
+def _ingested(spark: SparkSession, messages: DataFrame, parts: int = 2, resent: bool = False, **options) -> str:
     """Run the ingest stream over the messages; returns the root of the raw tables."""
-    start = lambda stream, folder: start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint")
-    return f"{_in_two_parts(spark, messages, start, resent)}/raw"
+    start = lambda stream, folder: start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint", **options)
+    return f"{_in_parts(spark, messages, start, parts, resent)}/raw"
 
 
-def ingest_stream(spark: SparkSession, sf_dir: str, resent: bool = False) -> DataFrame:
-    raw = raw_tables(spark, _ingested(spark, star.feed_messages(spark, sf_dir), resent))
-    return plain(
-        raw["station_status"].select(
-            "status_id", *READING_KEY, "num_bikes_available", "num_docks_available", "is_installed", "is_replay",
-            "kafka_offset",
-        )
-    )
+def _readings(spark: SparkSession, root: str) -> DataFrame:
+    columns = ["num_bikes_available", "num_docks_available", "is_installed", "is_replay", "kafka_offset"]
+    return plain(raw_tables(spark, root)["station_status"].select("status_id", *READING_KEY, *columns))
+
+
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _readings(spark, _ingested(spark, star.feed_messages(spark, sf_dir)))
 
 
 def ingest_stream_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same readings, although the second batch delivers those of the first again."""
-    return ingest_stream(spark, sf_dir, resent=True)
+    return _readings(spark, _ingested(spark, star.feed_messages(spark, sf_dir), resent=True))
+
+
+def ingest_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same readings from tables that were compacted twice on the way, the last batch delivering everything again."""
+    return _readings(spark, _ingested(spark, star.feed_messages(spark, sf_dir), parts=5, resent=True, fan=2))
+
+
+def ingest_stream_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same readings from one run over ten landed files, a micro-batch each."""
+    folder = work_dir(spark, "stream")
+    messages = star.feed_messages(spark, sf_dir)
+    last = messages.agg(F.max("offset")).first()[0]
+    for k in range(10):
+        publish_files(messages.filter(F.col("offset") * 10 >= last * k + (k > 0)).filter(F.col("offset") * 10 <= last * (k + 1)), f"{folder}/landed")
+    stream = message_files(spark, f"{folder}/landed", streaming=True, files_per_batch=1)
+    start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint", fan=4).awaitTermination()
+    return _readings(spark, f"{folder}/raw")
 
 
 def ingest_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,22 +229,49 @@ def ingest_stream_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(raw["station_information"].select("station_id", "name", "lat", "lon", "capacity", "kafka_offset"))
 
 
+class _Hours:
+    """A clock that is an hour further at each batch: all of a batch happens at one time."""
+
+    def __init__(self) -> None:
+        self.hour = -1
+
+    def __call__(self) -> datetime:
+        return datetime.fromisoformat(FIRST_BATCH).replace(tzinfo=UTC) + timedelta(hours=max(self.hour, 0))
+
+
+def _ingested_by_the_hour(spark: SparkSession, sf_dir: str, parts: int) -> str:
+    clock = _Hours()
+
+    def start(stream: DataFrame, folder: str) -> StreamingQuery:
+        clock.hour += 1
+        return start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint", clock=clock)
+
+    return f"{_in_parts(spark, star.mixed_messages(spark, sf_dir), start, parts)}/raw"
+
+
 def panel_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_tables(spark, _ingested(spark, star.mixed_messages(spark, sf_dir)))
-    return monitoring.messages_rejected(raw["rejected_messages"], "2000-01-01 00:00:00", "2999-12-31 00:00:00")
+    """Of three batches, an hour apart, what the middle one rejected; the ledger leaves the others unopened."""
+    raw = raw_tables(spark, _ingested_by_the_hour(spark, sf_dir, 3), ingested=MIDDLE_BATCH)
+    return monitoring.messages_rejected(raw["rejected_messages"], *MIDDLE_BATCH)
+
+
+def panel_inserted_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that the middle one of three batches inserted."""
+    raw = raw_tables(spark, _ingested_by_the_hour(spark, sf_dir, 3), ingested=MIDDLE_BATCH)
+    return plain(monitoring.inserted_per_bucket(raw["station_status"], *MIDDLE_BATCH))
 
 
 def description_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = lambda stream, folder: start_changes(stream, f"{folder}/log", f"{folder}/checkpoint")
-    folder = _in_two_parts(spark, star.description_messages(spark, sf_dir), start)
+    folder = _in_parts(spark, star.description_messages(spark, sf_dir), start)
     log = change_store(f"{folder}/log").read(spark, "changes")
     return log.select(F.col("key").cast("long").alias("key"), F.col("offset").alias("position"), F.col("value").alias("description"))
 
 
 def live_series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = lambda stream, folder: start_series(stream, f"{folder}/series", f"{folder}/checkpoint")
-    folder = _in_two_parts(spark, star.feed_messages(spark, sf_dir), start)
-    return plain(series(spark, f"{folder}/series").select("time", "messages"))
+    folder = _in_parts(spark, star.feed_messages(spark, sf_dir), start)
+    return plain(series(spark, f"{folder}/series"))
 
 
 def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,8 +297,10 @@ def queries() -> dict[str, Query]:
         "description_changes_stream": description_changes_stream,
         "fact_redelivered": fact_redelivered,
         "ingest_stream": ingest_stream,
+        "ingest_stream_compacted": ingest_stream_compacted,
         "ingest_stream_information": ingest_stream_information,
         "ingest_stream_ledger": ingest_stream_ledger,
+        "ingest_stream_many_batches": ingest_stream_many_batches,
         "ingest_stream_rejected": ingest_stream_rejected,
         "ingest_stream_resent": ingest_stream_resent,
         "live_series_5min": live_series_5min,
@@ -289,6 +337,7 @@ def queries() -> dict[str, Query]:
         "overview": _report("synthese"),
         "panel_duplicates": _quality(lambda t: monitoring.duplicates_dropped(t["ingest_batches"], *RANGE)),
         "panel_fill_per_hour": _quality(lambda t: monitoring.fill_per_hour(t["agg_reseau_horaire"])),
+        "panel_inserted_hour": panel_inserted_hour,
         "panel_inserted_5min": _quality(lambda t: monitoring.inserted_per_bucket(t["station_status"], *RANGE)),
         "panel_latency_5min": _quality(lambda t: monitoring.latency_per_bucket(t["station_status"], *RANGE)),
         "panel_messages": _quality(lambda t: monitoring.status_received(t["ingest_batches"], *RANGE)),

@@ -1,13 +1,14 @@
 """Change detection on a stream of descriptions.
 
-The log of changes is its own state: the last change of a station is the description it was last
-seen with. Each micro-batch is compared inside itself first, and the first row of each station
-with the log. Unlike digests kept in a process, the log survives a restart.
+Beside the log of changes, the store keeps the last digest of each station, dealt to buckets by a hash of the station. Each
+micro-batch is compared inside itself first, and the first row of each station with that state, of which only the
+buckets of the batch's stations are read. A batch adds the digests it changed, and compaction reduces them to one a station, so
+what a batch reads grows with the stations and not with the history. Unlike digests kept in a process, the state survives a restart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,7 @@ from stationflow.operators.keyed import latest_per_key
 from stationflow.operators.ordered import with_previous
 from stationflow.session import configure
 from stationflow.streaming.ingest import stream_name
-from stationflow.streaming.store import BatchStore
+from stationflow.streaming.store import FAN, BatchStore, State
 
 _PAIR = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
 
@@ -35,11 +36,30 @@ CHANGES = T.StructType(
         *_PAIR,
     ]
 )
+LATEST = T.StructType([*[f for f in CHANGES.fields if f.name not in ("value", "stream_id", "batch_id")], T.StructField("bucket", T.IntegerType()), *_PAIR])
 BATCHES = T.StructType([T.StructField("changes", T.LongType()), *_PAIR])
 
+# Buckets of the state: a batch of few stations reads the files of their buckets only.
+BUCKETS = 32
 
-def change_store(root: str) -> BatchStore:
-    return BatchStore(root, "change_batches", {"changes": CHANGES, "change_batches": BATCHES})
+
+def change_store(root: str, fan: int = FAN) -> BatchStore:
+    return BatchStore(
+        root,
+        "change_batches",
+        {"changes": CHANGES, "latest": LATEST, "change_batches": BATCHES},
+        by={"latest": ["bucket"]},
+        reduced={"latest": last_digests},
+        fan=fan,
+    )
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.hash(key), F.lit(BUCKETS)).cast("int")
+
+
+def last_digests(rows: DataFrame) -> DataFrame:
+    return latest_per_key(rows, ["bucket", "key"], ARRIVAL)
 
 
 class Changes:
@@ -48,15 +68,15 @@ class Changes:
     def __init__(self, store: BatchStore, stream_id: str):
         self.store = store
         self.stream_id = stream_id
-        self.marks: dict[str, int] | None = None
-        self.sequence = 0
+        self.state: State | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
-        if self.marks is None:
-            self.marks, self.sequence = self.store.marks(spark), self.store.sequence(spark)
-        if batch_id <= self.marks.get(self.stream_id, -1):
+        if self.state is None:
+            self.state = self.store.state(spark)
+        if batch_id <= self.state.marks.get(self.stream_id, -1):
             return
+        self.store.begin()
         text = F.col("value").cast("string")
         hashed = batch.select(
             "key", text.alias("value"), F.struct(D.digest(D.parse(text)).alias("d")).alias("state"), "partition", "offset"
@@ -64,22 +84,23 @@ class Changes:
         try:
             if hashed.isEmpty():
                 return
-            found = self._changed(spark, hashed).withColumns({"digest": F.col("state.d"), "sequence": F.lit(self.sequence)}).persist()
-            self.store.write("changes", found, self.stream_id, batch_id)
-            changes = found.count()
+            found = self._changed(spark, hashed).withColumns({"digest": F.col("state.d"), "sequence": F.lit(self.state.sequence)}).persist()
+            changes = self.store.write("changes", found, self.stream_id, batch_id)
+            self.store.write("latest", last_digests(found.withColumn("bucket", bucket_of("key"))), self.stream_id, batch_id)
             found.unpersist()
         finally:
             hashed.unpersist()
-        self.store.commit(spark, self.stream_id, batch_id, {"changes": changes})
-        self.marks[self.stream_id] = batch_id
-        self.sequence += 1
+        state = self.store.commit(spark, self.state, self.stream_id, batch_id, {"changes": changes})
+        self.state = self.store.compacted(spark, state)
 
     def _changed(self, spark: SparkSession, hashed: DataFrame) -> DataFrame:
-        """Rows that differ from the row before them; only a station's first row asks the log. A null key is a key."""
-        log = self.store.read(spark, "changes", self.marks).select("key", "digest", *ARRIVAL)
-        stations = hashed.select(F.col("key").alias("here")).distinct()
-        mine = log.join(stations, F.col("key").eqNullSafe(F.col("here")), "left_semi")
-        known = latest_per_key(mine, ["key"], ARRIVAL).select(F.col("key").alias("of"), F.struct(F.col("digest").alias("d")).alias("known"))
+        """Rows that differ from the row before them; only a station's first row asks the state. A null key is a key."""
+        here = hashed.select(bucket_of("key").alias("bucket"), F.col("key").alias("here")).distinct()
+        last = self.store.read(spark, "latest", self.state).select("bucket", "key", "digest", *ARRIVAL)
+        # The join on the bucket prunes partitions; the one on the key cuts rows before they are sorted.
+        last = last.join(here.select("bucket").distinct(), "bucket", "left_semi")
+        mine = last.join(here.select("here"), F.col("key").eqNullSafe(F.col("here")), "left_semi")
+        known = last_digests(mine).select(F.col("key").alias("of"), F.struct(F.col("digest").alias("d")).alias("known"))
         compared = with_previous(hashed, ["key"], block_of("offset"), ["offset"], "state", "before")
         inside = compared.filter(F.col("before").isNotNull() & ~F.col("state").eqNullSafe(F.col("before")))
         first = compared.filter(F.col("before").isNull()).join(known, F.col("key").eqNullSafe(F.col("of")), "left")
@@ -87,8 +108,8 @@ class Changes:
         return inside.unionByName(first)
 
 
-def start_changes(stream: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    body = Changes(change_store(root), stream_name(checkpoint))
+def start_changes(stream: DataFrame, root: str, checkpoint: str, every: str | None = None, fan: int = FAN) -> StreamingQuery:
+    body = Changes(change_store(root, fan), stream_name(checkpoint))
     writer = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

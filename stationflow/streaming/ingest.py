@@ -17,13 +17,13 @@ from stationflow.operators.ordered import numbered
 from stationflow.plans import validate
 from stationflow.session import configure
 from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC
-from stationflow.streaming.store import BatchStore
+from stationflow.streaming.store import FAN, BatchStore, Range, State
 
 READING_KEY = ["station_id", "last_reported"]
 ARRIVAL = ["kafka_partition", "kafka_offset"]
 
 
-def raw_store(root: str) -> BatchStore:
+def raw_store(root: str, fan: int = FAN) -> BatchStore:
     return BatchStore(
         root,
         "ingest_batches",
@@ -34,6 +34,9 @@ def raw_store(root: str) -> BatchStore:
             "ingest_batches": schemas.INGEST_BATCHES,
         },
         by={"station_status": ["date"]},
+        zones={"station_status": ["status_id", "last_reported", "ingested_at"], "rejected_messages": ["rejected_at"]},
+        reduced={"station_information": kept_information},
+        fan=fan,
     )
 
 
@@ -47,11 +50,20 @@ def current_information(log: DataFrame, order_by: str = "arrival") -> DataFrame:
     return latest_per_key(log, ["station_id"], order)
 
 
+def kept_information(log: DataFrame) -> DataFrame:
+    """The rows of the log that `current_information` can still give, in either order."""
+    by_arrival, by_snapshot = (F.struct(*order) for order in (["sequence", *ARRIVAL], ["feed_last_updated", "sequence", *ARRIVAL]))
+    row = F.struct(*log.columns)
+    last = log.groupBy("station_id").agg(F.max_by(row, by_arrival).alias("one"), F.max_by(row, by_snapshot).alias("two"))
+    rows = F.when(F.col("one").eqNullSafe(F.col("two")), F.array("one")).otherwise(F.array("one", "two"))
+    return last.select(F.inline(rows))
+
+
 class Ingest:
     """The body of the ingest query, for use with `foreachBatch`. One writer per store.
 
     `decode` turns the source's rows into messages; `block_bits` sets how many offsets are
-    numbered together (2 ** block_bits of them hold the rows of one task).
+    numbered together (2 ** block_bits of them hold the rows of one task). Closed batches are compacted as they add up.
     """
 
     def __init__(
@@ -74,24 +86,25 @@ class Ingest:
         self.decode = decode
         self.block = F.shiftright("kafka_offset", block_bits)
         self.clock = clock
-        self.marks: dict[str, int] | None = None
-        self.sequence = 0
+        self.state: State | None = None
         self.last_status_id = 0
         self.last_rejected_id = 0
 
     def _load_state(self, spark: SparkSession) -> None:
-        """Marks and last numbers, read from the ledger once for each start."""
-        if self.marks is not None:
+        """Live parts and last numbers, read from the ledger once for each start."""
+        if self.state is not None:
             return
-        self.marks, self.sequence = self.store.marks(spark), self.store.sequence(spark)
-        last = self.store.ledger(spark).agg(F.max("last_status_id"), F.max("last_rejected_id")).first()
+        state = self.store.state(spark)
+        last = self.store.ledger(spark, state).agg(F.max("last_status_id"), F.max("last_rejected_id")).first()
         self.last_status_id, self.last_rejected_id = last[0] or 0, last[1] or 0
+        self.state = state
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
         self._load_state(spark)
-        if batch_id <= self.marks.get(self.stream_id, -1):
+        if batch_id <= self.state.marks.get(self.stream_id, -1):
             return  # committed before the checkpoint could note it
+        self.store.begin()
         started = self.clock()
         messages = self.decode(batch) if self.decode else batch
         judged = self.check(messages).persist(StorageLevel.MEMORY_AND_DISK)
@@ -118,7 +131,7 @@ class Ingest:
             inserted = self._write_statuses(spark, judged, batch_id, seen, now)
         if seen["informations"]:
             latest = latest_per_key(validate.valid_informations(judged), ["station_id"], ARRIVAL)
-            latest = latest.withColumns({"updated_at": now, "sequence": F.lit(self.sequence)})
+            latest = latest.withColumns({"updated_at": now, "sequence": F.lit(self.state.sequence)})
             self.store.write("station_information", latest, self.stream_id, batch_id)
         if seen["invalid"]:
             bad = self._numbered(validate.rejected(judged), [*ARRIVAL, "topic"], "rejected_id", self.last_rejected_id)
@@ -126,8 +139,9 @@ class Ingest:
             self.store.write("rejected_messages", bad, self.stream_id, batch_id)
         self.last_status_id += inserted
         self.last_rejected_id += seen["invalid"]
-        self.store.commit(
+        state = self.store.commit(
             spark,
+            self.state,
             self.stream_id,
             batch_id,
             {
@@ -144,8 +158,7 @@ class Ingest:
                 "last_rejected_id": self.last_rejected_id,
             },
         )
-        self.marks[self.stream_id] = batch_id
-        self.sequence += 1
+        self.state = self.store.compacted(spark, state)
 
     def _numbered(self, rows: DataFrame, order: list[str], out: str, start: int) -> DataFrame:
         first, *rest = order
@@ -172,13 +185,15 @@ class Ingest:
         return inserted
 
     def _stored(self, spark: SparkSession, valid: DataFrame, seen) -> DataFrame:
-        """Committed readings of the batch's days, between its first and last time: the key holds the date.
+        """Committed readings that can share a key with the batch's, which lie between its first and last time.
 
-        The join on the date lets Spark prune the partitions to the days that occur, however far apart they are.
+        The ledger names the parts that hold such times; nothing else is listed or opened, however many batches there have been.
+        Within a part, the join on the date lets Spark prune the partitions to the days that occur, however far apart they are.
         """
+        between = {"last_reported": (seen["first_reported"], seen["last_reported"])}
+        stored = self.store.read(spark, "station_status", self.state, between)
         days = valid.select(F.to_date("last_reported").alias("date")).distinct()
-        stored = self.store.read(spark, "station_status", self.marks).join(days, "date", "left_semi")
-        return stored.filter(F.col("last_reported").between(F.lit(seen["first_reported"]), F.lit(seen["last_reported"])))
+        return stored.join(days, "date", "left_semi")
 
 
 def stream_name(checkpoint: str) -> str:
@@ -191,26 +206,30 @@ def start_ingest(
     root: str,
     checkpoint: str,
     every: str | None = None,
+    fan: int = FAN,
     **options,
 ) -> StreamingQuery:
     """Start the ingest query. Without `every` it takes what is there and stops; "5 seconds" keeps it running.
 
     Several sources go through one query, as a union: two writers could both insert one key.
     """
-    ingest = Ingest(raw_store(root), stream_name(checkpoint), **options)
+    ingest = Ingest(raw_store(root, fan), stream_name(checkpoint), **options)
     writer = stream.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def raw_tables(spark: SparkSession, root: str, order_by: str = "arrival") -> dict[str, DataFrame]:
-    """The committed raw tables."""
+def raw_tables(spark: SparkSession, root: str, order_by: str = "arrival", ingested: Range = (None, None)) -> dict[str, DataFrame]:
+    """The committed raw tables; readings and rejected messages only of the given range of write times, both ends included.
+
+    With a range, the ledger names the parts to open: a panel over one hour reads what that hour's batches wrote.
+    """
     store = raw_store(root)
-    marks = store.marks(spark)
-    log = store.read(spark, "station_information", marks)
+    state = store.state(spark)
+    log = store.read(spark, "station_information", state)
     return {
-        "station_status": store.read(spark, "station_status", marks),
+        "station_status": store.read(spark, "station_status", state, {"ingested_at": ingested}),
         "station_information": current_information(log, order_by),
-        "rejected_messages": store.read(spark, "rejected_messages", marks),
-        "ingest_batches": store.ledger(spark),
+        "rejected_messages": store.read(spark, "rejected_messages", state, {"rejected_at": ingested}),
+        "ingest_batches": store.ledger(spark, state),
     }

@@ -12,6 +12,7 @@ SF = "/root/testdata/sf0.001"
 STREAMED = {
     "description_changes_stream", "ingest_stream", "ingest_stream_information", "ingest_stream_ledger",
     "ingest_stream_rejected", "ingest_stream_resent", "live_series_5min", "model_build", "panel_rejected", "dq_suite",
+    "ingest_stream_compacted", "ingest_stream_many_batches", "panel_inserted_hour",
 }
 BATCH = sorted(set(registry.queries()) - STREAMED)
 
@@ -79,11 +80,13 @@ def test_filters_reach_the_files(spark, tmp_path):
     assert "GreaterThanOrEqual(ingested_at" in panel and "LessThanOrEqual(ingested_at" in panel
 
 
-def test_committed_batches_prune_partitions(spark, tmp_path):
+def test_committed_batches_are_opened_by_name(spark, tmp_path):
     from feed import messages, status
     from stationflow.streaming import ingest as ing
 
     run = ing.Ingest(ing.raw_store(str(tmp_path)), "s")
-    run(messages(spark, [status()]), 0)
-    pushed = plan(ing.raw_tables(spark, str(tmp_path))["station_status"])
-    assert re.search(r"PartitionFilters: \[.*stream_id.*batch_id", pushed)
+    for batch in range(2):
+        run(messages(spark, [status(last_reported=1767225600 + batch)]), batch)
+    run.store.write("station_status", ing.raw_tables(spark, str(tmp_path))["station_status"], "s", 2)  # never committed
+    opened = ing.raw_tables(spark, str(tmp_path))["station_status"].inputFiles()
+    assert sorted(re.search(r"batch_id=\d+", f)[0] for f in opened) == ["batch_id=0", "batch_id=1"]
