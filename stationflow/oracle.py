@@ -6,7 +6,8 @@ percentiles, so that the two engines agree to the last digit.
 
 from __future__ import annotations
 
-from stationflow.sources.star import BATCH_MESSAGES, DAMAGE, PLACES, REPEATED_POLL, STATIONS
+from stationflow.sources.faults import KINDS
+from stationflow.sources.star import BATCH_MESSAGES, PLACES, REPEATED_POLL, STATIONS
 
 ZONE = "Europe/Paris"
 
@@ -389,34 +390,14 @@ def _suite_sql() -> str:
 
 
 def _verdicts() -> str:
-    """Each message with the error its damage must give, known from how it was built."""
-    errors = {
-        "negative bikes": "'num_bikes_available: must be >= 0, got -1'",
-        "bikes as text": "'num_bikes_available: integer wanted, got \"8\"'",
-        "docks as boolean": "'num_docks_available: integer wanted, got true'",
-        "renting as text": "'is_renting: boolean wanted, got \"yes\"'",
-        "blank station": "'station_id: non-blank text wanted, got \" \"'",
-        "report time zero": "'last_reported: must be >= 1, got 0'",
-        "fetch time null": "'fetched_at: number wanted, got null'",
-        "vehicle types as text": "'vehicle_types_available: list wanted, got \"14\"'",
-        "docks absent": "'missing fields: num_docks_available'",
-        "broken JSON": "'not JSON'",
-        "tombstone": "'not JSON'",
-        "bad UTF-8": "'not JSON'",
-        "bikes beyond 32 bits": "'num_bikes_available: out of range for a 32-bit integer, got 3000000000'",
-        "bikes as 8.0": "'num_bikes_available: integer wanted, got 8'",
-        "replay null": "'replay: boolean wanted, got null'",
-        "latitude 95": "'coordinates out of bounds: 95, 3.9'",
-        "name null": "'name: text wanted, got null'",
-    }
-    cases = " ".join(f"when {DAMAGE.index(k)} then {v}" for k, v in errors.items())
-    number = {k: i for i, k in enumerate(DAMAGE)}
-    informations = f"({number['description']}, {number['latitude 95']}, {number['name null']})"
+    """Each message with the error its kind must give, known from how it was built."""
+    quoted = {k: kind.error.replace("'", "''") for k, kind in enumerate(KINDS) if kind.error}
+    cases = " ".join(f"when {k} then '{error}'" for k, error in quoted.items())
+    topics = " ".join(f"when {k} then '{kind.topic}'" for k, kind in enumerate(KINDS))
+    digits = [str(k) for k, kind in enumerate(KINDS) if not kind.error and kind.fields]
     return f"""{MESSAGES}, mixed as (
-  select *, status_id % {len(DAMAGE)} as kind, case status_id % {len(DAMAGE)} {cases} end as error,
-    case when status_id % {len(DAMAGE)} = {number["other topic"]} then 'elsewhere'
-         when status_id % {len(DAMAGE)} in {informations} then 'station_information' else 'station_status' end as topic,
-    status_id % {len(DAMAGE)} = {number["flags as 0 and 1"]} as as_digits from msg)"""
+  select *, case status_id % {len(KINDS)} {cases} end as error, case status_id % {len(KINDS)} {topics} end as topic,
+    status_id % {len(KINDS)} in ({", ".join(digits)}) as as_digits from msg)"""
 
 
 def _archive_sql() -> str:

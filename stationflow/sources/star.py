@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators.keyed import first_per_key
 from stationflow.plans import models
+from stationflow.sources.faults import KINDS, OTHER_TOPIC
 from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC, as_messages
 
 STATIONS = 52
@@ -165,90 +166,57 @@ def description_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# What becomes of a message, by its number modulo the length of the list.
-DAMAGE = (
-    "none",
-    "negative bikes",
-    "bikes as text",
-    "docks as boolean",
-    "renting as text",
-    "blank station",
-    "report time zero",
-    "fetch time null",
-    "vehicle types as text",
-    "docks absent",
-    "broken JSON",
-    "tombstone",
-    "bad UTF-8",
-    "bikes beyond 32 bits",
-    "bikes as 8.0",
-    "replay null",
-    "flags as 0 and 1",
-    "description",
-    "latitude 95",
-    "name null",
-    "other topic",
-)
+def _with_kinds(right: dict[str, Column], topic: str) -> Column:
+    """A JSON object of fields, each as its message's kind has it."""
+    pairs = []
+    for name, value in right.items():
+        given = {k: kind.fields[name] for k, kind in enumerate(KINDS) if kind.topic == topic and name in kind.fields}
+        shown = F.concat(F.lit(f'"{name}":'), value)
+        for k, text in given.items():
+            shown = F.when(F.col("kind") == k, F.lit(None if text is None else f'"{name}":{text}')).otherwise(shown)
+        pairs.append(shown)
+    return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
 
 
 def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a message of some kind, good or damaged, over three topics."""
+    """Every event as a message of some kind, good or broken, over three topics."""
     rows = status_messages(spark, sf_dir)
     number = F.col("status_id")
-    kind = F.element_at(F.array(*[F.lit(k) for k in DAMAGE]), (number % len(DAMAGE)).cast("int") + 1)
-    rows = rows.withColumn("damage", kind)
-
-    def unless(damage: str, wrong: str, right: Column) -> Column:
-        return F.when(F.col("damage") == damage, F.lit(wrong)).otherwise(right)
-
-    bikes = F.col("num_bikes_available").cast("string")
-    for damage, wrong in (
-        ("negative bikes", "-1"),
-        ("bikes as text", '"8"'),
-        ("bikes beyond 32 bits", "3000000000"),
-        ("bikes as 8.0", "8.0"),
-    ):
-        bikes = unless(damage, wrong, bikes)
-    docks = unless("docks as boolean", "true", F.col("num_docks_available").cast("string"))
-    docks = F.when(F.col("damage") == "docks absent", F.lit("")).otherwise(
-        F.concat(F.lit('"num_docks_available":'), docks, F.lit(","))
-    )
-    installed = unless("flags as 0 and 1", "1", F.lit("true"))
-    renting = unless("renting as text", '"yes"', unless("flags as 0 and 1", "0", F.lit("true")))
-    station = unless("blank station", " ", F.col("station_id"))
-    reported = unless("report time zero", "0", F.unix_seconds("last_reported").cast("string"))
-    fetched = unless("fetch time null", "null", F.unix_seconds("fetched_at").cast("string"))
-    vehicles = unless("vehicle types as text", '"14"', F.lit('[{"vehicle_type_id":"14","count":1}]'))
-    replay = unless("replay null", "null", F.lit("false"))
+    rows = rows.withColumn("kind", (number % len(KINDS)).cast("int"))
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     seen = F.unix_seconds("feed_last_updated").cast("string")
-    status = F.concat(
-        F.lit('{"station_id":"'), station, F.lit('","num_bikes_available":'), bikes, F.lit(","), docks,
-        F.lit('"is_installed":'), installed, F.lit(',"is_renting":'), renting,
-        F.lit(',"is_returning":true,"last_reported":'), reported,
-        F.lit(',"vehicle_types_available":'), vehicles, F.lit(',"replay":'), replay,
-        F.lit(',"fetched_at":'), fetched, F.lit(',"feed_last_updated":'), seen, F.lit("}"),
-    )
-    information = F.concat(
-        F.lit('{"station_id":"'), F.col("station_id"), F.lit('","name":'),
-        unless("name null", "null", F.concat(F.lit('" Station '), F.col("station_id"), F.lit(' "'))),
-        F.lit(',"lat":'), unless("latitude 95", "95", F.lit("43.6")),
-        F.lit(',"lon":3.9,"capacity":'), F.col("num_bikes_available").cast("string"),
-        F.lit(',"feed_last_updated":'), seen, F.lit("}"),
-    )
-    is_information = F.col("damage").isin("description", "latitude 95", "name null")
-    text = (
-        F.when(F.col("damage") == "broken JSON", F.lit('{"station_id":'))
-        .when(F.col("damage") == "tombstone", F.lit(None).cast("string"))
-        .when(F.col("damage") == "other topic", F.lit("[1]"))
-        .when(is_information, information)
-        .otherwise(status)
-    )
-    value = F.when(F.col("damage") == "bad UTF-8", F.unhex(F.lit("7BFF7D"))).otherwise(text.cast("binary"))
-    topic = (
-        F.when(F.col("damage") == "other topic", "elsewhere")
-        .when(is_information, INFORMATION_TOPIC)
-        .otherwise(STATUS_TOPIC)
-    )
+    bikes, docks = (F.col(c).cast("string") for c in ("num_bikes_available", "num_docks_available"))
+    status = {
+        "station_id": text(F.col("station_id")),
+        "num_bikes_available": bikes,
+        "num_docks_available": docks,
+        "is_installed": F.lit("true"),
+        "is_renting": F.lit("true"),
+        "is_returning": F.lit("true"),
+        "last_reported": F.unix_seconds("last_reported").cast("string"),
+        "vehicle_types_available": F.lit("[]"),
+        "replay": F.lit("false"),
+        "fetched_at": F.unix_seconds("fetched_at").cast("string"),
+        "feed_last_updated": seen,
+    }
+    information = {
+        "station_id": text(F.col("station_id")),
+        "name": text(F.concat(F.lit(" Station "), F.col("station_id"), F.lit(" "))),
+        "lat": F.lit("43.6"),
+        "lon": F.lit("3.9"),
+        "capacity": bikes,
+        "is_virtual_station": F.lit("false"),
+        "feed_last_updated": seen,
+    }
+    of_topic = {t: [k for k, kind in enumerate(KINDS) if kind.topic == t] for t in (INFORMATION_TOPIC, OTHER_TOPIC)}
+    built = F.when(F.col("kind").isin(of_topic[INFORMATION_TOPIC]), _with_kinds(information, INFORMATION_TOPIC))
+    value = built.otherwise(_with_kinds(status, STATUS_TOPIC)).cast("binary")
+    for k, kind in enumerate(KINDS):
+        if kind.raw != "as built":
+            value = F.when(F.col("kind") == k, F.lit(kind.raw).cast("binary")).otherwise(value)
+    topic = F.lit(STATUS_TOPIC)
+    for name, of in of_topic.items():
+        topic = F.when(F.col("kind").isin(of), F.lit(name)).otherwise(topic)
     return rows.select(
         F.col("station_id").alias("key"),
         value.alias("value"),
