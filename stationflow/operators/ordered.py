@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,3 +52,28 @@ def numbered(df: DataFrame, blocks: list[str], order: list[str], out: str, start
         .withColumn(out, (base + F.col("_before") + F.col("_place")).cast("long"))
         .drop("_place", "_before")
     )
+
+
+# More splits than this are refused: it bounds the table that `numbered_in_place` broadcasts, to some hundred megabytes.
+MOST_SPLITS = 4_000_000
+
+
+def numbered_in_place(df: DataFrame, splits: list[str], index: str, out: str, start: int = 0) -> DataFrame:
+    """Number rows 1, 2, 3, ... above `start` in the order of (`splits`, `index`) where they are.
+
+    `index` rises by one from row to row of a split, as `monotonically_increasing_id` does among the rows that a task reads
+    from one. So the number of a row is what the splits before its own hold, and its distance from its split's first row. Only
+    one row for each split, made from these columns alone, is shuffled; the rows keep their tasks, whatever else they carry.
+    """
+    sizes = df.groupBy(*splits).agg(F.count(F.lit(1)).alias("_size"), F.min(index).alias("_first"), F.max(index).alias("_final"))
+    order = Window.orderBy(*splits)
+    before = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    scattered = F.raise_error(F.lit("the rows of a split do not follow each other"))
+    many = F.raise_error(F.lit(f"more than {MOST_SPLITS} splits"))
+    checked = F.when(F.col("_final") - F.col("_first") + 1 != F.col("_size"), scattered.cast("long"))
+    checked = checked.when(F.row_number().over(order) > MOST_SPLITS, many.cast("long")).otherwise(before)
+    starts = sizes.select(*[F.col(c).alias(f"_{k}") for k, c in enumerate(splits)], "_first", checked.alias("_before"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate(splits)]
+    placed = df.join(F.broadcast(starts), reduce(Column.__and__, same))
+    number = F.lit(start) + F.col("_before") + F.col(index) - F.col("_first") + 1
+    return placed.withColumn(out, number.cast("long")).drop("_first", "_before", *[f"_{k}" for k in range(len(splits))])

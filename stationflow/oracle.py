@@ -7,7 +7,7 @@ percentiles, so that the two engines agree to the last digit.
 from __future__ import annotations
 
 from stationflow.sources.faults import KINDS
-from stationflow.sources.star import BATCH_MESSAGES, PLACES, REPEATED_POLL, STATIONS
+from stationflow.sources.star import BATCH_MESSAGES, CUT_LINE, NO_TTL, PLACES, REPEATED_POLL, STATIONS
 
 ZONE = "Europe/Paris"
 
@@ -452,6 +452,21 @@ select {iso("t")} as time, messages, stations from b"""
     q["archive_replay"] = f"""
 with {RAW} select station_id, {iso("last_reported")} as last_reported, bikes as num_bikes_available,
   docks as num_docks_available, is_installed, true as is_replay from raw"""
+    q["archive_scan"] = f"""
+with {_archive_sql()}, minutes as (
+  select t, twice, (epoch_us(t) // 60000000) as number, (select count(*) from fact f where f.last_reported = shots.t) as readings,
+    'station_status_' || strftime(t, '%Y-%m-%d') || case when day(t) % 2 = 1 then '.jsonl.gz' else '.jsonl' end as file_name from shots),
+lines as (
+  select file_name, 'good' as line, 1 + twice::int as n, readings from minutes
+  union all select file_name, 'cut', 1, 0 from minutes where number % {CUT_LINE} = 0
+  union all select file_name, 'without ttl', 1, readings from minutes where number % {NO_TTL} = 0
+  union all select 'station_information_2024-01-01.jsonl', 'good', 1, (select count(*) from dim)),
+judged as (
+  select reading, file_name, n, readings, case when line = 'cut' then 'line is not JSON'
+    when line = 'without ttl' and reading = 'replay' then 'incomplete envelope: ttl' end as source_error
+  from lines, (values ('replay'), ('analysis')) r(reading))
+select reading, file_name, source_error, cast(sum(n) as bigint) as lines,
+  cast(sum(case when source_error is null then n * readings else 0 end) as bigint) as stations from judged group by all"""
     q["archive_hourly"] = f"""
 with {FACT} select strftime(local_hour, '%Y-%m-%d %H:%M') as heure_locale, count(distinct station_id) as nb_stations,
   count(*) as nb_releves, {half_up(RATIO_SUM, f"count(*) * cast({TEN} as hugeint)", 4)} as taux_remplissage_moyen,

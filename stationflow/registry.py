@@ -18,7 +18,7 @@ from stationflow.plans.archive import Archive
 from stationflow.session import work_dir
 from stationflow.sinks import plain
 from stationflow.sources import star
-from stationflow.sources.archive import archive_messages
+from stationflow.sources.archive import archive_lines, archive_messages, snapshots
 from stationflow.sources.messages import message_files, publish_files
 from stationflow.streaming.changes import change_store, start_changes
 from stationflow.streaming.ingest import raw_tables, start_ingest
@@ -102,9 +102,13 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(first.unionByName(second))
 
 
+def _archive_lines(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    return archive_lines(spark, star.archive_folder(spark, sf_dir, damaged))
+
+
 def top_empty_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of all stations observed in the archive, described or not."""
-    return plain(reports.top_empty(Archive(star.archive_lines(spark, sf_dir)).stations()))
+    return plain(reports.top_empty(Archive(_archive_lines(spark, sf_dir)).stations()))
 
 
 def _quality(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
@@ -149,13 +153,22 @@ def validate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive lines as replayed messages, checked and deduplicated."""
-    judged = validate.checked(archive_messages(star.archive_lines(spark, sf_dir)))
+    judged = validate.checked(archive_messages(_archive_lines(spark, sf_dir)))
     rows = first_per_key(validate.valid_statuses(judged), READING_KEY, [F.col("kafka_offset")])
     return plain(rows.select(*READING_KEY, "num_bikes_available", "num_docks_available", "is_installed", "is_replay"))
 
 
 def _archive(report: str) -> Query:
-    return lambda spark, sf_dir: plain(Archive(star.archive_lines(spark, sf_dir)).reports()[report][1]())
+    return lambda spark, sf_dir: plain(Archive(_archive_lines(spark, sf_dir)).reports()[report][1]())
+
+
+def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a damaged archive of plain and compressed files, by file, and by what a replay and the analysis make of them."""
+    lines = _archive_lines(spark, sf_dir, damaged=True)
+    replay, analysis = (snapshots(lines, needs_ttl=needed).withColumn("reading", F.lit(r)) for r, needed in (("replay", True), ("analysis", False)))
+    judged = replay.unionByName(analysis)
+    stations = F.sum(F.when(F.col("source_error").isNull(), F.size("stations"))).alias("stations")
+    return judged.groupBy("reading", "file_name", "source_error").agg(F.count(F.lit(1)).alias("lines"), F.coalesce(stations, F.lit(0)).alias("stations"))
 
 
 def _in_parts(
@@ -293,6 +306,7 @@ def queries() -> dict[str, Query]:
         "archive_network_series": _archive("archive_serie_reseau"),
         "archive_overview": _archive("archive_synthese"),
         "archive_replay": archive_replay,
+        "archive_scan": archive_scan,
         "archive_stations": _archive("archive_stations"),
         "description_changes_stream": description_changes_stream,
         "fact_redelivered": fact_redelivered,

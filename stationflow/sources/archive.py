@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions import documents as D
-from stationflow.operators.ordered import numbered
+from stationflow.operators.ordered import numbered_in_place
 from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC
 
 STATUS = "status"
@@ -43,7 +43,7 @@ def archive_lines(
 
 
 def positioned(lines: DataFrame) -> DataFrame:
-    """Add `line`, which increases along each split of a file."""
+    """Add `line`, which rises by one from line to line of each split of a file."""
     return lines.withColumn("line", F.monotonically_increasing_id())
 
 
@@ -144,12 +144,11 @@ BLOCK_BITS = STATION_BITS + 16
 def archive_messages(lines: DataFrame, replay: bool = True) -> DataFrame:
     """Archive lines in the message contract: all descriptions first, then statuses, in file order.
 
-    Lines are numbered before they are decoded, so counting the lines of each split reads text
-    but parses nothing. `doc` carries the decoded message, so that it is not written out and
-    parsed again.
+    Lines are numbered where they are read, by the counts of the splits before theirs: counting reads text but
+    parses nothing, and no text moves. `doc` carries the decoded message, so that it is not written out and parsed again.
     """
     ranked = lines.withColumn("_status", (F.col("kind") == STATUS).cast("int"))
-    ranked = numbered(ranked, ["_status", "file_name", "block"], ["line"], "_number", start=-1)
+    ranked = numbered_in_place(ranked, ["_status", "file_name", "block"], "line", "_number", start=-1)
     rows = snapshot_messages(snapshots(ranked), ["_number"], replay)
     crowded = F.raise_error(F.lit(f"a line holds more than {1 << STATION_BITS} stations"))
     offset = F.when(F.col("pos") >= 1 << STATION_BITS, crowded).otherwise(F.shiftleft("_number", STATION_BITS) + F.col("pos"))

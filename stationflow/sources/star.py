@@ -12,8 +12,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow import files
 from stationflow.operators.keyed import first_per_key
 from stationflow.plans import models
+from stationflow.session import work_dir
 from stationflow.sources.faults import KINDS, OTHER_TOPIC
 from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC, as_messages
 
@@ -229,12 +231,14 @@ def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TTL = 60
 REPEATED_POLL = 7
+# Every so many minutes, a line that broke off and a line without ttl follow in a damaged archive.
+CUT_LINE, NO_TTL = 11, 13
 
 
-def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The readings as archived snapshots, one line for each minute, and the stations as one description line.
+def archive_text(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    """(file_name, at, value): the readings as archived snapshots, a line for each minute, and the stations as one description line.
 
-    Every seventh minute is polled twice. A minute holds at most one reading of each station.
+    Every seventh minute is polled twice. A minute holds at most one reading of each station. Days with an odd number are compressed.
     """
     readings = station_status(spark, sf_dir)
     station = F.struct("station_id", "num_bikes_available", "num_docks_available", "is_installed", "is_renting",
@@ -246,30 +250,47 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = (F.unix_micros("seen") / F.lit(1e6)).cast("double")
     repeated = F.expr(f"(unix_seconds(last_reported) div 60) % {REPEATED_POLL} = 0")
     polls = F.when(repeated, F.array(first, first + 10)).otherwise(F.array(first))
-    shots = shots.select("last_reported", "stations", F.explode(polls).alias("fetched_at"))
-    status = shots.select(
-        F.lit("status").alias("kind"),
-        F.to_json(F.struct("fetched_at", _envelope(minute, "stations").alias("status"))).alias("value"),
-        F.concat(F.lit("station_status_"), F.date_format("last_reported", "yyyy-MM-dd"), F.lit(".jsonl")).alias("file_name"),
-        F.lit(0).cast("long").alias("block"),
-        F.round(F.col("fetched_at") * F.lit(1e6)).cast("long").alias("line"),
-    )
+    whole = shots.select("last_reported", "stations", F.explode(polls).alias("fetched_at"))
+    lines = whole.select("last_reported", "fetched_at", _line(minute, F.lit(TTL)).alias("value"))
+    if damaged:
+        number = F.expr("unix_seconds(last_reported) div 60")
+        rows = shots.select("last_reported", "stations", first.alias("fetched_at"))
+        line = _line(minute, F.lit(None).cast("int"))
+        cut = rows.filter(number % CUT_LINE == 0).select("last_reported", F.lit(0.0).alias("fetched_at"), F.left(line, F.lit(40)).alias("value"))
+        lines = lines.unionByName(cut).unionByName(rows.filter(number % NO_TTL == 0).select("last_reported", "fetched_at", line.alias("value")))
+    suffix = F.when(F.dayofmonth("last_reported") % 2 == 1, ".jsonl.gz").otherwise(".jsonl")
+    name = F.concat(F.lit("station_status_"), F.date_format("last_reported", "yyyy-MM-dd"), suffix)
     described = station_information(spark, sf_dir)
     station = F.struct("station_id", "name", "lat", "lon", "capacity", "is_virtual_station")
     one = described.agg(F.sort_array(F.collect_list(station)).alias("stations"), F.max("feed_last_updated").alias("at"))
+    envelope = _envelope(F.unix_seconds("at"), F.lit(TTL))
     information = one.select(
-        F.lit("information").alias("kind"),
-        F.to_json(
-            F.struct(F.lit(1.0).alias("fetched_at"), _envelope(F.unix_seconds("at"), "stations").alias("information"))
-        ).alias("value"),
         F.lit("station_information_2024-01-01.jsonl").alias("file_name"),
-        F.lit(0).cast("long").alias("block"),
-        F.lit(0).cast("long").alias("line"),
+        F.lit(0.0).alias("at"),
+        F.to_json(F.struct(F.lit(1.0).alias("fetched_at"), envelope.alias("information"))).alias("value"),
     )
-    return status.unionByName(information)
+    return lines.select(name.alias("file_name"), F.col("fetched_at").alias("at"), "value").unionByName(information)
 
 
-def _envelope(updated: Column, stations: str) -> Column:
-    return F.struct(
-        updated.alias("last_updated"), F.lit(TTL).alias("ttl"), F.struct(F.col(stations).alias("stations")).alias("data")
-    )
+def archive_folder(spark: SparkSession, sf_dir: str, damaged: bool = False) -> str:
+    """A folder with the files of the archive, each written by one task, under the names that a poller gives them."""
+    folder = work_dir(spark, "archive")
+    text = archive_text(spark, sf_dir, damaged)
+    for compression, chosen in (("none", ~F.col("file_name").endswith(".gz")), ("gzip", F.col("file_name").endswith(".gz"))):
+        made = f"{folder}/made-{compression}"
+        rows = text.filter(chosen).repartition("file_name").sortWithinPartitions("file_name", "at", "value")
+        rows.select("value", "file_name").write.option("compression", compression).partitionBy("file_name").text(made)
+        for name in files.children(spark, made):
+            if name.startswith("file_name="):
+                (part,) = [f for f in files.children(spark, f"{made}/{name}") if f.startswith("part-")]
+                files.rename(spark, f"{made}/{name}/{part}", f"{folder}/lines/{name.removeprefix('file_name=')}")
+    return f"{folder}/lines"
+
+
+def _line(updated: Column, ttl: Column) -> Column:
+    return F.to_json(F.struct("fetched_at", _envelope(updated, ttl).alias("status")))
+
+
+def _envelope(updated: Column, ttl: Column) -> Column:
+    """The snapshot of a poll; a null ttl is left out."""
+    return F.struct(updated.alias("last_updated"), ttl.alias("ttl"), F.struct("stations").alias("data"))
