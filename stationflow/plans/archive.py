@@ -186,7 +186,7 @@ class Archive:
         )
         age_median = exact_percentiles(ages, [], {"age_median": (F.col("age"), "0.5")})
         gaps = snapshot_gaps(self.snapshots, "last_updated")
-        values = ValueCounts(gaps, [], {"gap": F.col("gap")}, limits={"gap": GAP_LIMIT_S * T.MICROS}, shift=0)
+        values = ValueCounts(gaps, [], {"gap": F.col("gap")}, limits={"gap": GAP_LIMIT_S * T.MICROS}, few=True)
         gap_counts = values.totals(
             values.largest("gap").alias("gap_max"),
             values.count_above("gap").alias("intervalles_superieurs_90s"),

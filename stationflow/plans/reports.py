@@ -114,7 +114,7 @@ def snapshot_gaps(snapshots: DataFrame, instant: str) -> DataFrame:
 def missed_snapshots(tables: Tables) -> DataFrame:
     """Gap statistics; a gap above 90 s means at least one update was not caught."""
     gaps = snapshot_gaps(live(tables["station_status"]), "feed_last_updated")
-    values = ValueCounts(gaps, [], {"gap": F.col("gap")}, limits={"gap": GAP_LIMIT_S * T.MICROS}, shift=0)
+    values = ValueCounts(gaps, [], {"gap": F.col("gap")}, limits={"gap": GAP_LIMIT_S * T.MICROS}, few=True)
     totals = values.totals(
         values.count("gap").alias("intervalles"),
         values.count_above("gap").alias("intervalles_superieurs_90s"),

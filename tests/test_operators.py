@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stationflow.operators import keyed
-from stationflow.operators.ordered import numbered, with_previous
+from stationflow.operators.ordered import numbered, numbered_in_place, with_previous
 from stationflow.operators.percentiles import ValueCounts, exact_percentiles
 from stationflow.operators.rows import side_by_side
 
@@ -43,11 +43,38 @@ def test_percentiles_of_one_hot_value_and_nulls(spark):
     assert out["p99"] == interpolated(known, "0.9999")
 
 
-def test_totals_and_percentiles_at_either_shift(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_percentiles_of_groups_beyond_the_sketch(spark, few):
+    """Groups of many values, ties and skew, whose brackets come from sketches; two percentiles of a measure share its counts."""
+    rng = random.Random(5)
+    rows = [("big", rng.randrange(10**9), k % 3) for k in range(30_000)] + [("tied", rng.choice([1, 2, 2, 2, 9]), None) for _ in range(9000)]
+    rows += [("small", v, None) for v in (5, 1, 4)] + [(None, 7, 7), ("empty", None, None)]
+    df = spark.createDataFrame(rows, "g string, v long, w long").repartition(5)
+    values = ValueCounts(df, ["g"], {"v": F.col("v"), "w": F.col("w")}, few=few)
+    ps = {"a": "0.01", "b": "0.5", "c": "0.95", "d": "0.9999", "e": "0", "f": "1"}
+    got = {r["g"]: r for r in values.percentiles({n: ("v", p) for n, p in ps.items()} | {"w": ("w", "0.5")}).collect()}
+    for g in {g for g, _, _ in rows} - {"empty"}:
+        known = [v for k, v, _ in rows if k == g]
+        assert [got[g][n] for n in ps] == [interpolated(known, p).quantize(Decimal("0.0001")) if isinstance(interpolated(known, p), Decimal) else interpolated(known, p) for p in ps.values()]
+    assert got["big"]["w"] == 1 and got["tied"]["w"] is None and ("empty" not in got or got["empty"]["b"] is None)
+
+
+def test_numbering_in_place_moves_no_row(spark):
+    df = spark.range(0, 90, 1, 3).withColumns({"file": F.when(F.col("id") < 45, "b").otherwise("a"), "block": F.floor(F.col("id") / 15) % 3, "line": F.monotonically_increasing_id(), "text": F.repeat(F.lit("x"), 50)})
+    placed = numbered_in_place(df, ["file", "block"], "line", "n", start=-1)
+    got = [r["id"] for r in placed.orderBy("n").collect()]
+    assert got == [*range(45, 90), *range(45)] and [r["n"] for r in placed.orderBy("n").collect()] == list(range(90))
+    text = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and "text" not in text[text.index("BroadcastExchange"):].split("Exchange hashpartitioning")[0]
+    with pytest.raises(Exception, match="do not follow each other"):
+        numbered_in_place(df.withColumn("block", F.col("id") % 3), ["file", "block"], "line", "n").collect()
+
+
+def test_totals_and_percentiles_either_way(spark):
     rows = [("a", 3), ("a", 3), ("a", 10), ("a", None), ("b", 2**30)]
     df = spark.createDataFrame(rows, "g string, v long")
-    for shift in (0, 24):
-        values = ValueCounts(df, ["g"], {"v": F.col("v")}, limits={"v": 5}, shift=shift)
+    for few in (True, False):
+        values = ValueCounts(df, ["g"], {"v": F.col("v")}, limits={"v": 5}, few=few)
         totals = values.totals(values.count("v").alias("n"), values.count_above("v").alias("above"), values.largest("v").alias("most"))
         assert {tuple(r) for r in totals.collect()} == {("a", 3, 1, 10), ("b", 1, 1, 2**30)}
         middle = values.percentiles({"p": ("v", "0.75")})

@@ -55,16 +55,23 @@ def test_change_detection_spreads_a_key(plans):
     assert re.search(r"Exchange hashpartitioning\(key#\d+L, _bucket#\d+L", plans["description_changes"])
 
 
-def test_percentiles_shuffle_coarse_buckets_first(spark):
+def test_percentiles_send_sketches_and_bracketed_values(spark):
     from pyspark.sql import functions as F
     from stationflow.operators.percentiles import ValueCounts
 
-    values = ValueCounts(spark.range(1000), [], {"v": F.col("id")})
-    text = plan(values.percentiles({"p": ("v", "0.5")}))
-    # What is counted by single values was first cut to the buckets that hold a rank.
-    assert "hashpartitioning(_m" in text and "BroadcastHashJoin" in text and "LeftSemi" in text
-    before = text[text.index("LeftSemi"):]
-    assert not re.search(r"hashpartitioning\([^)]*_v#", before)
+    values = ValueCounts(spark.range(1000).withColumn("g", F.col("id") % 3), ["g"], {"v": F.col("id")})
+    text = plan(values.percentiles({"p": ("v", "0.5"), "q": ("v", "0.95")}))
+    # No exchange carries single values but one that counts them first, within their brackets.
+    assert "partial_percentile_approx" in text
+    by_value = [line for line in text.splitlines() if re.search(r"hashpartitioning\(.*_p", line)]
+    assert by_value and "partial_count(1)" in text
+
+
+def test_replay_moves_no_text(plans):
+    """What is numbered and decoded stays in the task that read it: no exchange below the decoding."""
+    below = plans["archive_replay"].split("try_parse_json")[-1]
+    scan = below.rindex("FileScan text")
+    assert "Exchange" not in below[:scan].split("BroadcastExchange")[0]
 
 
 def test_filters_reach_the_files(spark, tmp_path):
