@@ -92,9 +92,9 @@ def fact(staged: DataFrame, dimension: DataFrame, zone: str = ZONE, above: int |
     )
 
 
-def hourly_sums(readings: DataFrame) -> DataFrame:
-    """Additive sums for each station and local hour: the one aggregate of the fact that all marts share."""
-    return readings.groupBy("station_id", "heure_locale").agg(
+def hourly_sums(readings: DataFrame, *beside: str) -> DataFrame:
+    """Additive sums for each station and local hour, and columns beside: the one aggregate of the fact that all marts share."""
+    return readings.groupBy("station_id", "heure_locale", *beside).agg(
         F.count(F.lit(1)).alias("n"),
         F.count("taux_remplissage").alias("n_ratio"),
         M.ratio_sum(F.col("taux_remplissage")).alias("sum_ratio"),

@@ -163,6 +163,75 @@ def run_suite(suite: list[Test], tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).select("test", "model", "column", "failures", verdict)
 
 
+# Models of which a build sees only the new rows, and the key of a reading besides its number.
+GROWING = ("station_status", "stg_station_status", "fct_station_status")
+PAIR_KEY = ["station_id", "last_reported"]
+
+
+def _counted_by_row(suite: list[Test], model: str) -> list[Test]:
+    return [t for t in suite if t.model == model and _row_rule(t) is not None]
+
+
+def daily_failures(models: Tables) -> DataFrame:
+    """(test, model, column, failures, date) of new rows of growing models: tests on one row, and numbers that occur more than once.
+
+    A number is above all numbers of earlier builds, so that repeated ones meet among the new rows; the models hold the same
+    numbers, which are counted once for all of them.
+    """
+    # The bounding box concerns the descriptions only.
+    suite = default_suite((0, 0), (0, 0))
+    parts = []
+    for model, rows in models.items():
+        tests = _counted_by_row(suite, model)
+        counted = rows.groupBy("date").agg(*[F.count_if(_row_rule(t)).alias(f"f{i}") for i, t in enumerate(tests)])
+        found = F.inline(F.array(*[F.struct(*_labels(t), F.col(f"f{i}").alias("failures")) for i, t in enumerate(tests)]))
+        parts.append(counted.select("date", found))
+    numbers = next(iter(models.values())).filter(F.col("status_id").isNotNull())
+    again = numbers.groupBy("status_id").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("date")).filter(F.col("n") > 1)
+    unique = [F.struct(*_labels(t)) for t in suite if t.kind == "unique" and t.model in models]
+    again = again.groupBy("date").agg(F.count(F.lit(1)).alias("failures"))
+    parts.append(again.select("date", "failures", F.inline(F.array(*unique))))
+    return added_failures(reduce(DataFrame.unionByName, parts))
+
+
+def daily_pair_failures(rows: DataFrame) -> DataFrame:
+    """The same for the test of stations and times, from all rows of some days; the key holds the day."""
+    (test,) = [t for t in default_suite((0, 0), (0, 0)) if t.kind == "unique_combination"]
+    again = repeated(rows, [*PAIR_KEY, "date"]).groupBy("date").agg(F.count(F.lit(1)).alias("failures"))
+    return again.select(*_labels(test), "failures", "date")
+
+
+def added_failures(rows: DataFrame) -> DataFrame:
+    """Failures of several builds as one row for each test and day; none where nothing failed."""
+    found = rows.groupBy("test", "model", "column", "date").agg(F.sum("failures").alias("failures"))
+    return found.filter(F.col("failures") > 0).select("test", "model", "column", "failures", "date")
+
+
+def merged_verdicts(suite: list[Test], tables: Tables, stored: list[DataFrame], sums: DataFrame) -> DataFrame:
+    """The verdicts of `run_suite` from the failures that builds stored, and hourly sums of all readings for the tests of stations.
+
+    Descriptions and marts are small, or written anew by each build, and are tested as they are.
+    """
+    small = [t for t in suite if t.model not in GROWING]
+    grown = [t for t in suite if t.model in GROWING]
+    by_station = sums.groupBy("station_id").agg(F.sum("n").alias("n"))
+    strangers = by_station.join(tables["dim_station"].select("station_id"), "station_id", "left_anti")
+    of_stations = {
+        # A null station has no parent to lack, but is a station without a description.
+        "relationships": F.coalesce(F.sum(F.when(F.col("station_id").isNotNull(), F.col("n"))), F.lit(0)),
+        "described_stations": F.count(F.lit(1)),
+    }
+    (described,) = [t for t in grown if t.kind == "described_stations"]
+    (related,) = [t for t in grown if t.kind == "relationships"]
+    counted = strangers.agg(*[F.struct(*_labels(t), of_stations[t.kind].alias("failures")).alias(t.kind) for t in (described, related)])
+    counted = counted.select(F.inline(F.array("described_stations", "relationships")))
+    none = sums.sparkSession.createDataFrame([(t.kind, t.model, t.column, 0) for t in grown], "test string, model string, column string, failures long")
+    rows = [r.select("test", "model", "column", "failures") for r in (none, counted, *stored)]
+    failures = reduce(DataFrame.unionByName, rows).groupBy("test", "model", "column").agg(F.sum("failures").alias("failures"))
+    verdict = F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status")
+    return run_suite(small, tables).unionByName(failures.select("*", verdict))
+
+
 def _labels(test: Test) -> list[Column]:
     return [F.lit(test.kind).alias("test"), F.lit(test.model).alias("model"), F.lit(test.column).alias("column")]
 

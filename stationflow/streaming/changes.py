@@ -73,7 +73,7 @@ class Changes:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
         if self.state is None:
-            self.state = self.store.state(spark)
+            self.state = self.store.writer_state(spark)
         if batch_id <= self.state.marks.get(self.stream_id, -1):
             return
         self.store.begin()

@@ -94,7 +94,7 @@ class Ingest:
         """Live parts and last numbers, read from the ledger once for each start."""
         if self.state is not None:
             return
-        state = self.store.state(spark)
+        state = self.store.writer_state(spark)
         last = self.store.ledger(spark, state).agg(F.max("last_status_id"), F.max("last_rejected_id")).first()
         self.last_status_id, self.last_rejected_id = last[0] or 0, last[1] or 0
         self.state = state

@@ -59,7 +59,7 @@ def start_series(stream: DataFrame, root: str, checkpoint: str, every: str | Non
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = held.pop() if held else store.state(spark)
+        state = held.pop() if held else store.writer_state(spark)
         if batch_id > state.marks.get(stream_id, -1):
             store.begin()
             store.write("pairs", batch.withColumn("sequence", F.lit(state.sequence)), stream_id, batch_id)

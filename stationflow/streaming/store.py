@@ -5,7 +5,8 @@ last. Readers open the folders that the ledger names and no others, so a batch t
 sees the same input, overwrites what it left.
 
 A ledger row carries a sequence number, which orders batches over all streams, and notes which tables the batch holds, with the least
-and greatest values of some columns. A reader that wants a range opens only the folders that can hold it.
+and greatest values of some columns. A reader that wants a range opens only the folders that can hold it. It also notes of which
+partitions, days say, the batch holds all rows: those of earlier parts are out of date, and readers prune them.
 
 Compaction keeps the folders few. Closed batches are level 0; as soon as a level has `fan` parts, all parts up to it are rewritten
 as one part of the next level, under the reserved stream `compacted`. A log may be reduced on the way, to the latest row of each key,
@@ -18,7 +19,7 @@ opened the old parts the time in between.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from functools import reduce
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stationflow import files
+from stationflow.schemas import require_same_schema
 
 PAIR = ["stream_id", "batch_id"]
 COMPACTED = "compacted"
@@ -55,6 +57,7 @@ _NOTES = T.StructType(
         T.StructField("held", T.ArrayType(_HELD_TYPE)),
         T.StructField("covers", T.MapType(T.StringType(), T.LongType())),
         T.StructField("replaced", T.ArrayType(_PAIR_TYPE)),
+        T.StructField("whole", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
     ]
 )
 
@@ -81,6 +84,7 @@ class Part:
     held: Mapping[str, Mapping[str, Range]] = field(default_factory=dict)
     covers: Mapping[str, int] = field(default_factory=dict)
     replaced: tuple[Pair, ...] = ()
+    whole: Mapping[str, frozenset[str]] = field(default_factory=dict)
 
     def may_hold(self, table: str, within: Mapping[str, Range]) -> bool:
         if table not in self.held:
@@ -146,6 +150,7 @@ class BatchStore:
         self.newest = newest
         self.fan = fan
         self._written: dict[str, dict[str, Range]] = {}
+        self._whole: dict[str, frozenset[str]] = {}
 
     def path(self, name: str, pair: Pair | None = None) -> str:
         if pair is None:
@@ -190,6 +195,24 @@ class BatchStore:
         live.sort(key=lambda p: p.sequence)
         return State(tuple(live), marks, live[-1].sequence + 1 if live else 0)
 
+    def writer_state(self, spark: SparkSession) -> State:
+        """The state to write on with; refuses a store whose tables have other columns than are to be written.
+
+        The columns come from the files of each table's newest part, partitions apart.
+        """
+        state = self.state(spark)
+        for name in self.tables():
+            paths = [self.path(name, p.pair) for p in reversed(state.parts) if name in p.held]
+            # A part that says that some days are empty has no files.
+            path = next((p for p in paths if any(not c.startswith("_") for c in files.children(spark, p))), None)
+            if path:
+                by = self.by.get(name, [])
+                stored = spark.read.parquet(path).drop(*by)
+                own = [f for f in self.schemas[name].fields if f.name not in (*PAIR, *by)]
+                require_same_schema(stored, T.StructType(own))
+        self.begin()
+        return state
+
     def ledger(self, spark: SparkSession, state: State | None = None) -> DataFrame:
         """One row for each committed batch, with its own stream and number."""
         state = state or self.state(spark)
@@ -212,10 +235,15 @@ class BatchStore:
         a row name the part that holds it.
         """
         state = state or self.state(spark)
-        parts = [p for p in state.parts if p.may_hold(name, within or {}) and _of(p, streams)]
-        if name in self.newest:
-            parts = parts[-1:]
+        held = [p for p in state.parts if name in p.held and _of(p, streams)]
+        parts = [p for p in (held[-1:] if name in self.newest else held) if p.may_hold(name, within or {})]
         rows = self._open(spark, name, self.schemas[name], [p.pair for p in parts])
+        later: set[str] = set()
+        for p in reversed(held):
+            if later and p in parts:
+                mine = (F.col("stream_id") == p.pair[0]) & (F.col("batch_id") == p.pair[1])
+                rows = rows.filter(~(mine & F.col(self.by[name][0]).cast("string").isin(*sorted(later))))
+            later |= p.whole.get(name, frozenset())
         for column, (low, high) in (within or {}).items():
             if low is not None:
                 rows = rows.filter(F.col(column) >= F.lit(low))
@@ -230,9 +258,11 @@ class BatchStore:
 
     # Writing
 
-    def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int) -> int:
+    def write(self, name: str, rows: DataFrame, stream_id: str, batch_id: int, whole: Iterable[object] = ()) -> int:
         """Write a batch's rows of one table, in place of what an attempt before left; returns how many.
 
+        `whole` names the values of the first partition column of which these are all rows there are.
+
         The rebalance lets adaptive execution size the files: small partitions are merged and a
         hot day is split. Counts and ranges are observed by the write itself.
         """
@@ -247,7 +277,10 @@ class BatchStore:
         out = out.observe(noted, F.count(F.lit(1)).alias("rows"), *measured)
         out.write.mode("overwrite").partitionBy(*by).parquet(self.path(name, (stream_id, batch_id)))
         found = noted.get
-        if found["rows"]:
+        whole = frozenset(map(str, whole))
+        if whole:
+            self._whole[name] = whole
+        if found["rows"] or whole:
             self._written[name] = {c: (found[f"low_{c}"], found[f"high_{c}"]) for c in seen}
         return found["rows"]
 
@@ -255,21 +288,23 @@ class BatchStore:
         """Write the ledger row that makes the batch visible; returns the state with it."""
         if stream_id == COMPACTED:
             raise ValueError(f"{COMPACTED} is the stream of compacted parts")
-        part = Part((stream_id, batch_id), state.sequence, held=self._take_written())
+        part = Part((stream_id, batch_id), state.sequence, **self._taken())
         self._publish(self._row(spark, part, values), part)
         return state.with_part(part)
 
-    def _take_written(self) -> dict[str, dict[str, Range]]:
-        held, self._written = self._written, {}
-        return held
+    def _taken(self) -> dict:
+        """What the batch has written, as notes of its part."""
+        notes = {"held": self._written, "whole": self._whole}
+        self._written, self._whole = {}, {}
+        return notes
 
     def begin(self) -> None:
         """Forget what a failed attempt has written."""
-        self._written = {}
+        self._written, self._whole = {}, {}
 
     def _row(self, spark: SparkSession, part: Part, values: dict) -> DataFrame:
         held = [(t, c, *ends) for t, columns in part.held.items() for c, ends in [("", (None, None)), *columns.items()]]
-        notes = (part.sequence, part.pair, part.level, held, dict(part.covers), list(part.replaced))
+        notes = (part.sequence, part.pair, part.level, held, dict(part.covers), list(part.replaced), {t: sorted(v) for t, v in part.whole.items()})
         schema = T.StructType([f for f in self._ledger_schema().fields if f.name not in PAIR])
         own = [values.get(n) for n in schema.fieldNames()[: -len(_NOTES)]]
         return spark.createDataFrame([(*own, *notes)], schema)
@@ -290,13 +325,15 @@ class BatchStore:
         for name in self.tables():
             if any(name in p.held for p in chosen):
                 rows = self.read(spark, name, old)
-                self.write(name, self.reduced.get(name, lambda r: r)(rows), *pair)
+                # What the merged parts held wholly, the new one does.
+                whole = frozenset().union(*[p.whole.get(name, frozenset()) for p in chosen])
+                self.write(name, self.reduced.get(name, lambda r: r)(rows), *pair, whole=whole)
         covers: dict[str, int] = {}
         for p in chosen:
             for stream, last in (p.covers or {p.pair[0]: p.pair[1]}).items():
                 covers[stream] = max(covers.get(stream, -1), last)
         level = 1 + max(p.level for p in chosen)
-        part = Part(pair, state.sequence, level, self._take_written(), covers, tuple(p.pair for p in chosen))
+        part = Part(pair, state.sequence, level, covers=covers, replaced=tuple(p.pair for p in chosen), **self._taken())
         schema = T.StructType([f for f in self._ledger_schema().fields if f.name not in PAIR])
         batches = self._open(spark, self.ledger_name, self._ledger_schema(), [p.pair for p in chosen]).filter("level = 0")
         self._publish(batches.select(*schema.fieldNames()).unionByName(self._row(spark, part, {})), part)
@@ -338,4 +375,5 @@ def _part(row) -> Part:
         if h["column"]:
             columns[h["column"]] = (h["low"], h["high"])
     replaced = tuple((r["stream_id"], r["batch_id"]) for r in row["replaced"])
-    return Part(tuple(row["of"]), row["sequence"], row["level"], held, row["covers"] or {}, replaced)
+    whole = {t: frozenset(values) for t, values in (row["whole"] or {}).items()}
+    return Part(tuple(row["of"]), row["sequence"], row["level"], held, row["covers"] or {}, replaced, whole)
