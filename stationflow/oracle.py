@@ -7,7 +7,7 @@ percentiles, so that the two engines agree to the last digit.
 from __future__ import annotations
 
 from stationflow.sources.faults import KINDS
-from stationflow.sources.star import BATCH_MESSAGES, CUT_LINE, NO_TTL, PLACES, REPEATED_POLL, STATIONS
+from stationflow.sources.star import BATCH_MESSAGES, CUT_LINE, MENDED_HOUR, NO_TTL, PLACES, REPEATED_POLL, STATIONS
 
 ZONE = "Europe/Paris"
 
@@ -413,6 +413,9 @@ def streamed_sql() -> dict[str, str]:
     flat = batch_sql()
     q["description_changes_stream"] = flat["description_changes"]
     q["model_build"] = flat["agg_network_hour"]
+    mended = f"(is_installed or extract(hour from raw.last_reported) = {MENDED_HOUR}) and"
+    q["model_redelivered"] = flat["agg_network_hour"].replace("is_installed and", mended)
+    q["dq_suite_built"] = flat["dq_suite"]
     q["fact_redelivered"] = f"with {FACT} select status_id, station_id, cast(coalesce(capacity, {PLACES}) as int) as capacity from fact"
     q["validate_messages"] = f"""
 with {_verdicts()} select topic, status_id as kafka_offset, error,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.build import Build
+from stationflow.functions import measures
 from stationflow.operators import changes
 from stationflow.operators.keyed import first_per_key, first_with_last_position, latest_per_key, replace_by_key
 from stationflow.oracle import AS_OF, FIRST_BATCH, FRESH_AS_OF, MIDDLE_BATCH, RANGE
@@ -287,17 +288,44 @@ def live_series_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(series(spark, f"{folder}/series"))
 
 
-def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest and build in two steps: the marts of the second build cover both loads."""
+def _built(spark: SparkSession, sf_dir: str, described: bool = False) -> Build:
+    """Ingest and build in two steps, the stations described in the first if asked."""
     folder = work_dir(spark, "build")
     messages = star.feed_messages(spark, sf_dir, replayed=True)
     middle = messages.agg(F.expr("max(offset) div 2")).first()[0]
+    build = Build(spark, f"{folder}/raw", f"{folder}/marts", fan=2)
+    if described:
+        publish_files(star.information_messages(spark, sf_dir), f"{folder}/landed")
     for part in (F.col("offset") <= middle, F.col("offset") > middle):
         publish_files(messages.filter(part), f"{folder}/landed")
         stream = message_files(spark, f"{folder}/landed", streaming=True)
         start_ingest(stream, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
-        Build(spark, f"{folder}/raw", f"{folder}/marts").run()
-    return plain(Build(spark, f"{folder}/raw", f"{folder}/marts").tables()["agg_reseau_horaire"])
+        build.run()
+    return build
+
+
+def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marts of the second build cover both loads."""
+    return plain(_built(spark, sf_dir).tables()["agg_reseau_horaire"])
+
+
+def model_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of one hour of the day are delivered again as of installed stations: the marts follow."""
+    build = _built(spark, sf_dir)
+    fact = build.tables()["fct_station_status"]
+    wrong = fact.filter((F.hour("last_reported") == star.MENDED_HOUR) & ~F.col("is_installed"))
+    flags = {
+        "is_installed": F.lit(True),
+        "est_vide": measures.is_empty(F.lit(True), F.col("num_bikes_available")),
+        "est_pleine": measures.is_full(F.lit(True), F.col("num_docks_available")),
+    }
+    build.redeliver(wrong.withColumns(flags))
+    return plain(build.tables()["agg_reseau_horaire"])
+
+
+def dq_suite_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdicts of the same tests, added up over two builds."""
+    return _built(spark, sf_dir, described=True).verdicts(LAT, LON)
 
 
 def queries() -> dict[str, Query]:
@@ -319,6 +347,7 @@ def queries() -> dict[str, Query]:
         "ingest_stream_resent": ingest_stream_resent,
         "live_series_5min": live_series_5min,
         "model_build": model_build,
+        "model_redelivered": model_redelivered,
         "panel_rejected": panel_rejected,
         "validate_messages": validate_messages,
         "agg_network_hour": _table("agg_reseau_horaire"),
@@ -336,6 +365,7 @@ def queries() -> dict[str, Query]:
             ).select("status_id", "station_id")
         ),
         "dq_suite": dq_suite,
+        "dq_suite_built": dq_suite_built,
         "dq_unique": dq_unique,
         "dq_unique_combo": dq_unique_combo,
         "fact_incremental": fact_incremental,

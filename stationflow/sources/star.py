@@ -22,6 +22,8 @@ from stationflow.sources.messages import INFORMATION_TOPIC, STATUS_TOPIC, as_mes
 STATIONS = 52
 PLACES = 12
 BATCH_MESSAGES = 500
+# The hour of the day whose readings are delivered again.
+MENDED_HOUR = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,6 +157,13 @@ def feed_messages(spark: SparkSession, sf_dir: str, replayed: bool = False) -> D
     )
 
 
+def information_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stations as description messages."""
+    rows = station_information(spark, sf_dir)
+    body = F.struct("station_id", "name", "lat", "lon", "capacity", "is_virtual_station", F.unix_seconds("feed_last_updated").alias("feed_last_updated"))
+    return as_messages(rows, INFORMATION_TOPIC, F.col("station_id"), body, F.col("station_id").cast("long"), F.col("updated_at"))
+
+
 def description_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a description: the user as key, the properties as body."""
     events = table(spark, sf_dir, "events")
