@@ -31,7 +31,7 @@ TREES = 24
 DEPTH = 3
 LASSO = 0.0005
 SEED = 11
-SLICE = 1 << 22
+SLICE = bytesops.SLICE
 # Names of the statistics beside a table's own columns.
 PREFIX = "_statistic_"
 
