@@ -45,7 +45,8 @@ WRITE_SCHEMA = "record_type string, record_id string, target_uri string, refers_
 # A reading task gets files of about so many bytes; a writing task begins another file beyond that.
 PART_BYTES = 128 << 20
 BATCH_BYTES = 8 << 20
-MANIFEST = "_manifest.json"
+# Each commit names its files in a manifest of its own; readers take the union.
+MANIFEST = "_manifest-{}.json"
 
 
 def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -107,6 +108,27 @@ def split_block(headers: dict[str, str], block: bytes) -> tuple[dict[str, str],
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}, payload
 
 
+def measured_block(headers: dict[str, str], stream: io.BufferedIOBase, length: int) -> tuple[dict[str, str], int]:
+    """HTTP headers and bytes of payload of a block of `length` bytes, of which no more is decoded than the headers; passes over all of it."""
+    if not headers.get("Content-Type", "").startswith("application/http"):
+        stream.seek(length, io.SEEK_CUR)
+        return {}, length
+    head, end = bytearray(), -1
+    while end < 0 and len(head) < length and (more := stream.read(min(4096, length - len(head)))):
+        start = max(0, len(head) - 3)
+        head += more
+        end = head.find(b"\r\n\r\n", start)
+    stream.seek(length - len(head), io.SEEK_CUR)
+    http, _ = split_block(headers, bytes(head))
+    return http, length - end - 4 if end >= 0 else 0
+
+
+def payload_bytes(record_type: str | None, http: dict[str, str], found: int) -> int:
+    """Bytes of a record's payload as its block has them; a revisit has none and tells those of the page by its HTTP header."""
+    told = http.get("content-length", "")
+    return int(told) if record_type == "revisit" and not found and told.isdigit() else found
+
+
 class Files(InputPartition):
     def __init__(self, paths: list[str]) -> None:
         super().__init__(paths)
@@ -135,12 +157,13 @@ class WarcReader(DataSourceReader):
         info = system.get_file_info(path)
         if info.is_file:
             return [Files([path])]
-        named = system.get_file_info(f"{path}/{MANIFEST}")
-        if named.is_file:
-            with system.open_input_stream(named.path) as f:
-                found = [(x["bytes"], f"{path}/{x['file']}") for x in json.loads(f.read())]
-        else:
-            listed = system.get_file_info(pyarrow.fs.FileSelector(path, recursive=True))
+        listed = system.get_file_info(pyarrow.fs.FileSelector(path, recursive=True))
+        manifests = [x.path for x in listed if x.is_file and re.fullmatch(MANIFEST.format(r"\w+"), x.base_name)]
+        found = []
+        for name in manifests:
+            with system.open_input_stream(name) as f:
+                found += [(x["bytes"], f"{path}/{x['file']}") for x in json.loads(f.read())]
+        if not manifests:
             found = [(x.size, x.path) for x in listed if x.is_file and re.search(r"\.warc(\.gz)?$", x.path)]
         packs: list[list[str]] = []
         room = 0
@@ -185,12 +208,9 @@ class WarcReader(DataSourceReader):
                         if row["record_type"] == "response" and row["payload_digest"] not in (None, digest_of(payload)):
                             raise ValueError(f"payload of {row['record_id']} in {path} differs from its digest")
                         row["payload"] = payload if row["record_type"] != "revisit" else None
-                        row["payload_bytes"] = len(payload) if row["record_type"] != "revisit" else int(http.get("content-length", 0))
+                        row["payload_bytes"] = payload_bytes(row["record_type"], http, len(payload))
                     elif "payload_bytes" in self.names:
-                        head = stream.read(min(length, 4096))
-                        http, payload = split_block(headers, head)
-                        row["payload_bytes"] = int(http["content-length"]) if "content-length" in http else len(payload) + length - len(head)
-                        stream.seek(length - len(head), io.SEEK_CUR)
+                        row["payload_bytes"] = payload_bytes(row["record_type"], *measured_block(headers, stream, length))
                     else:
                         stream.seek(length, io.SEEK_CUR)
                     if "headers" in self.names:
@@ -234,7 +254,7 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         system, path = file_system(self.path)
         system.create_dir(path, recursive=True)
-        with system.open_output_stream(f"{path}/{MANIFEST}") as f:
+        with system.open_output_stream(f"{path}/{MANIFEST.format(uuid.uuid4().hex)}") as f:
             f.write(json.dumps([x for m in messages if m is not None for x in m.files]).encode())
 
 

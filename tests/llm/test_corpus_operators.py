@@ -198,6 +198,30 @@ def test_warc_reader_passes_over_rejected_payloads(spark, tmp_path):
         warc.read_archives(spark, str(tmp_path), *columns).collect()
 
 
+def test_two_writes_to_one_folder_are_both_read(spark):
+    path = work_dir(spark, "warc")
+    for first in (0, 10):
+        pages = spark.createDataFrame([(first + k, "u", f"text {first + k}") for k in range(4)], "page_id long, url string, html string")
+        warc.write_archives(warc.records(pages), path)
+    assert sorted(r.payload.decode() for r in warc.read_archives(spark, path, "payload").collect()) == sorted(f"text {k}" for k in (0, 1, 2, 3, 10, 11, 12, 13))
+
+
+def test_payload_bytes_do_not_depend_on_the_columns(spark, tmp_path):
+    """Foreign records: another HTTP length than the block's, a long HTTP header, none at all, and no HTTP."""
+    blocks = [b"HTTP/1.1 200 OK\r\nContent-Length: 3\r\n\r\n0123456789", b"HTTP/1.1 200 OK\r\nX: " + b"y" * 9000 + b"\r\n\r\n0123456789", b"HTTP/1.1 200 OK", b""]
+    records = [b"WARC/1.1\r\nWARC-Type: response\r\nContent-Type: application/http\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(b), b) for b in blocks]
+    records.append(b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Type: text/plain\r\nContent-Length: 7\r\n\r\nab\r\n\r\nc\r\n\r\n")
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    want = [0, 0, 7, 10, 10]
+    assert sorted(r.payload_bytes for r in warc.read_archives(spark, str(tmp_path), "payload_bytes", "payload").collect()) == want
+    assert sorted(r.payload_bytes for r in warc.read_archives(spark, str(tmp_path), "payload_bytes").collect()) == want
+
+
+def test_a_tokenizer_that_keeps_white_space_is_refused():
+    with pytest.raises(ValueError, match="keeps white space"):
+        bpe.Encoder(queries.tokenizer_path("byte_bpe_50k.json"))
+
+
 def vectors(spark, seed=4, n=240, dims=16):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(n, dims))
