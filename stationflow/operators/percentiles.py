@@ -142,11 +142,16 @@ class ValueCounts:
         return seen.select(*self.groups, *self._ranks(asked, {v: F.col(f"_n{v}") for v in measures}), *kept, *none)
 
     def _beside(self, rows: DataFrame, per_group: DataFrame) -> DataFrame:
-        """Rows with the columns of their group's one row; adaptive execution broadcasts it while it is small."""
+        """Rows with the columns of their group's one row; adaptive execution broadcasts it while it is small.
+
+        Without groups there is one row, a scalar subquery to the others.
+        """
         keys = {g: f"_of{i}" for i, g in enumerate(self.groups)}
-        other = per_group.withColumnsRenamed(keys)
         if not keys:
-            return rows.withColumn("_one", F.lit(1)).join(other.withColumn("_one", F.lit(1)), "_one").drop("_one")
+            one = per_group.select(F.struct(*per_group.columns).alias("one")).scalar()
+            beside = rows.withColumn("_one", one)
+            return beside.select(*rows.columns, *[F.col("_one")[c].alias(c) for c in per_group.columns])
+        other = per_group.withColumnsRenamed(keys)
         same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(k)) for g, k in keys.items()])
         return rows.join(other, same).drop(*keys.values())
 
