@@ -111,8 +111,8 @@ def test_a_crash_of_the_compaction_loses_nothing(spark, tmp_path, table, monkeyp
     broken = ing.Ingest(ing.raw_store(str(tmp_path / "a"), 3), "s")
     write, publish = broken.store.write, broken.store._publish
 
-    def dies(name, rows, stream, batch):
-        found = write(name, rows, stream, batch)
+    def dies(name, rows, stream, batch, **more):
+        found = write(name, rows, stream, batch, **more)
         if stream == COMPACTED and name == table:
             raise RuntimeError("lost")
         return found
