@@ -12,6 +12,7 @@ several times the corpus through a shuffle, while encoding a chunk once per work
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -27,7 +28,7 @@ from stationflow.llm import bytesops
 WINDOW = 16
 CUT = 64
 CHUNKS = 10_000
-WORDS = 100_000
+WORDS = 250_000
 JOINTS = 100_000
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
@@ -49,9 +50,21 @@ class Recent:
             self.old, self.new = self.new, {}
         self.new[key] = value
 
+    def known(self, keys: set) -> dict:
+        """The entries of many keys at once; those of the older half become recent."""
+        found = {k: self.new[k] for k in keys & self.new.keys()}
+        again = {k: self.old[k] for k in (keys - found.keys()) & self.old.keys()}
+        self.add(again)
+        return found | again
+
+    def add(self, entries: dict) -> None:
+        if len(self.new) + len(entries) > self.most and len(self.new) > len(entries):
+            self.old, self.new = self.new, {}
+        self.new.update(entries)
+
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, np.int32).tobytes()
+    return array("i", ids).tobytes()
 
 
 class Encoder:
@@ -68,6 +81,8 @@ class Encoder:
         ids = range(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.tokens = pa.array([self.tokenizer.id_to_token(k) or "" for k in ids], pa.string())
         self.chunks, self.words, self.joints = Recent(CHUNKS), Recent(WORDS), Recent(JOINTS)
+        if self.plain([b"a b  c\n\td"]) != [b"".join(self.plain([b"a", b"b", b"c", b"d"]))]:
+            raise ValueError(f"{path} keeps white space: chunks cannot be put together from words")
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -92,12 +107,11 @@ class Encoder:
 
     def _words(self, found: set[bytes]) -> dict[bytes, bytes]:
         """Ids of the words."""
-        known = {w: ids for w in found if (ids := self.words.get(w)) is not None}
-        new = [w for w in found if w not in known]
-        for word, ids in zip(new, self.plain(new), strict=True):
-            known[word] = ids
-            self.words.put(word, ids)
-        return known
+        known = self.words.known(found)
+        new = list(found - known.keys())
+        made = dict(zip(new, self.plain(new), strict=True))
+        self.words.add(made)
+        return known | made
 
     def _repaired(self, left: list[bytes], right: list[bytes], gap: bytes) -> tuple[int, int, bytes]:
         """How many words left and right of the joint to encode together, and their ids."""
@@ -189,7 +203,7 @@ def encoded(
     """The columns to keep and ids, array<int>, of every row: the ids of its whole text, without special tokens added.
 
     With `decoded_col`, also the text of the ids, decoded in the same pass. Equal to encoding each text whole. A null text counts as empty and has no ids; ids may be null or
-    repeat. The kept columns must not be called ids. The tokenizer file must be at `path` on every executor.
+    repeat. A tokenizer that keeps white space is refused. The kept columns must not be called ids. The tokenizer file must be at `path` on every executor.
     """
 
     chosen = docs.select(*keep, F.col(text_col).alias("_text"))
@@ -200,7 +214,7 @@ def encoded(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            for low, high, raw, offsets in bytesops.text_slices(batch.column(batch.num_columns - 1)):
+            for low, high, raw, offsets in bytesops.text_slices(batch.column(batch.num_columns - 1), 1 << 21):
                 found = encoder.encode(chunked(raw, offsets))
                 ends = np.cumsum([0, *[len(x) // 4 for x in found]]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(found), np.int32))
