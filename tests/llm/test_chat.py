@@ -105,10 +105,10 @@ def test_templates_that_cannot_be_read_back_are_refused():
 
 
 def test_another_template(spark):
-    other = chat.Template(roles={"q": ("{{", "}}")}, other=("<1>", "<2>", "<3>"), learnt=("q", "r"), gap=" ", escape="^")
-    rows = spark.createDataFrame([(1, 0, "q", "^{{ a }}"), (1, 1, "r", "<3>")], "conv_id long, turn long, role string, text string")
+    other = chat.Template(roles={"q": ("<q>", "</q>")}, other=("<1>", "<2>", "<3>"), learnt=("q", "r"), gap=" ", escape="^")
+    rows = spark.createDataFrame([(1, 0, "q", "^<q> a </q>"), (1, 1, "r", "<3>")], "conv_id long, turn long, role string, text string")
     back = chat.learnt_text(other.parsed(chat.formatted(rows, other), "formatted", "turns"), "learnt", other).first()
-    assert [tuple(t) for t in back.turns] == [("q", "^{{ a }}"), ("r", "<3>")] and back.learnt == "^{{ a }}<3>"
+    assert [tuple(t) for t in back.turns] == [("q", "^<q> a </q>"), ("r", "<3>")] and back.learnt == "^<q> a </q><3>"
 
 
 def test_no_python_in_the_plan(spark):

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_corpus_operators import groups, plain_cut, plain_print
@@ -43,7 +44,8 @@ def kept(spark, docs):
 
 
 def keys(frame):
-    return Counter((None if r.doc_id != r.doc_id or r.doc_id is None or str(r.doc_id) == "<NA>" else int(r.doc_id), r.text if isinstance(r.text, str) else None) for r in frame.itertuples())
+    ids = [None if pd.isna(i) else int(i) for i in frame["doc_id"]]
+    return Counter(zip(ids, [None if pd.isna(t) else t for t in frame["text"]], strict=True))
 
 
 def ordered(pairs):
@@ -95,8 +97,8 @@ def test_mixing_stage_repeats_as_the_mix_says(spark, kept):
 
 
 def _with_source(frame):
-    rows = [(None if str(r.doc_id) == "<NA>" else int(r.doc_id), r.text) for r in frame.itertuples()]
-    return rows, [s if isinstance(s, str) else None for s in frame["source"]]
+    rows = [(None if pd.isna(r.doc_id) else int(r.doc_id), r.text) for r in frame.itertuples()]
+    return rows, [None if pd.isna(s) else s for s in frame["source"]]
 
 
 def test_bpe_stage_encodes_every_row_as_the_library(kept):
@@ -105,7 +107,7 @@ def test_bpe_stage_encodes_every_row_as_the_library(kept):
     for (i, t), n in keys(kept[4]).items():
         ids = plain.encode(t, add_special_tokens=False).ids
         want[i, tuple(ids), hashlib.sha256(plain.decode(ids, skip_special_tokens=False).encode()).hexdigest()] += n
-    got = Counter((None if str(r.doc_id) == "<NA>" else int(r.doc_id), tuple(r.ids), r.decoded_sha256) for r in kept[5].itertuples())
+    got = Counter((None if pd.isna(r.doc_id) else int(r.doc_id), tuple(r.ids), r.decoded_sha256) for r in kept[5].itertuples())
     assert got == want
 
 
