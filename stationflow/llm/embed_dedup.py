@@ -22,6 +22,9 @@ from stationflow.llm.common import written
 from stationflow.llm.graph import components
 
 BLOCK = 2048
+# Blocks that travel together: at most so many, and about so many bytes of them.
+BAND = 8
+BAND_BYTES = 32 << 20
 STRIP = 512
 PIVOTS = 256
 PAIRS = 1 << 16
@@ -65,11 +68,27 @@ class Block:
         self.vectors = np.frombuffer(row.vectors, exact).reshape(len(self.ids), -1)
         self.codes = np.frombuffer(row.codes, np.int8).reshape(len(self.ids), -1)
         self.scale, self.coded, self.rest = np.frombuffer(row.bounds, np.float64).reshape(3, -1)
+        self.centre, self.width = np.array(row.centre), row.width
+
+    def reaches(self, other: Block, angle: float) -> bool:
+        """Whether some vector of the other block may be within the angle of one of this."""
+        return self is other or angle_of(self.centre, other.centre) - self.width - other.width <= angle
 
     def product_codes(self) -> np.ndarray:
         return self.codes.astype(np.float32 if self.codes.shape[1] <= 1040 else np.float64)
 
 
+def angle_of(x: np.ndarray, y: np.ndarray) -> float:
+    return float(np.arccos(np.clip(x @ y, -1, 1)))
+
+
+def centred(vectors: np.ndarray, widths: np.ndarray | float = 0.0) -> tuple[np.ndarray, float]:
+    """A centre of length 1 and the angle around it that holds all vectors, each with its own width."""
+    centre = vectors.sum(axis=0)
+    centre = centre / length if (length := np.sqrt((centre**2).sum())) > 1e-9 else vectors[0]
+    return centre, float((np.arccos(np.clip(vectors @ centre, -1, 1)) + widths).max())
+
+
 def _links(a: Block, b: Block, same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows of a, rows of b) at the threshold or above, strip by strip."""
     right = b.product_codes().T.copy()
@@ -113,13 +132,14 @@ def linked(rows: DataFrame, threshold: float = 0.9) -> tuple[DataFrame, DataFram
     links that connect the same rows as all links do.
 
     Vectors are dealt to clusters around at most PIVOTS vectors and, by a hash, to blocks of about BLOCK rows, so
-    a crowded cluster is only more blocks. Each block travels to the tiles it takes part in as one packed row. A
-    tile is left out when the angle between the blocks' centres, less the blocks' widths, exceeds the threshold's angle.
+    a crowded cluster is only more blocks. The blocks of a cluster travel in bands, and a task takes a pair of bands. Pairs
+    of clusters, bands and blocks are left out when the angle between their centres, less their widths, exceeds the
+    threshold's angle. Pairs are found by joins; only the pivots are on the driver.
     Only vectors of the same length meet.
     """
     spark = rows.sparkSession
     n = rows.count()
-    wanted = max(1, min(PIVOTS, n // BLOCK))
+    wanted = max(1, min(PIVOTS, n // (BLOCK * BAND // 2)))
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(wanted).select("vector").toPandas()["vector"]
     pivots = [unit(np.array([x], np.float64))[0] for x in sample]
 
@@ -140,56 +160,73 @@ def linked(rows: DataFrame, threshold: float = 0.9) -> tuple[DataFrame, DataFram
     sizes = written(sizes.select(F.col("cluster").alias("c"), F.col("dims").alias("d"), "parts"), "sizes")
     placed = dealt.join(sizes, (F.col("cluster") == F.col("c")) & (F.size("vector") == F.col("d")))
     placed = placed.select("id", "copies", "vector", "c", "d", F.pmod(F.xxhash64("id"), "parts").alias("part"))
-    packed_type = "d int, c long, part long, ids binary, copies binary, vectors binary, codes binary, bounds binary, centre binary, width double"
+    packed_type = "d int, c long, part long, ids binary, copies binary, vectors binary, codes binary, bounds binary, centre array<double>, width double"
 
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         originals = np.array(frame["vector"].tolist(), exact)
         vectors = unit(originals.astype(np.float64))
         codes, *bounds = quantised(vectors)
-        centre = vectors.sum(axis=0)
-        centre = centre / length if (length := np.sqrt((centre**2).sum())) > 1e-9 else vectors[0]
-        width = float(np.arccos(np.clip(vectors @ centre, -1, 1)).max())
-        blobs = [x.tobytes() for x in (frame["id"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64), originals, codes, np.stack(bounds), centre)]
-        return pd.DataFrame([[*map(int, key), *blobs, width]], columns=[x.split()[0] for x in packed_type.split(", ")])
+        centre, width = centred(vectors)
+        blobs = [x.tobytes() for x in (frame["id"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64), originals, codes, np.stack(bounds))]
+        return pd.DataFrame([[*map(int, key), *blobs, centre, width]], columns=[x.split()[0] for x in packed_type.split(", ")])
 
     blocks = written(placed.groupBy("d", "c", "part").applyInPandas(pack, packed_type), "blocks")
     near_enough = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
-    # One entry per BLOCK vectors: 10 million vectors make a few megabytes here.
-    places = sorted((r.d, r.c, r.part, r.centre, r.width) for r in blocks.select("d", "c", "part", "centre", "width").toLocalIterator())
-    number = spark.createDataFrame([(*x[:3], k) for k, x in enumerate(places)], "d2 int, c2 long, part2 long, block long")
-    centres = [np.frombuffer(x[3], np.float64) for x in places]
-    widths = [x[4] for x in places]
-
-    @F.udf("array<long>")
-    def partners(block):
-        found = []
-        for other, centre in enumerate(centres):
-            if len(centre) == len(centres[block]):
-                apart = np.arccos(np.clip(centre @ centres[block], -1, 1)) - widths[block] - widths[other]
-                if other == block or apart <= near_enough:
-                    found.append(other)
-        return found
-
-    numbered = blocks.join(number, (F.col("d") == F.col("d2")) & (F.col("c") == F.col("c2")) & (F.col("part") == F.col("part2")))
-    sides = numbered.select("block", "ids", "copies", "vectors", "codes", "bounds", F.explode(partners("block")).alias("other"))
-    sides = sides.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-
-    def tile(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("block")
-        a = Block(frame.iloc[0], exact)
-        same = len(frame) == 1
-        b = a if same else Block(frame.iloc[1], exact)
-        shift = 0 if same else len(a.ids)
-        ids = a.ids if same else np.r_[a.ids, b.ids]
+    room = F.floor(F.lit(BAND_BYTES) / (BLOCK * (np.dtype(exact).itemsize + 1) * F.col("d")))
+    blocks = blocks.withColumn("band", F.floor(F.col("part") / F.greatest(F.lit(1), F.least(F.lit(BAND), room))))
+
+    def ball(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        d, c, band = map(int, key)
+        centre, width = centred(np.array(frame["centre"].tolist()), frame["width"].to_numpy())
+        of = [p for p in pivots if len(p) == d]
+        # Lengths without a pivot are one cluster, which meets itself alone.
+        reach = angle_of(of[c], centre) + width if of else 0.0
+        return pd.DataFrame([[d, c, band, centre, width, reach]], columns=["d", "c", "band", "centre", "width", "reach"])
+
+    small = blocks.select("d", "c", "part", "band", "centre", "width")
+    bands = small.groupBy("d", "c", "band").applyInPandas(ball, "d int, c long, band long, centre array<double>, width double, reach double")
+    bands = written(bands, "bands")
+    reaches = written(bands.groupBy("d", "c").agg(F.max("reach").alias("reach")), "reaches")
+    by_length: dict[int, list[np.ndarray]] = {}
+    for p in pivots:
+        by_length.setdefault(len(p), []).append(p)
+    # At most PIVOTS squared entries.
+    apart = [(d, x, y, angle_of(of[x], of[y])) for d, of in by_length.items() for y in range(len(of)) for x in range(y)]
+    apart = spark.createDataFrame(apart, "d int, c1 long, c2 long, apart double")
+    clusters = apart.join(reaches.select("d", F.col("c").alias("c1"), F.col("reach").alias("r1")), ["d", "c1"])
+    clusters = clusters.join(reaches.select("d", F.col("c").alias("c2"), F.col("reach").alias("r2")), ["d", "c2"])
+    clusters = clusters.where(F.col("apart") - F.col("r1") - F.col("r2") <= near_enough).select("d", "c1", "c2")
+    clusters = clusters.unionByName(reaches.select("d", F.col("c").alias("c1"), F.col("c").alias("c2")))
+    one, two = ([F.col(x).alias(f"{x}{k}") for x in ("c", "band", "centre", "width")] for k in (1, 2))
+    pairs = clusters.join(bands.select("d", *one), ["d", "c1"]).join(bands.select("d", *two), ["d", "c2"])
+    product = F.aggregate(F.zip_with("centre1", "centre2", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    between = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), product))) - F.col("width1") - F.col("width2")
+    itself = (F.col("c1") == F.col("c2")) & (F.col("band1") == F.col("band2"))
+    pairs = pairs.where((F.col("c1") < F.col("c2")) | (F.col("band1") < F.col("band2")) | itself)
+    pairs = pairs.where(itself | (between <= near_enough)).select("d", "c1", "band1", "c2", "band2", itself.alias("itself"))
+    pairs = written(pairs.withColumn("tile", F.monotonically_increasing_id()), "pairs")
+    ends = pairs.select("d", F.col("c1").alias("c"), F.col("band1").alias("band"), "tile", F.lit(1).alias("side"))
+    ends = ends.unionByName(pairs.where(~F.col("itself")).select("d", F.col("c2").alias("c"), F.col("band2").alias("band"), "tile", F.lit(2).alias("side")))
+    sides = blocks.join(ends, ["d", "c", "band"]).select("tile", "side", "part", "ids", "copies", "vectors", "codes", "bounds", "centre", "width")
+
+    def tile(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["side", "part"])
+        side, sorted_blocks = frame["side"].to_numpy(), [Block(row, exact) for row in frame.itertuples()]
+        ids = np.concatenate([b.ids for b in sorted_blocks])
+        start = np.r_[0, np.cumsum([len(b.ids) for b in sorted_blocks])]
+        alone = side[0] == side[-1]
         counts, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
-        for u, v in _links(a, b, same, threshold):
-            np.add.at(counts, u, b.copies[v])
-            np.add.at(counts, v + shift, a.copies[u])
-            label = joined_labels(label, u, v + shift)
+        for x, a in enumerate(sorted_blocks):
+            for y, b in enumerate(sorted_blocks[x:], x):
+                if (alone or side[x] != side[y]) and a.reaches(b, near_enough):
+                    for u, v in _links(a, b, x == y, threshold):
+                        np.add.at(counts, u + start[x], b.copies[v])
+                        np.add.at(counts, v + start[y], a.copies[u])
+                        label = joined_labels(label, u + start[x], v + start[y])
         some = np.flatnonzero(counts)
         return pd.DataFrame({"id": ids[some], "root": ids[label[some]], "n": counts[some]})
 
-    found = written(sides.groupBy("i", "j").applyInPandas(tile, "id long, root long, n long"), "tiles")
+    found = written(sides.groupBy("tile").applyInPandas(tile, "id long, root long, n long"), "tiles")
     return found.groupBy("id").agg(F.sum("n").alias("n")), found.select(F.col("id").alias("u"), F.col("root").alias("v"))
 
 
