@@ -28,7 +28,8 @@ BRANCHES = 8
 LEAF_SAMPLE = 160
 RECALL = 0.96
 BLOCK = 2048
-QUERY_GROUP = 4096
+# Bytes of query vectors, in double precision, that meet a block at once.
+QUERY_BYTES = 16 << 20
 MERGED = 64
 STRIP = 64
 
@@ -134,6 +135,11 @@ def _unpacked(ids: bytes, vectors: bytes, dims: int, kind: type) -> tuple[np.nda
     return np.frombuffer(ids, np.int64), np.frombuffer(vectors, kind).reshape(-1, dims).astype(np.float64)
 
 
+def _each(n: str) -> Column:
+    """One row for each number from 0 to below the column's."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+
 class Index:
     """Rows (id, vector) filed under the leaves of a tree, as a table of packed blocks.
 
@@ -211,24 +217,38 @@ class Index:
         """
         queries = self.rows.where(wanted)
         visits = self.calibrated(queries, k, recall)
-        groups = max(1, -(-queries.count() // QUERY_GROUP))
+        room = max(1, QUERY_BYTES // (8 * max(1, self.dims)))
+        groups = max(1, -(-queries.count() // room))
         held = np.zeros(self.tree.leaves, np.int64)
         for leaf in self.parts.collect():
             held[leaf["of"]] = leaf["held"]
         tree, kind, dims = self.rows.sparkSession.sparkContext.broadcast(self.tree), self.kind, self.dims
 
+        def sent(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, dict[int, list[int]]]]:
+            """Slices of the vectors, and which of their rows go to which leaf."""
+            for _, vectors in matrices(batch.column(1)):
+                to: dict[int, list[int]] = {}
+                for row, vector in enumerate(vectors.astype(np.float64)):
+                    for leaf in tree.value.visits(vector, visits, held, k + 1):
+                        to.setdefault(leaf, []).append(row)
+                yield vectors, to
+
+        def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(held), np.int64)
+            for batch in batches:
+                for _, to in sent(batch):
+                    for leaf, rows in to.items():
+                        total[leaf] += len(rows)
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["of", "n"])
+
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column(0).to_numpy(zero_copy_only=False)
-                group = batch.column(2).to_numpy(zero_copy_only=False)
-                for _, vectors in matrices(batch.column(1)):
-                    sent: dict[tuple[int, int], list[int]] = {}
-                    for row, vector in enumerate(vectors.astype(np.float64)):
-                        for leaf in tree.value.visits(vector, visits, held, k + 1):
-                            sent.setdefault((leaf, int(group[row])), []).append(row)
-                    columns = [[a for a, _ in sent], [b for _, b in sent], [ids[r].tobytes() for r in sent.values()], [vectors[r].astype(kind).tobytes() for r in sent.values()]]
-                    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["leaf", "group", "ids", "vectors"])
+                for vectors, to in sent(batch):
+                    columns = [list(to), [ids[r].tobytes() for r in to.values()], [vectors[r].astype(kind).tobytes() for r in to.values()]]
+                    kinds = [pa.int64(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["leaf", "ids", "vectors"])
 
         def meet(key: tuple, there: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
             q, i, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -249,10 +269,14 @@ class Index:
             rank = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)])) + 1
             return pd.DataFrame({"query": q, "rank": rank.astype(np.int32), "id": i, "score": s})
 
-        grouped = queries.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(groups)).alias("group"))
-        routed = grouped.mapInArrow(route, "leaf long, group long, ids binary, vectors binary")
-        asked = routed.join(self.parts, F.col("leaf") == F.col("of")).select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "group", "ids", "vectors")
-        copies = self.blocks.select("leaf", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"), "ids", "vectors")
+        # A leaf's queries are counted first and cut into groups, as many as ask for it; its blocks travel once to each of them.
+        asking = queries.select("id", "vector")
+        leaves = asking.mapInArrow(tally, "of long, n long").groupBy("of").agg(F.ceil(F.sum("n") / room).alias("groups"))
+        leaves = written(leaves.join(self.parts.select("of", "parts"), "of"), "asked")
+        routed = asking.mapInArrow(route, "leaf long, ids binary, vectors binary")
+        asked = routed.join(leaves, F.col("leaf") == F.col("of")).withColumn("group", F.pmod(F.xxhash64("ids"), "groups"))
+        asked = asked.select("leaf", _each("parts").alias("part"), "group", "ids", "vectors")
+        copies = self.blocks.join(leaves, F.col("leaf") == F.col("of")).select("leaf", "part", _each("groups").alias("group"), "ids", "vectors")
         keys = ["leaf", "part", "group"]
         met = copies.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(meet, "bundle long, q binary, i binary, s binary")
         return met.groupBy("bundle").applyInPandas(merge, "query long, rank int, id long, score double")
