@@ -28,8 +28,8 @@ from stationflow.llm import bytesops
 WINDOW = 16
 CUT = 64
 CHUNKS = 10_000
-WORDS = 250_000
-JOINTS = 100_000
+WORDS = 180_000
+JOINTS = 50_000
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 
 
@@ -62,6 +62,10 @@ class Recent:
             self.old, self.new = self.new, {}
         self.new.update(entries)
 
+    def shrink(self) -> None:
+        """Leave the older half."""
+        self.old = {}
+
 
 def _packed(ids: list[int]) -> bytes:
     return array("i", ids).tobytes()
@@ -90,6 +94,12 @@ class Encoder:
             cls._known[path] = cls(path)
         return cls._known[path]
 
+    def shrink(self) -> None:
+        """What a worker need not hold while other stages use it."""
+        for table in (self.chunks, self.words, self.joints):
+            table.shrink()
+        pa.default_memory_pool().release_unused()
+
     def decode(self, column: pa.Array) -> pa.Array:
         """The texts of a list column of ids."""
         if self.tokenizer.decoder is not None:
@@ -223,6 +233,7 @@ def encoded(
                 if decoded_col:
                     columns.append(encoder.decode(ids))
                 yield pa.RecordBatch.from_arrays(columns, out.names)
+        encoder.shrink()
 
     return chosen.mapInArrow(run, out)
 
