@@ -166,6 +166,7 @@ READING_COLUMNS = f"""
   status_id, station_id, {iso("last_reported")} as last_reported, bikes as num_bikes_available,
   docks as num_docks_available, is_installed, is_replay, {iso("fetched_at")} as fetched_at"""
 
+MONTH = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
 RANGE = ("2024-01-08 07:31:30", "2024-01-23 19:12:08")
 # When the first of several batches is written, and a time range that holds only the one an hour later.
 FIRST_BATCH = "2024-02-01 00:00:00"
@@ -174,8 +175,8 @@ AS_OF = "2024-01-30 23:59:59"
 FRESH_AS_OF = "2024-01-31 00:00:00"
 
 
-def in_range(column: str) -> str:
-    return f"{column} between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'"
+def in_range(column: str, ends: tuple[str, str] = RANGE) -> str:
+    return f"{column} between timestamp '{ends[0]}' and timestamp '{ends[1]}'"
 
 
 def batch_sql() -> dict[str, str]:
@@ -302,7 +303,7 @@ with {LEDGER} select cast(coalesce(sum(duplicates), 0) as bigint) as doublons fr
 with {RAW} select count(distinct station_id) as stations from raw
 where ingested_at > timestamp '{AS_OF}' - interval 10 minute"""
     q["panel_inserted_5min"] = f"""
-with {RAW}, b as (select {BUCKET} as t, count(*) as n from raw where not is_replay and {in_range("ingested_at")} group by 1)
+with {RAW}, b as (select {BUCKET} as t, count(*) as n from raw where not is_replay and {in_range("ingested_at", MONTH)} group by 1)
 select {iso("t")} as time, n as releves_inseres from b"""
     q["panel_latency_5min"] = f"""
 with {RAW}, b as (select {BUCKET} as t, list_sort(list({E2E})) as e, list_sort(list({PIPE})) as p
