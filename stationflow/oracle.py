@@ -307,7 +307,7 @@ with {RAW}, b as (select {BUCKET} as t, count(*) as n from raw where not is_repl
 select {iso("t")} as time, n as releves_inseres from b"""
     q["panel_latency_5min"] = f"""
 with {RAW}, b as (select {BUCKET} as t, list_sort(list({E2E})) as e, list_sort(list({PIPE})) as p
-  from raw where not is_replay and {in_range("ingested_at")} group by 1)
+  from raw where not is_replay and {in_range("ingested_at", MONTH)} group by 1)
 select {iso("t")} as time, {seconds(rank_value("e", 0.5), 6)} as p50, {seconds(rank_value("e", 0.95), 6)} as p95,
   {seconds(rank_value("p", 0.95), 6)} as p95_pipeline from b"""
     q["panel_shares"] = f"""
