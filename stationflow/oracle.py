@@ -296,7 +296,7 @@ select {iso("newest")} as newest,
        when timestamp '{FRESH_AS_OF}' - newest > interval 5 minute then 'warn' else 'pass' end as status from m"""
 
     q["panel_messages"] = f"""
-with {LEDGER} select cast(coalesce(sum(status_valid), 0) as bigint) as messages from ledger where {in_range("finished_at")}"""
+with {LEDGER} select cast(coalesce(sum(status_valid), 0) as bigint) as messages from ledger where {in_range("finished_at", MONTH)}"""
     q["panel_duplicates"] = f"""
 with {LEDGER} select cast(coalesce(sum(duplicates), 0) as bigint) as doublons from ledger where {in_range("finished_at")}"""
     q["panel_stations"] = f"""
