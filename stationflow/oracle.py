@@ -314,7 +314,7 @@ select {iso("t")} as time, {seconds(rank_value("e", 0.5), 6)} as p50, {seconds(r
 with {FACT} select {iso("last_reported")} as time,
   cast(count(*) filter (where empty_) as double) / count(*) as vides,
   cast(count(*) filter (where full_) as double) / count(*) as pleines
-from fact where {in_range("last_reported")} group by fact.last_reported"""
+from fact where {in_range("last_reported", MONTH)} group by fact.last_reported"""
     q["panel_fill_per_hour"] = f"""
 with {NETWORK} select strftime(local_hour, '%d/%m %Hh') as heure, taux_remplissage_moyen as remplissage from net"""
     return q
