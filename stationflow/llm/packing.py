@@ -25,6 +25,9 @@ LENGTH = 2048
 # Tokens that are packed together.
 GROUP = 1 << 21
 PADDING = 0
+# A full block makes a row group of its own, however well it compresses: readers take up a row group at a time. By default
+# Parquet looks at its buffers after 100 rows, which here are hundreds of megabytes.
+TABLE = {"parquet.block.size": str(1 << 16), "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
 BLOCK = "part int, number long, length int, rows int, ids binary, positions binary, segment_ends binary, row_segments binary, docs binary, pieces binary, starts binary"
 
 
@@ -165,7 +168,7 @@ def segments(blocks: DataFrame, kind: type = np.uint16) -> DataFrame:
 
 def write_packed(blocks: DataFrame, label: str = "packed") -> DataFrame:
     """The blocks as a table in the shared folder, read back."""
-    return written(blocks, label)
+    return written(blocks, label, options=TABLE)
 
 
 def byte_level(path: str, pattern: str) -> Callable[[list[str]], list]:
